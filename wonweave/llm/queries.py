@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wonweave.llm import bpe, common, token_io
+from wonweave.llm import bpe, common, decontaminate, simhash, token_io
 
 
 def vocabulary(name: str) -> str:
@@ -20,6 +20,14 @@ def op1_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_io.digests(token_io.read_tokens(blocks, code))
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(decontaminate.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(simhash.near_duplicates(common.table(spark, sf_dir, "documents")))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,6 +36,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_huffman": op1_token_huffman,
+    "op3_winnowing": op3_winnowing,
+    "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_winnowing": decontaminate.SQL,
+}
