@@ -40,6 +40,14 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Removes the files of a staged() table that nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of finished stages whose frames are out of reach; nothing that is still referenced goes."""
     gc.collect()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wonweave.llm import bpe, common, decontaminate, simhash, token_io
+from wonweave.llm import bpe, common, decontaminate, simhash, substrings, token_io
 
 
 def vocabulary(name: str) -> str:
@@ -24,6 +24,10 @@ def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(decontaminate.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(common.table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.near_duplicates(common.table(spark, sf_dir, "documents")))
 
@@ -37,6 +41,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_huffman": op1_token_huffman,
     "op3_winnowing": op3_winnowing,
+    "op4_substrings": op4_substrings,
     "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
