@@ -78,10 +78,21 @@ def by_slice(schema: pa.Schema, work: Callable[[list[list]], list], limit: int =
     return run
 
 
-_NEAR_SPACE = re.compile(r" \s|\s ")
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 
 
+class _Known(dict):
+    """Kept for good; what isn't here is in `recent` or `once`."""
+
+    def __init__(self):
+        super().__init__()
+        self.recent: dict[str, bytes] = {}
+        self.once: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        return self.recent[word] if word in self.recent else self.once[word]
+
+
 class ChunkCache:
     """Token bytes of space-separated chunks, kept between texts.
 
@@ -89,47 +100,52 @@ class ChunkCache:
     that stands between two characters that aren't white space, and what it finds up to the
     next such space depends on that chunk alone. So a text is cut there, every distinct chunk
     is encoded once, and texts are joined from the results. Beside other white space a text
-    is cut only where that holds. The cache starts anew at `most` chunks and doesn't keep
-    chunks of over `longest` characters; both bound memory and don't affect results.
+    is cut only where that holds. The first `most` chunks are kept, later ones for a while, those
+    of over `longest` characters not at all; this bounds memory and doesn't affect results.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 400_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 600_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-
-    def _fill(self, cache: dict[str, bytes], wanted: set[str], prefix: str) -> dict[str, bytes]:
-        missing = [w for w in wanted if w not in cache]
-        if not missing:
-            return cache
-        got = dict(zip(missing, self.encode([prefix + w for w in missing]), strict=True))
-        if len(cache) + len(got) > self.most:
-            kept = {w: cache[w] for w in wanted if w in cache}
-            cache.clear()
-            cache.update(kept)
-        cache.update((w, b) for w, b in got.items() if len(w) <= self.longest)
-        long = {w: b for w, b in got.items() if len(w) > self.longest}
-        return cache if not long else cache | long
+        self.first, self.spaced = _Known(), _Known()
+
+    def _fill(self, known: _Known, wanted: set[str], prefix: str) -> None:
+        if len(known.recent) > self.most // 2:
+            known.recent.clear()
+        missing = [w for w in wanted if w not in known and w not in known.recent]
+        got = self.encode([prefix + w for w in missing]) if missing else []
+        known.once.clear()
+        for w, b in zip(missing, got, strict=True):
+            if len(w) > self.longest:
+                known.once[w] = b
+            elif len(known) < self.most:
+                known[w] = b
+            else:
+                known.recent[w] = b
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         plain, cut = [], []
         for t in texts:
             t = t or ""
-            if _NEAR_SPACE.search(t):
+            # of white space only spaces are printable
+            if "  " in t or " \n" in t or "\n " in t or not t.replace("\n", "").isprintable():
                 cut.append(_BOUNDARY.split(t))
                 plain.append(None)
             else:
                 plain.append(t.split(" "))
-        heads = {p[0] for p in plain if p} | {c for parts in cut for c in parts}
+        heads = {c for parts in cut for c in parts}
         rest: set[str] = set()
+        begins = []
         for p in plain:
-            if p:
-                rest.update(p[1:])
-        first, spaced = self._fill(self.first, heads, ""), self._fill(self.spaced, rest, " ")
-        one, more, cuts, out = first.__getitem__, spaced.__getitem__, iter(cut), []
+            if p is not None:
+                begins.append(p.pop(0))
+                rest.update(p)
+        heads.update(begins)
+        self._fill(self.first, heads, "")
+        self._fill(self.spaced, rest, " ")
+        one, more, cuts, heads_in_order, out = self.first.__getitem__, self.spaced.__getitem__, iter(cut), iter(begins), []
         for p in plain:
             if p is None:
                 out.append(b"".join(map(one, next(cuts))))
             else:
-                out.append(one(p[0]) + b"".join(map(more, p[1:])))
+                out.append(one(next(heads_in_order)) + b"".join(map(more, p)))
         return out

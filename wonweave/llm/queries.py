@@ -17,7 +17,7 @@ def vocabulary(name: str) -> str:
 
 def op1_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, code = token_io.write_tokens(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    return token_io.digests(token_io.read_tokens(blocks, code))
+    return token_io.digests(blocks, code)
 
 
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,10 +38,28 @@ def _cache(vocabulary: str) -> common.ChunkCache:
 
         tokenizer = Tokenizer.from_file(vocabulary)
 
+        # bytes of each token: byte-level tokens have a character for each byte, other tokens are ASCII
+        sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], np.int64)
+
+        def whole(texts: list[str]) -> list[np.ndarray]:
+            return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
         def encode(chunks: list[str]) -> list[bytes]:
-            out = []
-            for i in range(0, len(chunks), 20_000):
-                out += [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(chunks[i : i + 20_000], add_special_tokens=False)]
+            """Chunks that would be cut from a text are encoded many at a time, as one text, and cut from its ids."""
+            out: list[bytes] = [b""] * len(chunks)
+            joined = [i for i, c in enumerate(chunks) if len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace()]
+            for lo in range(0, len(joined), 400):
+                part = joined[lo : lo + 400]
+                ids = whole(["".join(chunks[i] for i in part)])[0]
+                ends = np.cumsum([len(chunks[i].encode()) for i in part])
+                at = np.searchsorted(np.cumsum(sizes[ids]), ends, side="left") + 1
+                data, begin = ids.tobytes(), 0
+                for i, end in zip(part, at.tolist(), strict=True):
+                    out[i] = data[4 * begin : 4 * end]
+                    begin = end
+            alone = sorted(set(range(len(chunks))) - set(joined))
+            for i, ids in zip(alone, whole([chunks[i] for i in alone]), strict=True):
+                out[i] = ids.tobytes()
             return out
 
         _TOKENIZERS[vocabulary] = common.ChunkCache(encode)
@@ -250,13 +268,20 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, limit: int =
     code = Code.of({r.id: r.n for r in count_ids(tokens).collect()}, limit)
     blocks = common.staged(encode_blocks(tokens, code), "token-blocks", "uncompressed")
     common.release(spark)
+    common.drop(tokens)
     return blocks, code
 
 
+def _placed(decoded: DataFrame, blocks: DataFrame) -> DataFrame:
+    return decoded.join(block_starts(blocks), ["part", "block"]).withColumn("start", F.col("start") + F.col("offset"))
+
+
 def read_tokens(blocks: DataFrame, code: Code) -> DataFrame:
     """doc_id, start, n_tokens, ids of each document in the written blocks."""
-    return decode_blocks(blocks, code).join(block_starts(blocks), ["part", "block"]).select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids")
+    return _placed(decode_blocks(blocks, code), blocks).select("doc_id", "start", "n_tokens", "ids")
 
 
-def digests(read: DataFrame) -> DataFrame:
-    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+def digests(blocks: DataFrame, code: Code) -> DataFrame:
+    """As read_tokens(), with the checksum of the ids in their place; they aren't moved."""
+    summed = decode_blocks(blocks, code).select("part", "block", "doc_id", "offset", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return _placed(summed, blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
