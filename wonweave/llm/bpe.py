@@ -195,13 +195,13 @@ def model(ranks: str, pattern: str) -> Bpe:
     return _MODELS[ranks, pattern]
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, *, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `kept`, n_tokens, ids (little-endian unsigned 32-bit) and `decoded`, the bytes of those ids."""
-    return _run(docs, ranks, pattern, kept, lambda ids, decoded: (ids, decoded), [("ids", pa.binary()), ("decoded", pa.binary())], "ids binary, decoded binary")
+def encode(docs: DataFrame, ranks: str, pattern: str, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `kept`, n_tokens, ids (little-endian unsigned 32-bit) and decoded_sha256, the digest of the bytes of those ids."""
+    return _run(docs, ranks, pattern, kept, lambda ids, decoded: (ids, hashlib.sha256(decoded).hexdigest()), [("ids", pa.binary()), ("decoded_sha256", pa.string())], "ids binary, decoded_sha256 string")
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """As encode(), with the digests of ids and decoded bytes in their place."""
+    """As encode(), with the digest of the ids in their place."""
     return _run(docs, ranks, pattern, ("doc_id",), lambda ids, decoded: (hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()), [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())], "ids_sha256 string, decoded_sha256 string")
 
 

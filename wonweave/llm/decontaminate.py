@@ -113,9 +113,9 @@ def digests(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` whose text holds no window of an item."""
-    bad = find(docs, items).filter("n_hit > 0").select("key").distinct()
-    digest = F.md5(F.coalesce("text", F.lit("")))
-    return docs.join(bad, digest == F.col("key"), "left_anti")
+    bad = find(docs, items).filter("n_hit > 0").select(F.col("key").alias("__bad_key")).distinct()
+    digest = F.md5(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(bad, digest == bad["__bad_key"], "left_anti")
 
 
 SQL = """

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wonweave.llm import bpe, common, decontaminate, simhash, substrings, token_io
+from wonweave.llm import bpe, chat_format, common, decontaminate, html_text, language, quality, simhash, substrings, token_io, url_filter
+
+#: A conversation of control strings that the contract of operator 2 adds.
+CONTROL_ROWS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
 def vocabulary(name: str) -> str:
@@ -15,11 +18,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def op1_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, code = token_io.write_tokens(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return token_io.digests(blocks, code)
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "conversations").select(*chat_format.ROWS)
+    rows = rows.unionByName(spark.createDataFrame(CONTROL_ROWS, rows.schema))
+    return chat_format.digests(common.staged(chat_format.formatted(chat_format.frame_turns(rows)), "chats"))
+
+
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(decontaminate.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")))
 
@@ -28,23 +43,33 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(common.table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digests(html_text.extract(common.table(spark, sf_dir, "pages")))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(simhash.near_duplicates(common.table(spark, sf_dir, "documents")))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return language.digests(docs, language.train(docs))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+    return bpe.digests(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
 
-    return bpe.digests(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality.judge(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+    return quality.digests(judged)
+
+
+def op10_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digests(url_filter.judge(common.table(spark, sf_dir, "pages")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_huffman": op1_token_huffman,
-    "op3_winnowing": op3_winnowing,
-    "op4_substrings": op4_substrings,
-    "op6_simhash": op6_simhash,
-    "op8_byte_bpe": op8_byte_bpe,
-}
-SQL: dict[str, str] = {
-    "op3_winnowing": decontaminate.SQL,
+    f.__name__: f for f in (op1_token_huffman, op2_chat_format, op3_winnowing, op4_substrings, op5_html_text, op6_simhash, op7_language, op8_byte_bpe, op9_quality_rules, op10_url_trust)
 }
+SQL: dict[str, str] = {"op2_chat_format": chat_format.SQL, "op3_winnowing": decontaminate.SQL}

@@ -268,9 +268,9 @@ def digests(found: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
     """One row of each component: that of the least doc_id. Of several rows with that doc_id (or all without any) the first by text stays."""
     found = near_duplicates(docs, most, shingle)
-    kept = common.staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("kept_rows")), "simhash-kept")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
-    if kept.filter("kept_rows > 1").isEmpty():
+    kept = common.staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count("*").alias("__kept_rows")), "simhash-kept")
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
+    if kept.filter("__kept_rows > 1").isEmpty():
         return rows
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
     return rows.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
