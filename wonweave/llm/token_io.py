@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from wonweave.llm import common
 
 CHECKPOINT = 128
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 18
 _TOKENIZERS: dict[str, common.ChunkCache] = {}
 
 
@@ -91,8 +91,8 @@ def count_ids(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                n = np.bincount(_ids(data), minlength=len(total))
+            if batch.num_rows:
+                n = np.bincount(np.concatenate([_ids(data) for data in batch.column(0).to_pylist()]), minlength=len(total))
                 n[: len(total)] += total
                 total = n
         used = np.flatnonzero(total)
