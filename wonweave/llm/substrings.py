@@ -226,7 +226,8 @@ def covered(texts: DataFrame) -> DataFrame:
     """key, lo, hi: ranges of positions of texts where a repeated string of LENGTH bytes starts."""
     spark = texts.sparkSession
     cores = common.staged(_cores(texts), "cores")
-    often = cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    # written first: both sides of the join are then dealt out anew, and Spark can split a frequent core
+    often = common.staged(cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores-often")
     left = common.staged(cores.join(often, "core").select("key", "a"), "cores-left")
     common.release(spark)
     common.drop(cores)
@@ -235,7 +236,7 @@ def covered(texts: DataFrame) -> DataFrame:
     rows = common.staged(_stretches(left, texts), "stretches")
     common.release(spark)
     common.drop(left)
-    same = rows.groupBy("whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "a")).alias("one"))
+    same = common.staged(rows.groupBy("whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "a")).alias("one")), "stretches-same")
     rows_n = common.staged(rows.join(same, "whole").select("key", "a", "lo", "hi", F.least("n", F.lit(2)).cast("int").alias("n"), (F.struct("key", "a") == F.col("one")).alias("one")), "stretches-named")
     common.release(spark)
     common.drop(rows)
@@ -243,7 +244,7 @@ def covered(texts: DataFrame) -> DataFrame:
 
     pieces = common.staged(_pieces(rows_n.filter("one"), texts), "pieces")
     common.release(spark)
-    same = pieces.groupBy("whole").agg(F.sum("n").alias("of"), F.min(F.struct("key", "lo")).alias("one"))
+    same = common.staged(pieces.groupBy("whole").agg(F.sum("n").alias("of"), F.min(F.struct("key", "lo")).alias("one")), "pieces-same")
     pieces_n = common.staged(pieces.join(same, "whole").select("key", "lo", "hi", "core", "n", F.least("of", F.lit(2)).cast("int").alias("of"), (F.struct("key", "lo") == F.col("one")).alias("one")), "pieces-named")
     common.release(spark)
     common.drop(pieces)
@@ -251,9 +252,11 @@ def covered(texts: DataFrame) -> DataFrame:
 
     # of a core that several stretches share and of which some isn't found whole
     shared = pieces_n.filter("one").groupBy("core").agg(F.sum("of").alias("in_all"), F.min("of").alias("least")).filter("in_all > 1 AND least = 1").select("core")
+    shared = common.staged(shared, "cores-shared")
     left = common.staged(pieces_n.filter("one").join(shared, "core").select("key", "lo", "hi", F.col("of").alias("n")), "pieces-left")
     common.release(spark)
     often = _positions(left, texts).groupBy("whole").agg(F.sum("n").alias("of")).filter("of > 1").select("whole")
+    often = common.staged(often, "positions-often")
     single = _positions(left.filter("n = 1"), texts).join(often, "whole").select("key", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
     done.append(common.staged(single, "positions"))
     common.release(spark)
