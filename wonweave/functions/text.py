@@ -82,8 +82,10 @@ def tokens(c: Column | str, normalized: bool = True) -> Column:
 
 def bigrams(c: Column | str) -> Column:
     """Distinct pairs of neighbouring characters."""
-    x = col(c)
-    return F.when(F.length(x) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - 1), lambda i: F.substring(x, i, F.lit(2))))).otherwise(F.array().cast("array<string>"))
+    chars = F.regexp_extract_all(col(c), F.lit("(?s)."), F.lit(0))
+    n = F.greatest(F.size(chars) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(chars, F.lit(1), n).alias("a"), F.slice(chars, F.lit(2), n).alias("b"))
+    return F.array_distinct(F.transform(pairs, lambda p: F.concat(p["a"], p["b"])))
 
 
 def markup_to_lines(c: Column | str, tables: bool = False) -> Column:
