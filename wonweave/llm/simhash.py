@@ -182,7 +182,7 @@ def _spanning(fp: np.ndarray, most: int) -> list[tuple[int, int]]:
             if near.any():
                 got = left[near]
                 left = left[~near]
-                out += [(int(root), int(y)) for y in got]
+                out += [(int(x), int(y)) for y in got]
                 front += got.tolist()
     return out
 

@@ -4,7 +4,7 @@ A rule (host, path) fits a url whose host is the rule's or a subdomain of it and
 begins with the rule's; of several the longest counts. Urls without a rule get their host's
 verdict: hosts with an allowed page are seeds of trust, which flows along links; hosts that a
 rule blocks whole are seeds of distrust, which flows against them (who links to a blocked host
-is distrusted). Both are personalised PageRank over host edges; a host is blocked if its
+is distrusted); a host that is blocked whole but for some allowed pages is neither. Both are personalised PageRank over host edges; a host is blocked if its
 distrust exceeds its trust and the threshold, relative to the mean of the blocked seeds.
 
 A null url, or one without `://`, has an empty host and path, no rule, and is allowed. A null
@@ -84,7 +84,7 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     edges = common.staged(host_edges(pages), "host-edges")
     # hosts may be linked to without having pages
     known = by_host.select("host", "n", "allowed").unionByName(edges.select(F.col("dst").alias("host"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("allowed"))).groupBy("host").agg(F.sum("n").alias("n"), F.sum("allowed").alias("allowed"))
-    bad = known.filter(blocked).select("host", F.lit(1.0).alias("weight"))
+    bad = known.filter(blocked & (F.col("allowed") == 0)).select("host", F.lit(1.0).alias("weight"))
     good = known.filter(~blocked & (F.col("allowed") > 0)).select("host", F.lit(1.0).alias("weight"))
     trust = spread(edges, good).withColumnRenamed("score", "trust")
     distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), bad).withColumnRenamed("score", "distrust")
