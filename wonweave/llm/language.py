@@ -78,8 +78,12 @@ class Classifier:
         self.columns = np.ascontiguousarray(landmarks.T.astype(np.float32))
 
     def kernel(self, found: np.ndarray) -> np.ndarray:
-        own = np.sqrt(np.maximum(found.sum(axis=1), 1)).astype(np.float32)
-        return (found.astype(np.float32) @ self.columns) / own[:, None] / self.sizes
+        out = np.empty((len(found), len(self.sizes)), np.float32)
+        for i in range(0, len(found), BATCH):
+            part = found[i : i + BATCH]
+            own = np.sqrt(np.maximum(part.sum(axis=1), 1)).astype(np.float32)
+            out[i : i + BATCH] = (part.astype(np.float32) @ self.columns) / own[:, None] / self.sizes
+        return out
 
     def scores(self, found: np.ndarray) -> np.ndarray:
         return self.kernel(found).astype(np.float64) @ self.weights
