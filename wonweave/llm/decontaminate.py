@@ -8,8 +8,8 @@ hash of its m words; texts keep all hashes of m words for each such m in the ben
 Texts that share a fingerprint are candidates, and hits in them are extended to whole windows
 that are compared as words, so that hash collisions don't matter.
 
-What is found depends on a text alone and is looked up by its digest: copies are searched
-once each scan but compared once, repeated rows each return. A null or empty text has no
+What is found depends on a text alone and is looked up by its digest: copies are compared
+as one text, repeated rows each return. A null or empty text has no
 words; a null item_id takes part but isn't listed. Empty tables give rows without hits, or
 none. Extra columns are ignored.
 """
@@ -87,7 +87,8 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     scanned = common.staged(scanned.select("doc_id", "key", "s.n_words", "s.prints"), "document-prints")
 
     candidates = scanned.select("key", F.explode("prints").alias("print")).join(_bounded(prints), "print").select("key").distinct()
-    texts = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text").join(candidates, "key", "left_semi")
+    # copies meet in their own tasks first, so a large group of them is moved and searched as a few
+    texts = docs.groupBy(F.md5(F.coalesce("text", F.lit(""))).alias("key")).agg(F.min("text").alias("text")).join(candidates, "key", "left_semi")
     # one row for each candidate and window length, in order of words
     cut = texts.select("key", words().alias("w"))
     hits = None
@@ -101,7 +102,9 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = common.staged(hits.join(_bounded(known), ["length", "words"]).select("key", "length", "at", "ids"), "hits")
     covered = hits.select("key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)).alias("word")).distinct().groupBy("key").agg(F.count("*").alias("n_hit"))
     listed = hits.select("key", F.explode_outer("ids").alias("id")).groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("item_ids"))
-    return scanned.select("doc_id", "key", "n_words").join(covered.join(listed, "key"), "key", "left").select("doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    # written first: the last join is then dealt out anew on both sides, and Spark can split a large group of copies
+    by_text = common.staged(covered.join(listed, "key"), "contaminated")
+    return scanned.select("doc_id", "key", "n_words").join(by_text, "key", "left").select("doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 
 def digests(found: DataFrame) -> DataFrame:
