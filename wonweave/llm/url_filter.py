@@ -90,6 +90,7 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), bad).withColumnRenamed("score", "distrust")
     level = threshold / max(1, bad.count())
     hosts = known.select("host").join(trust, "host", "left").join(distrust, "host", "left").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+    hosts = common.staged(hosts, "host-scores")  # the join below is then dealt out anew on both sides, and Spark can split a large host
     method = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") > level), "block").otherwise("allow")
     return ruled.join(hosts, "host", "left").select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", method).alias("verdict"), "trust", "distrust")
 
