@@ -135,10 +135,10 @@ def train(docs: DataFrame, held_out: int = 2) -> Classifier | None:
     got = sorted((r.draw, r.lang, bytes(r.found)) for r in got)
     if not got:
         return None
-    found = np.unpackbits(np.frombuffer(b"".join(x for *_, x in got), np.uint8).reshape(len(got), -1), axis=1).astype(bool)
+    found = np.unpackbits(np.frombuffer(b"".join(x for *_, x in got), np.uint8).reshape(len(got), -1), axis=1).view(bool)
     ok = has_letter(found)
     labels = [lang for (_, lang, _), k in zip(got, ok, strict=True) if k]
-    return Classifier.fit(found[ok], labels) if labels else None
+    return Classifier.fit(found if ok.all() else found[ok], labels) if labels else None
 
 
 class _Scorer:
@@ -154,7 +154,7 @@ class _Scorer:
             return ["und"] * len(texts), [0.0] * len(texts)
         if self.model is None:
             languages, bits, weights = self.shared.value
-            self.model = Classifier(languages, np.unpackbits(bits, axis=1).astype(bool), weights)
+            self.model = Classifier(languages, np.unpackbits(bits, axis=1).view(bool), weights)
         langs, scores = [], []
         for i in range(0, len(texts), BATCH):
             found = presence(texts[i : i + BATCH])
