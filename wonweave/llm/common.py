@@ -37,15 +37,15 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     schema = df.schema
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
 def drop(df: DataFrame) -> None:
     """Removes the files of a staged() table that nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    spark, place = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -34,4 +34,5 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(now) == seen or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = tuple(now)
-        edges = common.staged(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, common.staged(_small_star(_large_star(edges)), "edges")
+        common.drop(before)

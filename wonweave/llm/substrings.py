@@ -146,8 +146,10 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     long = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("body")).filter(F.length("body") >= LENGTH)
     merged = long.mapInArrow(once, ddl).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(merge, ddl)
     name = f"texts_{uuid.uuid4().hex}"
-    merged.write.bucketBy(parts, "key").option("compression", "zstd").option("path", common.scratch(spark, "texts")).saveAsTable(name)
+    path = common.scratch(spark, "texts")
+    merged.write.bucketBy(parts, "key").option("compression", "zstd").option("path", path).saveAsTable(name)
     out = spark.table(name)
+    out._staged_at, out._table = path, name
     common.release(spark)
     return out
 
@@ -222,8 +224,8 @@ def _positions(kept: DataFrame, texts: DataFrame) -> DataFrame:
     return _marked(kept, texts, ["lo", "hi", "n"]).mapInArrow(run, "key binary, p int, whole long, n int")
 
 
-def covered(texts: DataFrame) -> DataFrame:
-    """key, lo, hi: ranges of positions of texts where a repeated string of LENGTH bytes starts."""
+def covered(texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, lo, hi: ranges of positions of texts where a repeated string of LENGTH bytes starts; the staged tables that these are read from)."""
     spark = texts.sparkSession
     cores = common.staged(_cores(texts), "cores")
     # written first: both sides of the join are then dealt out anew, and Spark can split a frequent core
@@ -231,6 +233,7 @@ def covered(texts: DataFrame) -> DataFrame:
     left = common.staged(cores.join(often, "core").select("key", "a"), "cores-left")
     common.release(spark)
     common.drop(cores)
+    common.drop(often)
 
     # whole stretches: what is repeated is done, one row of it stays to be found
     rows = common.staged(_stretches(left, texts), "stretches")
@@ -240,6 +243,7 @@ def covered(texts: DataFrame) -> DataFrame:
     rows_n = common.staged(rows.join(same, "whole").select("key", "a", "lo", "hi", F.least("n", F.lit(2)).cast("int").alias("n"), (F.struct("key", "a") == F.col("one")).alias("one")), "stretches-named")
     common.release(spark)
     common.drop(rows)
+    common.drop(same)
     done = [rows_n.filter("n > 1").select("key", "lo", "hi")]
 
     pieces = common.staged(_pieces(rows_n.filter("one"), texts), "pieces")
@@ -248,6 +252,7 @@ def covered(texts: DataFrame) -> DataFrame:
     pieces_n = common.staged(pieces.join(same, "whole").select("key", "lo", "hi", "core", "n", F.least("of", F.lit(2)).cast("int").alias("of"), (F.struct("key", "lo") == F.col("one")).alias("one")), "pieces-named")
     common.release(spark)
     common.drop(pieces)
+    common.drop(same)
     done.append(pieces_n.filter("n = 1 AND of > 1").select("key", "lo", "hi"))
 
     # of a core that several stretches share and of which some isn't found whole
@@ -258,9 +263,11 @@ def covered(texts: DataFrame) -> DataFrame:
     often = _positions(left, texts).groupBy("whole").agg(F.sum("n").alias("of")).filter("of > 1").select("whole")
     often = common.staged(often, "positions-often")
     single = _positions(left.filter("n = 1"), texts).join(often, "whole").select("key", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
-    done.append(common.staged(single, "positions"))
+    single = common.staged(single, "positions")
     common.release(spark)
-    return done[0].unionByName(done[1]).unionByName(done[2])
+    for used in (shared, left, often):
+        common.drop(used)
+    return done[0].unionByName(done[1]).unionByName(single), [rows_n, pieces_n, single]
 
 
 def runs(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -293,10 +300,15 @@ def changed_texts(docs: DataFrame) -> DataFrame:
                 kept = cut(body, spans)
                 yield _rows(schema, [key], [len(body) - len(kept)], [len(spans)], [kept])
 
-    found = covered(texts).join(texts.filter("n > 1").select("key"), "key", "left_anti")
+    ranges, used = covered(texts)
+    found = ranges.join(texts.filter("n > 1").select("key"), "key", "left_anti")
     cut_texts = _marked(found, texts, ["lo", "hi"]).mapInArrow(run, "key binary, n_removed long, n_spans long, kept binary")
     copies = texts.filter("n > 1").select("key", F.length("body").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
-    return common.staged(cut_texts.unionByName(copies), "changed-texts")
+    out = common.staged(cut_texts.unionByName(copies), "changed-texts")
+    docs.sparkSession.sql(f"DROP TABLE {texts._table}")
+    for df in (*used, texts):
+        common.drop(df)
+    return out
 
 
 def _keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
