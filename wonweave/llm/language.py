@@ -123,6 +123,8 @@ def train(docs: DataFrame, held_out: int = 2) -> Classifier | None:
     draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text")), F.lit(7))
     part = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, each / n))])
     sampled = rows.filter(F.pmod(draw, F.lit(1_000_003)) / 1_000_003 < F.element_at(part, F.col("lang"))).select(draw.alias("draw"), "lang", "text")
+    # rows of one doc_id are drawn together: one of each stays, so that the sample is as large as it says
+    sampled = sampled.groupBy("draw").agg(F.min(F.struct("lang", "text")).alias("r")).select("draw", "r.lang", "r.text")
     schema = pa.schema([("draw", pa.int64()), ("lang", pa.string()), ("found", pa.binary())])
 
     def work(columns: list[list]) -> list:

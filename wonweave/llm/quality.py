@@ -171,7 +171,9 @@ def train(stats: DataFrame, labels: DataFrame) -> list[Rule]:
         return []
     draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_003))
     sampled = agreed.filter(draw / 1_000_003 < min(1.0, TRAIN_ROWS / n))
-    rows = stats.select("doc_id", *TESTED).join(sampled, "doc_id").withColumn("draw", draw).collect()
+    # one row of each doc_id, so that the sample is as large as it says
+    one = stats.join(sampled, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(*TESTED)).alias("s"))
+    rows = one.select("doc_id", "quality", "s.*").withColumn("draw", draw).collect()
     if not rows:
         return []
     rows.sort(key=lambda r: (r.draw, r.doc_id, *(r[s] for s in TESTED)))
