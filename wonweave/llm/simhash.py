@@ -17,6 +17,7 @@ linked and returned each. Empty tables give empty results; extra columns are ign
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -24,7 +25,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wonweave.llm import common, graph
@@ -265,12 +266,38 @@ def digests(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def text_digest() -> Column:
+    """With doc_id it tells rows apart; a null text is not an empty one."""
+    return F.coalesce(F.sha2("text", 256), F.lit("null"))
+
+
+def survivors(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row of `docs` for each root in `rows` (doc_id, digest, root of each row): the least by doc_id, nulls last, then by the text's digest.
+
+    A doc_id that several roots share, or that is null, stays once for each. Of rows that are
+    equal in both, the least by the other columns stays; they are combined before they shuffle.
+    """
+    each = rows.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n"))
+    first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "n")).alias("r"))
+    kept = common.staged(first.select(F.col("r.doc_id").alias("__id"), F.col("r.digest").alias("__digest"), F.col("r.n").alias("__n")), "survivors")
+    found = docs.withColumn("__text_digest", text_digest()).join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"]) & (F.col("__text_digest") == kept["__digest"]))
+    single = found.filter("__n = 1").select(*docs.columns)
+    if kept.filter("__n > 1").isEmpty():
+        return single
+    order = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    one = found.filter("__n > 1").groupBy("__id", "__digest").agg(F.min_by(F.struct(*docs.columns), F.struct(*order)).alias("r"))
+    return single.unionByName(one.select("r.*"))
+
+
 def keep_one(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
-    """One row of each component: that of the least doc_id. Of several rows with that doc_id (or all without any) the first by text stays."""
-    found = near_duplicates(docs, most, shingle)
-    kept = common.staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count("*").alias("__kept_rows")), "simhash-kept")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
-    if kept.filter("__kept_rows > 1").isEmpty():
-        return rows
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    return rows.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
+    """One row of each component, see survivors()."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("fp", pa.int64())])
+
+    def work(columns: list[list]) -> list:
+        return [*columns[:2], np.array([fingerprint(t, shingle) for t in columns[2]], np.uint64).view(np.int64)]
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
+    rows = common.staged(rows.mapInArrow(common.by_slice(schema, work), "doc_id long, digest string, fp long"), "simhash-rows")
+    nodes = common.staged(rows.select("fp").distinct(), "simhash-nodes")
+    roots = graph.components(links(nodes, most)).withColumnRenamed("node", "fp")
+    return survivors(docs, rows.join(roots, "fp", "left").select("doc_id", "digest", F.coalesce("root", "fp").alias("root")))
