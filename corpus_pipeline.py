@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wonweave.llm import bpe, common, decontaminate, language, queries, simhash, substrings
+from wonweave.llm import bpe, common, decontaminate, language, near, queries, substrings
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,8 +17,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays."""
-    return simhash.keep_one(docs)
+    """One row of each group of near copies (Jaccard similarity of five-word shingles of 0.8 or more) stays."""
+    return near.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Near copies: one row of each group stays, whatever its doc_id."""
 
 import cases
+import numpy as np
 import pytest
 
-from wonweave.llm import simhash
+import corpus_pipeline
+from wonweave.llm import near, simhash
 
 
 @pytest.mark.parametrize("shared", [None, 15])
@@ -14,3 +16,42 @@ def test_a_shared_doc_id_loses_no_group(spark, shared):
     assert kept.columns == docs.columns
     want = sorted([(shared, t) for i, t, *_ in rows[:30] if t != rows[-1][1]] + [(min(7, shared or 7), rows[-1][1])], key=str)
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
+
+
+def brute(rows):
+    """The rows that stay, of (doc_id, text), by comparing all sets of word tuples."""
+    sets = []
+    for _, t in rows:
+        w = cases.lower(t or "").split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if group[i] != group[j] and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return {g: min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in set(group)}
+
+
+def test_stage_finds_all_pairs_of_five_words(spark):
+    """Copies of ever more changed words, chains, a dense group, a shared passage, and short texts."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for k in range(8):
+        words = cases.prose(200 + k, 60 + 40 * k).split()
+        texts.append(" ".join(words))
+        for m in range(1, 7):
+            copy = list(words)
+            for at in rng.choice(len(words), m, replace=False):
+                copy[at] = f"new{k}x{m}x{at}"
+            texts.append(" ".join(copy))
+    dense = cases.prose(300, 120).split()
+    texts += [" ".join([*dense[:at], f"odd{at}", *dense[at + 1 :]]) for at in range(60)]
+    texts += [cases.SHARED + f" tail{i} " + cases.prose(400 + i, 12 + i) for i in range(25)]
+    texts += ["one two", "ONE two", "one two three", "a b c d e", "a b c d e f", None, ""]
+    rows = list(enumerate(texts))
+    docs = cases.docs(spark, [(i, t, "en", "a") for i, t in rows]).repartition(3)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert got == sorted(brute(rows).values())
+    near_pairs = simhash.keep_one(docs).count()
+    assert len(got) < near_pairs and near.keep_one(docs.limit(0)).count() == 0
