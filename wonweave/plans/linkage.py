@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wonweave.functions import columns, extract, scoring, text
 from wonweave.operators import attach, classify, dedupe, keywords, match, sections
-from wonweave.plans.registry import query, table
+from wonweave.plans.registry import query, table, whole
 from wonweave.sources import landed
 
 
@@ -184,6 +184,12 @@ def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").filter(~F.col("html").contains("&")).select("page_id", text.markup_to_lines("html").alias("body"))
 
 
+@whole
+def html_to_text_whole(spark, sf_dir):
+    """Of all pages; html_to_text and its SQL take those without references."""
+    return table(spark, sf_dir, "pages").select("page_id", text.markup_to_lines("html").alias("body"))
+
+
 SECTION_SPECS = (("opening", "^[A-D]", "^[M-Z]", 200), ("middle", "[0-9]", "^$", 200), ("closing", "\\.$", "^[E-H]", 200))
 SPEC_SQL = "(VALUES " + ", ".join(f"('{n}', '{a}', '{z}')" for n, a, z, _ in SECTION_SPECS) + ") AS s(section, b, z)"
 SPANS = f"""
@@ -204,6 +210,12 @@ def section_excerpt(spark, sf_dir):
     return plain.select("doc_id", text.excerpt("text", 120).alias("excerpt"))
 
 
+@whole
+def section_excerpt_whole(spark, sf_dir):
+    """Of all documents; section_excerpt and its SQL take those without marks."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.excerpt("text", 120).alias("excerpt"))
+
+
 @query("SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events")
 def json_unwrap(spark, sf_dir):
     e = table(spark, sf_dir, "events")
