@@ -35,3 +35,12 @@ def test_section_excerpt_takes_all_documents(spark):
         each = dict.fromkeys(re.sub(r"^#{1,6}\s*", "", s).strip(" -·□○ㅇ") for s in lines(r.text, True))
         want.append((r.doc_id, "\n".join(s for s in each if s)[:120].rstrip(" ")))
     assert got == sorted(want, key=str) and len(got) == len(docs) > registry.QUERIES["section_excerpt"](spark, DATA).count()
+
+
+@pytest.mark.parametrize("name,column,of,key", [("keyword_fan_out", "p_partkey", "part", "p_partkey"), ("exact_then_fallback", "b", "part", "p_partkey"), ("amount_mentions", "o_orderkey", "orders", "o_orderkey"), ("json_rows", "o_orderkey", "orders", "o_orderkey")])
+def test_no_key_is_left_out(spark, name, column, of, key):
+    """test_queries.py compares the rows with SQL."""
+    got = {r[0] for r in registry.QUERIES[f"{name}_whole"](spark, DATA).select(column).distinct().collect()}
+    every = {r[0] for r in registry.table(spark, DATA, of).select(key).collect()}
+    part = registry.QUERIES[name](spark, DATA).select(column).distinct().count()
+    assert got <= every and len(got) >= part and (name == "exact_then_fallback" or got == every)

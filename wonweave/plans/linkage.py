@@ -114,21 +114,45 @@ def keyword_fan_out(spark, sf_dir):
     return keywords.fan_out(q, table(spark, sf_dir, "events").filter("event_id % 50 = 0").select("event_id", F.col("event_type").alias("keyword"))).select("p_partkey", "event_id")
 
 
+@query("SELECT p_partkey, count(*) AS n, CAST(sum(e.event_id) AS BIGINT) AS events, min(e.event_id) AS first, max(e.event_id) AS last FROM (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'click' ELSE 'view' END AS keyword FROM part) q JOIN (SELECT event_id, event_type AS keyword FROM events) e USING (keyword) GROUP BY 1")
+def keyword_fan_out_whole(spark, sf_dir):
+    """The fan-out of all parts and events, summed for each part."""
+    q = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "click").otherwise("view").alias("keyword"))
+    out = keywords.fan_out(q, table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("keyword")))
+    return out.groupBy("p_partkey").agg(F.count("*").alias("n"), F.sum("event_id").alias("events"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+
+
 @query("SELECT DISTINCT p_name AS keyword FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_size = 1)")
 def keyword_to_fetch(spark, sf_dir):
     p = table(spark, sf_dir, "part").withColumnRenamed("p_name", "keyword")
     return keywords.to_fetch(p, p.filter("p_size = 1"))
 
 
+def attached(spark: SparkSession, sf_dir: str, parts: DataFrame) -> DataFrame:
+    """Suppliers of `parts` by exact_then_fallback."""
+    b = parts.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("corpus"))
+    r = table(spark, sf_dir, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_suppkey")).alias("k"), "s_suppkey", F.when(F.col("s_suppkey") % 4 == 1, "ring").otherwise("gear").alias("word"), F.concat_ws(" ", F.lit("supply"), F.col("s_suppkey").cast("string")).alias("row_name"))
+    return attach.exact_then_fallback(b, r, "k", "name", "corpus", "word", "row_name").select(F.col("b_k").alias("b"), F.col("r_s_suppkey").alias("r"), "how")
+
+
 @query("""
 WITH b AS (SELECT p_partkey, p_name AS name, lower(p_name || ' ' || p_type) AS corpus FROM part WHERE p_partkey < 200),
 r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey END AS k, CASE WHEN s_suppkey % 4 = 1 THEN 'ring' ELSE 'gear' END AS word, 'supply ' || s_suppkey AS row_name FROM supplier)
 SELECT p_partkey AS b, s_suppkey AS r, 'exact' AS how FROM b JOIN r ON k = p_partkey
 UNION ALL SELECT p_partkey, s_suppkey, 'fallback' FROM b JOIN r ON k IS NULL AND contains(corpus, word) WHERE p_partkey NOT IN (SELECT k FROM r WHERE k IS NOT NULL)""")
 def exact_then_fallback(spark, sf_dir):
-    b = table(spark, sf_dir, "part").filter("p_partkey < 200").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("corpus"))
-    r = table(spark, sf_dir, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_suppkey")).alias("k"), "s_suppkey", F.when(F.col("s_suppkey") % 4 == 1, "ring").otherwise("gear").alias("word"), F.concat_ws(" ", F.lit("supply"), F.col("s_suppkey").cast("string")).alias("row_name"))
-    return attach.exact_then_fallback(b, r, "k", "name", "corpus", "word", "row_name").select(F.col("b_k").alias("b"), F.col("r_s_suppkey").alias("r"), "how")
+    return attached(spark, sf_dir, table(spark, sf_dir, "part").filter("p_partkey < 200"))
+
+
+@query("""
+WITH b AS (SELECT p_partkey, lower(p_name || ' ' || p_type) AS corpus FROM part),
+r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey END AS k, CASE WHEN s_suppkey % 4 = 1 THEN 'ring' ELSE 'gear' END AS word FROM supplier),
+p AS (SELECT p_partkey AS b, s_suppkey AS r, 'exact' AS how FROM b JOIN r ON k = p_partkey
+UNION ALL SELECT p_partkey, s_suppkey, 'fallback' FROM b JOIN r ON k IS NULL AND contains(corpus, word) WHERE p_partkey NOT IN (SELECT k FROM r WHERE k IS NOT NULL))
+SELECT b, how, count(*) AS n, CAST(sum(r) AS BIGINT) AS suppliers, min(r) AS first, max(r) AS last FROM p GROUP BY 1, 2""")
+def exact_then_fallback_whole(spark, sf_dir):
+    """Of all parts, summed for each."""
+    return attached(spark, sf_dir, table(spark, sf_dir, "part")).groupBy("b", "how").agg(F.count("*").alias("n"), F.sum("r").alias("suppliers"), F.min("r").alias("first"), F.max("r").alias("last"))
 
 
 @query("""
@@ -165,6 +189,13 @@ def amount_mentions(spark, sf_dir):
     return o.select("o_orderkey", F.array_join(extract.amounts(m), "|").alias("amounts"))
 
 
+@query("SELECT o_orderkey, format('{:,}', o_orderkey) || ',000원|' || o_custkey || '백만원|' || (o_custkey % 9) || '억원' AS amounts FROM orders")
+def amount_mentions_whole(spark, sf_dir):
+    """Of all orders, with separators in the first amount."""
+    m = F.concat(F.lit("총 "), F.format_number("o_orderkey", 0), F.lit(",000원 중 "), F.col("o_custkey").cast("string"), F.lit("백만원을 보조하고 나머지 "), (F.col("o_custkey") % 9).cast("string"), F.lit("억원은 융자"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(extract.amounts(m), "|").alias("amounts"))
+
+
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '보조,융자' WHEN 'O' THEN '직접' ELSE '기금,위탁/출연' END AS paths FROM orders")
 def exec_paths(spark, sf_dir):
     said = F.when(F.col("o_orderstatus") == "F", "자치단체 보조 및 이차보전").when(F.col("o_orderstatus") == "O", "직접 수행").otherwise("민간위탁, 기금 운용")
@@ -225,15 +256,25 @@ def json_unwrap(spark, sf_dir):
     return e.select("event_id", F.get_json_object(landed.unwrap(payload), "$.k").cast("long").alias("k"))
 
 
-@query("SELECT o_custkey, count(*) AS total, 'INFO-000' AS code, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS page_row, o_orderkey FROM orders WHERE o_custkey < 300 GROUP BY o_custkey, o_orderkey" .replace("count(*) AS total", "count(*) OVER (PARTITION BY o_custkey) AS total").replace(" GROUP BY o_custkey, o_orderkey", ""))
-def json_rows(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter("o_custkey < 300").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
+def unpacked(orders: DataFrame) -> DataFrame:
+    """`orders` put into a payload for each customer and read from it."""
+    o = orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
     body = F.transform("keys", lambda k: F.concat(F.lit('{"K":"'), k.cast("string"), F.lit('"}')))
     payload = F.concat(F.lit('{"Svc":[{"head":[{"list_total_count":'), F.size("keys").cast("string"), F.lit('},{"RESULT":{"CODE":"INFO-000","MESSAGE":""}}]},{"row":['), F.array_join(body, ","), F.lit("]}]}"))
     rows = landed.rows_of(o.select("o_custkey", payload.alias("payload")), "payload", "Svc", "K: string", ("o_custkey",))
     return rows.select("o_custkey", "total", "code", "page_row", F.col("K").cast("long").alias("o_orderkey"))
 
 
+@query("SELECT o_custkey, count(*) AS total, 'INFO-000' AS code, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS page_row, o_orderkey FROM orders WHERE o_custkey < 300 GROUP BY o_custkey, o_orderkey" .replace("count(*) AS total", "count(*) OVER (PARTITION BY o_custkey) AS total").replace(" GROUP BY o_custkey, o_orderkey", ""))
+def json_rows(spark, sf_dir):
+    return unpacked(table(spark, sf_dir, "orders").filter("o_custkey < 300"))
+
+
+@query("SELECT o_custkey, count(*) OVER (PARTITION BY o_custkey) AS total, 'INFO-000' AS code, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS page_row, o_orderkey FROM orders")
+def json_rows_whole(spark, sf_dir):
+    return unpacked(table(spark, sf_dir, "orders"))
+
+
 @query("SELECT CAST(max(year(o_orderdate)) AS INTEGER) AS year FROM orders")
 def newest_year(spark, sf_dir):
     return landed.newest_year(table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")))
