@@ -4,8 +4,12 @@ A rule (host, path) fits a url whose host is the rule's or a subdomain of it and
 begins with the rule's; of several the longest counts. Urls without a rule get their host's
 verdict: hosts with an allowed page are seeds of trust, which flows along links; hosts that a
 rule blocks whole are seeds of distrust, which flows against them (who links to a blocked host
-is distrusted); a host that is blocked whole but for some allowed pages is neither. Both are personalised PageRank over host edges; a host is blocked if its
-distrust exceeds its trust and the threshold, relative to the mean of the blocked seeds.
+is distrusted); a host that is blocked whole but for some allowed pages is neither. Both are reported as personalised PageRank over host edges.
+
+The verdict rests on what other linkers of a seed do not dilute: the same walk with shares of a
+host's own links. bad_share is the damped share of what a host links to that leads to blocked
+hosts, good_share that of what links to it that comes from trusted ones, each iterated until it
+changes by less than CLOSE. A host is blocked if bad_share exceeds good_share and the threshold.
 
 A null url, or one without `://`, has an empty host and path, no rule, and is allowed. A null
 page has no links. Repeated rows count and return each. Empty tables give empty results; extra
@@ -23,6 +27,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.25
+#: Damping makes each round's change smaller by 0.85 at least, so this takes 57 rounds at most.
+CLOSE = 1e-4
 
 
 def host(url: Column) -> Column:
@@ -73,8 +79,27 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     return score
 
 
+def reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """host, score: the damped share of a host's `edges` (src, dst, n) that lead to `seeds` (host), which have 1 themselves.
+
+    It depends on the links of a host and of what it leads to, not on who else links there.
+    """
+    seeds = common.staged(seeds.select("host", F.lit(1.0).alias("score")), "reach-seeds")
+    out = edges.groupBy("src").agg(F.sum("n").alias("all"))
+    shares = edges.join(out, "src").join(seeds.select(F.col("host").alias("src")), "src", "left_anti")
+    shares = common.staged(shares.select("src", "dst", (F.col("n") / F.col("all")).alias("share")), "reach-shares")
+    score = seeds
+    while True:
+        got = score.join(shares, score["host"] == shares["dst"]).groupBy("src").agg((F.sum(F.col("score") * F.col("share")) * DAMPING).alias("score"))
+        before, score = score, common.staged(got.select(F.col("src").alias("host"), "score").unionByName(seeds), "reach")
+        old = before.select("host", F.col("score").alias("old"))
+        change = score.join(old, "host", "left").agg(F.max(F.col("score") - F.coalesce("old", F.lit(0.0)))).first()[0]
+        if (change or 0.0) < CLOSE:
+            return score
+
+
 def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
-    """page_id, host, path, rule, verdict, trust, distrust of every row."""
+    """page_id, host, path, rule, verdict, trust, distrust, bad_share, good_share of every row."""
     ruled = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).withColumn("r", rule(rules))
     whole = [h for verdict, h, p in rules if verdict == "block" and p in ("", "/")]
     by_host = common.staged(ruled.filter("host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("r.verdict") == "allow").alias("allowed")), "hosts")
@@ -87,12 +112,17 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     bad = known.filter(blocked & (F.col("allowed") == 0)).select("host", F.lit(1.0).alias("weight"))
     good = known.filter(~blocked & (F.col("allowed") > 0)).select("host", F.lit(1.0).alias("weight"))
     trust = spread(edges, good).withColumnRenamed("score", "trust")
-    distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), bad).withColumnRenamed("score", "distrust")
-    level = threshold / max(1, bad.count())
-    hosts = known.select("host").join(trust, "host", "left").join(distrust, "host", "left").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+    distrust = spread(back, bad).withColumnRenamed("score", "distrust")
+    scores = {"trust": trust, "distrust": distrust, "bad_share": reach(edges, bad).withColumnRenamed("score", "bad_share"), "good_share": reach(back, good).withColumnRenamed("score", "good_share")}
+    hosts = known.select("host")
+    for found in scores.values():
+        hosts = hosts.join(found, "host", "left")
+    hosts = hosts.select("host", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in scores])
     hosts = common.staged(hosts, "host-scores")  # the join below is then dealt out anew on both sides, and Spark can split a large host
-    method = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") > level), "block").otherwise("allow")
-    return ruled.join(hosts, "host", "left").select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", method).alias("verdict"), "trust", "distrust")
+    # rounded, so that the order of sums doesn't settle ties
+    method = F.when((F.round("bad_share", 9) > F.round("good_share", 9)) & (F.col("bad_share") > threshold), "block").otherwise("allow")
+    return ruled.join(hosts, "host", "left").select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", method).alias("verdict"), *scores)
 
 
 def digests(found: DataFrame) -> DataFrame:
