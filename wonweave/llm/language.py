@@ -181,10 +181,17 @@ def digests(docs: DataFrame, model: Classifier | None) -> DataFrame:
 
 
 def drop_unknown(docs: DataFrame, held_out: int = 2) -> DataFrame:
-    """The rows whose text isn't `und`, with all their columns."""
+    """The rows whose text isn't `und`, with all their columns; where nothing can be learned, the rows with a letter."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    score = _Scorer(docs, train(docs, held_out))
+    model = train(docs, held_out)
+    score, learned = _Scorer(docs, model), model is not None
+
+    def known(texts: list[str | None]) -> list[bool]:
+        if learned:
+            return [x != "und" for x in score(texts)[0]]
+        return [bool(k) for i in range(0, len(texts), BATCH) for k in has_letter(presence(texts[i : i + BATCH]))]
+
     schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in docs.schema])
     at = docs.columns.index("text")
 
@@ -194,7 +201,7 @@ def drop_unknown(docs: DataFrame, held_out: int = 2) -> DataFrame:
             for hi in range(1, len(texts) + 1):
                 size += len(texts[hi - 1] or "")
                 if size > common.SLICE_BYTES or hi == len(texts):
-                    keep += [x != "und" for x in score(texts[lo:hi])[0]]
+                    keep += known(texts[lo:hi])
                     lo, size = hi, 0
             yield batch.filter(pa.array(keep, pa.bool_())).cast(schema)
 
