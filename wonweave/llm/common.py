@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
@@ -21,37 +22,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir); only where that is unset, as in tests, a local folder is set."""
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
+
+    Where that is unset a folder of this machine is set, but only with a local master: on a
+    cluster executors would write to folders of their own, so it is an error there.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wonweave-"))
-            set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        top = set_dir.get()
+        context = spark.sparkContext
+        if context._jsc.sc().getCheckpointDir().isEmpty():
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="wonweave-"))
+        top = context._jsc.sc().getCheckpointDir().get()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: While a table is staged: Arrow batches are limited by bytes, and shuffle files go as soon as what they were for is written.
+STAGING = {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in STAGING}
+    for k, v in STAGING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """df, written as Parquet to shared storage and read back: cuts the lineage, so that a lost executor costs only what it was running."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     schema = df.schema
-    df.write.option("compression", codec).parquet(path)
+    with staging(spark):
+        df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._staged_at = path
     return out
 
 
-def drop(df: DataFrame) -> None:
-    """Removes the files of a staged() table that nothing reads any more."""
-    spark, place = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+def drop(*tables: DataFrame) -> None:
+    """Removes the files of staged() tables that nothing reads any more."""
+    for df in tables:
+        spark, place = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a binary or string array without nulls; nothing is copied."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), at
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished stages whose frames are out of reach; nothing that is still referenced goes."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of up to `limit` bytes in all; a longer text is alone."""
+    i = 0
+    while i < len(offsets) - 1:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
+        yield i, j
+        i = j
 
 
 def by_slice(schema: pa.Schema, work: Callable[[list[list]], list], limit: int = SLICE_BYTES) -> Callable:

@@ -1,28 +1,31 @@
 """Operator 4: removal of every byte in a string of LENGTH bytes that starts anywhere else too.
 
-Prefix doubling over a sparse suffix array. Ranks are names: equal strings have equal names,
-and Spark groups and sorts rows by the names of longer and longer strings at a position, each
-made from a pair of names at growing offsets; a position leaves as soon as its name is unique,
-and what is left at LENGTH bytes is repeated.
-
-A position p of a text stands behind the position a(p) of the least hash of GRAM bytes among
-p ... p + SPAN - 1 (the leftmost of equal ones). As GRAM + SPAN - 1 <= LENGTH, a(p) - p depends
-only on the string of LENGTH bytes at p: equal strings stand behind their own a(p) at the same
-distance. So a row can stand for all p behind an a at distances of one range:
-
-- its core, the bytes that all strings at these p contain; if it is unique, so are they;
-- its whole stretch, the bytes that they cover; if it is found again, so are they all.
-
-Rounds: ranges of SPAN distances (cores of 41 bytes), then, where the core is repeated and the
-stretch isn't, ranges of STEP distances (cores of 185 bytes), then single positions. One row of
-each repeated stretch stays in the search, so that others find it.
-
-Names are 64-bit fingerprints of the bytes they name, so no round numbers all rows.
+Prefix doubling over a sparse suffix array. A position p of a text stands behind the anchor
+a(p), the position of the least hash of GRAM bytes among p ... p + SPAN - 1 (the leftmost of
+equal ones). As GRAM + SPAN - 1 <= LENGTH, a(p) - p depends only on the LENGTH bytes at p, so
+equal strings stand behind their own anchors at equal distances, and only anchors, about one
+in 70 positions, need rows. A row stands for the distances d ... d + size - 1 behind an anchor:
+
+- its core, the bytes that the strings at all of these contain, LENGTH - size + 1 of them;
+- its whole, the bytes that they cover.
+
+In rounds of lesser size and so of longer cores, Spark ranks the rows: a row's pair is the rank
+of the core it came from and the name of the bytes by which that has grown at both ends. Pairs
+are counted, sorted and numbered anew in that order; a row whose pair is unique leaves, for no
+string behind it is found again. A row whose whole is found again leaves too, as all of its
+strings are repeated; one row of each such whole stays as a witness, so that others find it.
+What is left at a size of 1 are strings of LENGTH bytes, past the threshold. Rows whose wholes
+are repeated end early, so late rounds have rows only at the ends of repeated passages.
+
+Names that decide are 128-bit BLAKE2b of the bytes themselves. 64-bit hashes only choose
+anchors and drop, before the first round, anchors whose next GRAM + 9 bytes are unique; their
+collisions cost time and change nothing.
 
 Exact copies are found by digest first: only one text of each takes part in the rounds, and
 all bytes of a text that has a copy go if it has LENGTH bytes. Repeated rows count as copies
-and each returns. A null or empty text has no bytes; a null doc_id is like any other. Empty
-tables give empty results. Extra columns are ignored.
+and each returns. A null or empty text has no bytes; a null doc_id is like any other. A text of
+any length is worked through in stretches of a bounded size. Empty tables give empty results.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,38 +33,45 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wonweave.llm import common
 
 LENGTH = 200
-GRAM, SPAN, STEP = 32, 160, 16
+GRAM, SPAN = 32, 160
+#: Distances that a row of each round stands for; the cores have 41, 161, 191 and 200 bytes.
+ROUNDS = (SPAN, 40, 10, 1)
 CORE = LENGTH - SPAN + 1
-#: Positions of a text looked at together; a longer text is looked at in overlapping stretches.
-STRETCH = 1 << 21
+#: Bytes looked at together; the hashes of so many fit a core's cache.
+STRETCH = 1 << 18
 
+_U = np.uint64
 _BYTE = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
+_PLACE = _U((1 << 22) - 1)
+_SALT = [i.to_bytes(2, "little") for i in range(SPAN + 1)]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> _U(29)
+    h *= _U(0xBF58476D1CE4E5B9)
+    h ^= h >> _U(32)
+    return h
 
 
-def names(data: np.ndarray, size: int) -> np.ndarray:
-    """A name for the `size` bytes at each position: names of twice the bytes from pairs, again and again."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the GRAM bytes at each position: those of twice the bytes from pairs, again and again."""
     h, n, power = _BYTE[data], 1, _BASE
-    while n < size:
-        step = min(n, size - n)  # the second half may overlap the first
-        factor = np.uint64(power if step == n else power ^ (step * 0xD6E8FEB86659FD93 & (2**64 - 1)) | 1)
-        h = h[: len(h) - step] * factor + h[step:]
-        h = _mix(h) if n >= 8 else h
-        n, power = n + step, power * power % 2**64
+    while n < GRAM:
+        pair = h[:-n] * _U(power)
+        pair += h[n:]
+        h = _mix(pair) if n >= 8 else pair
+        n, power = 2 * n, power * power % 2**64
     return h
 
 
@@ -74,24 +84,53 @@ def _least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (w - n)], x[w - n :]) if n < w else x
 
 
-def stands_behind(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, first, end) in order: the positions first ... end - 1 stand behind a."""
-    total = len(data) - length + 1
-    if total <= 0:
-        return (np.zeros(0, np.int64),) * 3
-    anchors = []
-    for b in range(0, total, STRETCH):
-        part = data[b : min(b + STRETCH, total) + length - 1]
-        h = _mix(names(part, GRAM))
-        key = (h & ~np.uint64((1 << 22) - 1)) | np.arange(len(h), dtype=np.uint64)
-        least = _least(key, SPAN)[: len(part) - length + 1]
-        anchors.append((least & np.uint64((1 << 22) - 1)).astype(np.int64) + b)
-    a = np.concatenate(anchors)
-    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-    return a[first], first, np.concatenate([first[1:], [total]])
-
-
-def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
+def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, a, lo, hi, core) in order: the positions lo ... hi - 1 of a text stand behind a, all as places in `data`."""
+    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
+    if len(data) < LENGTH:
+        return none
+    begin, end = offsets[:-1], offsets[1:]
+    long = end - begin >= LENGTH
+    h = gram_hashes(data)
+    key = _mix(h.copy())
+    key &= ~_PLACE
+    key |= np.arange(len(key), dtype=np.uint64)
+    a = (_least(key, SPAN) & _PLACE).astype(np.int64)
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[begin[long]] += 1
+    edge[end[long] - LENGTH + 1] -= 1
+    inside = np.cumsum(edge, dtype=np.int8)[: len(a)] > 0
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | ~inside[:-1]
+    lo = np.flatnonzero(new & inside)
+    if not len(lo):
+        return none
+    text = np.searchsorted(offsets, lo, side="right") - 1
+    hi = np.minimum(np.append(lo[1:], len(data)), end[text] - LENGTH + 1)
+    at = a[lo]
+    return text, at, lo, hi, _mix(h[at] * _U(_BASE) + h[at + (CORE - GRAM)])
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """As _anchors(), a stretch at a time; a stretch is of whole texts or of a part of one."""
+    found = []
+    for i, j in common.slices(offsets, STRETCH):
+        first, last = int(offsets[i]), int(offsets[j])
+        if last - first <= STRETCH:
+            parts = [(first, last, offsets[i : j + 1] - first)]
+        else:
+            parts = [(b, e := min(b + STRETCH + LENGTH - 1, last), np.array([0, e - b])) for b in range(first, max(first + 1, last - LENGTH + 1), STRETCH)]
+        for b, e, at in parts:
+            text, *places, core = _anchors(data[b:e], at)
+            found.append((text + i, *(p + b for p in places), core))
+    text, a, lo, hi, core = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
+    # an anchor's positions may go on in the next stretch
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (text[1:] != text[:-1])])) if len(a) else a
+    last = np.append(first[1:], len(a)) - 1 if len(a) else a
+    return text[first], a[first], lo[first], hi[last], core[first]
+
+
+def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
@@ -99,14 +138,12 @@ def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _name(data: bytes, salt: int) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8, salt=salt.to_bytes(8, "little")).digest(), "little", signed=True)
+@contextmanager
+def distinct_texts(docs: DataFrame) -> Iterator[DataFrame]:
+    """key, n, body of each text of LENGTH bytes or more, in a table bucketed by key: rounds read it without moving it.
 
-
-def distinct_texts(docs: DataFrame) -> DataFrame:
-    """key, n, body of each text of LENGTH bytes or more, in a table bucketed by key: later rounds read it without moving it.
-
-    A task sends each text once, and the count of what it saw again without the text.
+    A task sends each text once, and the count of what it saw again without the text. The
+    table goes when the work on it is done or has failed.
     """
     spark = docs.sparkSession
     schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("body", pa.binary())])
@@ -121,9 +158,9 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
                 if k not in seen:
                     new.append(i)
                 seen[k] = seen.get(k, -1) + 1
-            yield _rows(schema, [keys[i] for i in new], [1] * len(new), [bodies[i] for i in new])
+            yield _batch(schema, [keys[i] for i in new], [1] * len(new), [bodies[i] for i in new])
         again = [(k, n) for k, n in seen.items() if n]
-        yield _rows(schema, [k for k, _ in again], [n for _, n in again], [None] * len(again))
+        yield _batch(schema, [k for k, _ in again], [n for _, n in again], [None] * len(again))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = body = None
@@ -137,9 +174,9 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
                     key, n, body = k, 0, None
                 n, body = n + m, b if body is None else body
             if out:
-                yield _rows(schema, *zip(*out, strict=True))
+                yield _batch(schema, *zip(*out, strict=True))
         if key is not None:
-            yield _rows(schema, [key], [n], [body])
+            yield _batch(schema, [key], [n], [body])
 
     ddl = "key binary, n long, body binary"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -147,127 +184,113 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     merged = long.mapInArrow(once, ddl).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(merge, ddl)
     name = f"texts_{uuid.uuid4().hex}"
     path = common.scratch(spark, "texts")
-    merged.write.bucketBy(parts, "key").option("compression", "zstd").option("path", path).saveAsTable(name)
-    out = spark.table(name)
-    out._staged_at, out._table = path, name
-    common.release(spark)
-    return out
-
-
-def _marked(marks: DataFrame, texts: DataFrame, columns: list[str]) -> DataFrame:
-    """key, body and the marks of each text as arrays. Only the marks are moved."""
-    packed = marks.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("m"))
-    return texts.select("key", "body").join(packed.hint("shuffle_merge"), "key").select("key", "body", *[F.col(f"m.{c}").alias(c) for c in columns])
+    try:
+        with common.staging(spark):
+            merged.write.bucketBy(parts, "key").option("compression", "zstd").option("path", path).saveAsTable(name)
+        out = spark.table(name)
+        out._staged_at = path
+        yield out
+        common.drop(out)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _cores(texts: DataFrame) -> DataFrame:
-    """key, a, core (name of the bytes shared by all strings behind a)."""
-    schema = pa.schema([("key", pa.binary()), ("a", pa.int32()), ("core", pa.int64())])
+# A row of a round in one number: the anchor, how many texts it stands for (2: more), its first distance, and its least and greatest used ones.
+def _packed(a: np.ndarray, n: np.ndarray, d: np.ndarray, least: np.ndarray, greatest: np.ndarray) -> np.ndarray:
+    return (a << 32) | (n << 24) | (d << 16) | (least << 8) | greatest
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(body, np.uint8)
-                a, *_ = stands_behind(data)
-                if len(a):
-                    yield _rows(schema, [key] * len(a), a, names(data, CORE)[a].view(np.int64))
 
-    return texts.select("key", "body").mapInArrow(run, "key binary, a int, core long")
+def _marked(marks: DataFrame, texts: DataFrame, columns: list[str]) -> DataFrame:
+    """key, body and the marks of each text as arrays. Only the marks are moved, and bodies are not sorted."""
+    packed = marks.groupBy("key").agg(*[F.collect_list(c).alias(c) for c in columns]) if len(columns) == 1 else marks.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("m")).select("key", *[F.col(f"m.{c}").alias(c) for c in columns])
+    return texts.select("key", "body").join(packed.hint("shuffle_hash"), "key").select("key", "body", *columns)
 
 
-def _stretches(kept: DataFrame, texts: DataFrame) -> DataFrame:
-    """key, a, lo, hi, whole: the positions lo ... hi - 1 behind each a that is left, and the name of what they cover."""
-    schema = pa.schema([("key", pa.binary()), ("a", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("whole", pa.int64())])
+def _first(texts: DataFrame) -> DataFrame:
+    """key, at, n, core of every anchor."""
+    schema = pa.schema([("key", pa.binary()), ("at", pa.int64()), ("n", pa.int32()), ("core", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, body, left in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, first, end = stands_behind(np.frombuffer(body, np.uint8))
-                at = np.searchsorted(a, np.array(left))
-                a, first, end = a[at], first[at], end[at]
-                whole = [_name(body[f : e - 1 + LENGTH], p - f) for p, f, e in zip(a.tolist(), first.tolist(), end.tolist(), strict=True)]
-                yield _rows(schema, [key] * len(a), a, first, end, whole)
-
-    return _marked(kept, texts, ["a"]).mapInArrow(run, "key binary, a int, lo int, hi int, whole long")
+            keys, data = batch.column(0), batch.column(2)
+            copies = np.minimum(batch.column(1).to_numpy(zero_copy_only=False), 2).astype(np.int64)
+            data, offsets = common.flat(data)
+            text, a, lo, hi, core = anchors(data, offsets)
+            at = _packed(a - offsets[text], copies[text], np.zeros(len(a), np.int64), a - hi + 1, a - lo)
+            yield _batch(schema, keys.take(pa.array(text)), at, copies[text].astype(np.int32), core.view(np.int64))
 
+    return texts.mapInArrow(run, "key binary, at long, n int, core long")
 
-def _pieces(kept: DataFrame, texts: DataFrame) -> DataFrame:
-    """key, lo, hi, core, whole, n for each STEP distances behind an a that is left."""
-    schema = pa.schema([("key", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("core", pa.int64()), ("whole", pa.int64()), ("n", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, body, a, lo, hi, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                core = names(np.frombuffer(body, np.uint8), LENGTH - STEP + 1).view(np.int64)
-                out = []
-                for p, f, e, m in zip(a, lo, hi, n, strict=True):
-                    for d in range((p - e + 1) // STEP * STEP, p - f + 1, STEP):  # distances d ... d + STEP - 1
-                        begin, end = max(f, p - d - STEP + 1), min(e, p - d + 1)
-                        out.append((begin, end, int(core[p - d]), _name(body[begin : end - 1 + LENGTH], p - begin), m))
-                yield _rows(schema, [key] * len(out), *zip(*out, strict=True))
-
-    return _marked(kept, texts, ["a", "lo", "hi", "n"]).mapInArrow(run, "key binary, lo int, hi int, core long, whole long, n int")
+def _name(data: memoryview, salt: int) -> bytes:
+    return hashlib.blake2b(data, digest_size=16, salt=_SALT[salt]).digest()
 
 
-def _positions(kept: DataFrame, texts: DataFrame) -> DataFrame:
-    """key, p, whole, n for each single position that is left."""
-    schema = pa.schema([("key", pa.binary()), ("p", pa.int32()), ("whole", pa.int64()), ("n", pa.int32())])
+def _rows(marks: DataFrame, texts: DataFrame, size: int, before: int) -> DataFrame:
+    """key, at, n, rank, core (the bytes by which it has grown), whole; for each `size` distances of rows of `before` distances."""
+    schema = pa.schema([("key", pa.binary()), ("at", pa.int64()), ("n", pa.int32()), ("rank", pa.int64()), *((c, pa.int64()) for c in ("core1", "core2", "whole1", "whole2"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, body, lo, hi, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                whole = names(np.frombuffer(body, np.uint8), LENGTH).view(np.int64)
-                lo, size = np.array(lo), np.array(hi) - np.array(lo)
-                p = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                yield _rows(schema, [key] * len(p), p, whole[p], np.repeat(np.array(n), size))
-
-    return _marked(kept, texts, ["lo", "hi", "n"]).mapInArrow(run, "key binary, p int, whole long, n int")
-
-
-def covered(texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """(key, lo, hi: ranges of positions of texts where a repeated string of LENGTH bytes starts; the staged tables that these are read from)."""
-    spark = texts.sparkSession
-    cores = common.staged(_cores(texts), "cores")
-    # written first: both sides of the join are then dealt out anew, and Spark can split a frequent core
-    often = common.staged(cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores-often")
-    left = common.staged(cores.join(often, "core").select("key", "a"), "cores-left")
-    common.release(spark)
-    common.drop(cores)
-    common.drop(often)
-
-    # whole stretches: what is repeated is done, one row of it stays to be found
-    rows = common.staged(_stretches(left, texts), "stretches")
-    common.release(spark)
-    common.drop(left)
-    same = common.staged(rows.groupBy("whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "a")).alias("one")), "stretches-same")
-    rows_n = common.staged(rows.join(same, "whole").select("key", "a", "lo", "hi", F.least("n", F.lit(2)).cast("int").alias("n"), (F.struct("key", "a") == F.col("one")).alias("one")), "stretches-named")
-    common.release(spark)
-    common.drop(rows)
-    common.drop(same)
-    done = [rows_n.filter("n > 1").select("key", "lo", "hi")]
-
-    pieces = common.staged(_pieces(rows_n.filter("one"), texts), "pieces")
-    common.release(spark)
-    same = common.staged(pieces.groupBy("whole").agg(F.sum("n").alias("of"), F.min(F.struct("key", "lo")).alias("one")), "pieces-same")
-    pieces_n = common.staged(pieces.join(same, "whole").select("key", "lo", "hi", "core", "n", F.least("of", F.lit(2)).cast("int").alias("of"), (F.struct("key", "lo") == F.col("one")).alias("one")), "pieces-named")
-    common.release(spark)
-    common.drop(pieces)
-    common.drop(same)
-    done.append(pieces_n.filter("n = 1 AND of > 1").select("key", "lo", "hi"))
-
-    # of a core that several stretches share and of which some isn't found whole
-    shared = pieces_n.filter("one").groupBy("core").agg(F.sum("of").alias("in_all"), F.min("of").alias("least")).filter("in_all > 1 AND least = 1").select("core")
-    shared = common.staged(shared, "cores-shared")
-    left = common.staged(pieces_n.filter("one").join(shared, "core").select("key", "lo", "hi", F.col("of").alias("n")), "pieces-left")
-    common.release(spark)
-    often = _positions(left, texts).groupBy("whole").agg(F.sum("n").alias("of")).filter("of > 1").select("whole")
-    often = common.staged(often, "positions-often")
-    single = _positions(left.filter("n = 1"), texts).join(often, "whole").select("key", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
-    single = common.staged(single, "positions")
-    common.release(spark)
-    for used in (shared, left, often):
-        common.drop(used)
-    return done[0].unionByName(done[1]).unionByName(single), [rows_n, pieces_n, single]
+            data, offsets = common.flat(batch.column(1))
+            view = memoryview(data)
+            counts, out, cores, wholes = [], [], [], []
+            for i, (marked, ranks) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                body, had = view[offsets[i] : offsets[i + 1]], len(out)
+                for mark, rank in zip(marked, ranks, strict=True):
+                    a, n, d0, least, greatest = mark >> 32, mark >> 24 & 255, mark >> 16 & 255, mark >> 8 & 255, mark & 255
+                    for d in range(d0 + (least - d0) // size * size, greatest + 1, size):
+                        lo, hi = max(a - greatest, a - d - size + 1), min(a - least, a - d)  # the first and last position
+                        if before == size:
+                            cores.append(_name(body[a : a + CORE], 0))
+                        else:
+                            left, right = body[a - d : a - d0], body[a - d0 - before + 1 + LENGTH : a - d - size + 1 + LENGTH]
+                            cores.append(_name(bytes(left) + bytes(right), d - d0))
+                        wholes.append(_name(body[lo : hi + LENGTH], a - lo))
+                        out.append((a << 32 | n << 24 | d << 16 | a - hi << 8 | a - lo, n, rank))
+                counts.append(len(out) - had)
+            if out:
+                at, n, rank = (np.array(x, np.int64) for x in zip(*out, strict=True))
+                named = [np.frombuffer(b"".join(x), "<i8").reshape(-1, 2) for x in (cores, wholes)]
+                yield _batch(schema, batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts))), at, n.astype(np.int32), rank, *(np.ascontiguousarray(x[:, k]) for x in named for k in (0, 1)))
+
+    return _marked(marks, texts, ["at", "rank"]).mapInArrow(run, "key binary, at long, n int, rank long, core1 long, core2 long, whole1 long, whole2 long")
+
+
+PAIR, WHOLE = ["rank", "core1", "core2"], ["whole1", "whole2"]
+
+
+def _with_count(at: Column, n: Column) -> Column:
+    return at.bitwiseAND(F.lit(~(255 << 24))).bitwiseOR(F.shiftleft(n.cast("long"), 24))
+
+
+def repeated(texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, at of the rows whose strings of LENGTH bytes all start elsewhere too; the staged tables that these are read from)."""
+    first = common.staged(_first(texts), "anchors")
+    # written first: both sides of a join on what is frequent are then dealt out anew, and Spark can split it
+    often = common.staged(first.groupBy("core").agg(F.count("*").alias("k"), F.min("n").alias("least")).filter("k > 1 AND least = 1").select("core"), "anchors-often")
+    marks = common.staged(first.join(often, "core").select("key", "at", F.lit(0).cast("long").alias("rank")), "marks")
+    common.drop(first, often)
+    found, before = [], SPAN
+    for size in ROUNDS:
+        rows = common.staged(_rows(marks, texts, size, before).withColumn("row", F.monotonically_increasing_id()), "rows")
+        common.drop(marks)
+        wholes = common.staged(rows.groupBy(*PAIR, *WHOLE).agg(F.sum("n").alias("of"), F.min("row").alias("row")), "wholes")
+        done = rows.filter("n = 1").join(wholes.filter("of > 1").select(*WHOLE), WHOLE).select("key", "at")
+        found.append(common.staged(done, "repeated"))
+        if size > 1:
+            # rank pairs that several wholes share, one of them not found again; numbered in their order
+            pairs = wholes.groupBy(*PAIR).agg(F.sum("of").alias("of"), F.min("of").alias("least")).filter("of > 1 AND least = 1").select(*PAIR)
+            ranks = common.staged(pairs.orderBy(*PAIR).withColumn("next", F.monotonically_increasing_id()), "ranks")
+            kept = common.staged(wholes.join(ranks, PAIR).select("row", F.least("of", F.lit(2)).alias("of"), "next"), "kept")
+            marks = common.staged(rows.join(kept, "row").select("key", _with_count(F.col("at"), F.col("of")).alias("at"), F.col("next").alias("rank")), "marks")
+            common.drop(ranks, kept)
+        common.drop(rows, wholes)
+        before = size
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out, found
 
 
 def runs(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -280,7 +303,7 @@ def runs(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), ends[np.concatenate([new[1:], [True]])].tolist(), strict=True))
 
 
-def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
+def cut(body: memoryview, spans: list[tuple[int, int]]) -> bytes:
     at, out = 0, []
     for lo, hi in spans:
         out.append(body[at:lo])
@@ -290,24 +313,25 @@ def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def changed_texts(docs: DataFrame) -> DataFrame:
     """key (digest), n_removed, n_spans, kept (bytes) of each distinct text that loses bytes; written to shared storage."""
-    texts = distinct_texts(docs)
     schema = pa.schema([("key", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, body, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                spans = runs(np.array(lo), np.array(hi) - 1 + LENGTH)
-                kept = cut(body, spans)
-                yield _rows(schema, [key], [len(body) - len(kept)], [len(spans)], [kept])
-
-    ranges, used = covered(texts)
-    found = ranges.join(texts.filter("n > 1").select("key"), "key", "left_anti")
-    cut_texts = _marked(found, texts, ["lo", "hi"]).mapInArrow(run, "key binary, n_removed long, n_spans long, kept binary")
-    copies = texts.filter("n > 1").select("key", F.length("body").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
-    out = common.staged(cut_texts.unionByName(copies), "changed-texts")
-    docs.sparkSession.sql(f"DROP TABLE {texts._table}")
-    for df in (*used, texts):
-        common.drop(df)
+            data, offsets = common.flat(batch.column(1))
+            view, out = memoryview(data), []
+            for i, found in enumerate(batch.column(2).to_pylist()):
+                at, body = np.array(found, np.int64), view[offsets[i] : offsets[i + 1]]
+                spans = runs((at >> 32) - (at & 255), (at >> 32) - (at >> 8 & 255) + LENGTH)
+                out.append((sum(e - b for b, e in spans), len(spans), cut(body, spans)))
+            if out:
+                yield _batch(schema, batch.column(0), *zip(*out, strict=True))
+
+    with distinct_texts(docs) as texts:
+        found, used = repeated(texts)
+        cut_texts = _marked(found, texts, ["at"]).mapInArrow(run, "key binary, n_removed long, n_spans long, kept binary")
+        copies = texts.filter("n > 1").select("key", F.length("body").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))
+        out = common.staged(cut_texts.unionByName(copies), "changed-texts")
+        common.drop(*used)
     return out
 
 

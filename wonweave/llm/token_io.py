@@ -267,7 +267,6 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, limit: int =
     tokens = common.staged(tokenize(docs, vocabulary, end_id), "tokens")
     code = Code.of({r.id: r.n for r in count_ids(tokens).collect()}, limit)
     blocks = common.staged(encode_blocks(tokens, code), "token-blocks", "uncompressed")
-    common.release(spark)
     common.drop(tokens)
     return blocks, code
 
