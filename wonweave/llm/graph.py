@@ -32,7 +32,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(now) == seen or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            out._staged_at = edges._staged_at
+            return out
         seen = tuple(now)
         before, edges = edges, common.staged(_small_star(_large_star(edges)), "edges")
         common.drop(before)

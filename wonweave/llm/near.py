@@ -1,9 +1,12 @@
-"""The pipeline's near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Operator 6 as a stage: of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more one stays.
 
-All such pairs are found, by a prefix filter: sets of n and m shingles that are similar share at
-least 0.8 max(n, m), so they share one among the first n - ceil(0.8 n) + 1 of each, in any order
-of all shingles. Shingles that are frequent in a sample come last in it, which keeps the buckets
-small and changes no result. Candidates are compared as whole sets.
+Operator 6's SimHash of the five-word shingles and its generalised pigeonhole find most groups
+of copies first. Every link is verified on whole sets. No number of bits that can be probed holds
+all pairs of similarity 0.8, which differ in about 10 of 64 bits, so what SimHash has not joined
+is completed by a prefix filter, which finds all such pairs: sets of n and m shingles that are
+similar share at least 0.8 max(n, m), so they share one among the first n - ceil(0.8 n) + 1 of
+each, in any order of all shingles. Shingles that are frequent in a sample come last in it,
+which keeps the buckets small and changes no result.
 
 A bucket is not compared pair by pair: in each round one set of it is compared with those that
 no chain of links joins to it yet, and leaves; a bucket whose sets are all joined is done. So a
@@ -11,7 +14,9 @@ dense group of copies costs about its size. After ROUNDS the pairs that are stil
 compared all at once.
 
 Shingles are told by 64-bit XXH64, sets by 64-bit XXH64 of their shingles. Words are those of
-operator 6; a text of fewer than five is one shingle, and texts without words are equal.
+operator 6; a text of fewer than five is one shingle, and texts without words, null ones too,
+are equal. A very long text is one set. Rows are told by doc_id and digest, see
+simhash.survivors(); an empty table gives an empty result; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from pyspark.sql import functions as F
 from wonweave.llm import common, graph, simhash
 
 WORDS = 5
+#: Differing bits up to which operator 6 proposes a link.
+BITS_APART = 3
 #: Rounds of one set against its bucket.
 ROUNDS = 4
 #: Of so many sets one is looked at for frequent shingles; of those at most so many are told apart.
@@ -35,52 +42,59 @@ SAMPLE, FREQUENT = 16, 100_000
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Distinct hashes in order."""
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.zeros(0, np.int64)
-    parts = {b" ".join(found)} if len(found) < words else set(map(b" ".join, zip(*(found[i:] for i in range(words)), strict=False)))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in parts), np.uint64, len(parts)).view(np.int64))
+    return np.unique(simhash.hashes(text, words).view(np.int64))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, node, n, shingles of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("node", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Hashes and counts of shingles that are frequent in a sample of texts, at most FREQUENT, by hash."""
+    schema = pa.schema([("s", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(text))], schema=schema)
+
+    seen = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("k")).filter("k > 2")
+    often = sorted((r.s, r.k) for r in seen.orderBy(F.desc("k"), "s").limit(FREQUENT).collect())
+    return np.array(often, np.int64).reshape(-1, 2)
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, node, n, fp, prefix (the shingles of each set that a similar one must share) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("node", pa.int64()), ("n", pa.int32()), ("fp", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs))  # FREQUENT pairs at most, whatever the corpus
+
+    def prefix(s: np.ndarray) -> np.ndarray:
+        names, counts = shared.value[:, 0], shared.value[:, 1]
+        rank = np.zeros(len(s), np.int64)
+        if len(names):
+            at = np.minimum(np.searchsorted(names, s), len(names) - 1)
+            rank = np.where(names[at] == s, counts[at], 0)
+        return s[np.lexsort((s, rank))][: len(s) - -(-4 * len(s) // 5) + 1] if len(s) else s
 
     def work(columns: list[list]) -> list:
         found = [shingles(t) for t in columns[2]]
-        nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in found], np.uint64).view(np.int64)
-        return [*columns[:2], nodes, [len(s) for s in found], found]
+        nodes = np.array([_node(s) for s in found], np.uint64).view(np.int64)
+        return [*columns[:2], nodes, [len(s) for s in found], np.array([simhash.majority(s.view(np.uint64)) for s in found], np.uint64).view(np.int64), [prefix(s) for s in found]]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), simhash.text_digest().alias("digest"), "text")
-    return rows.mapInArrow(common.by_slice(schema, work), "doc_id long, digest string, node long, n int, shingles array<long>")
+    return rows.mapInArrow(common.by_slice(schema, work), "doc_id long, digest string, node long, n int, fp long, prefix array<long>")
 
 
-def _prefixes(sets: DataFrame) -> DataFrame:
-    """key, node, n: the shingles of each set that a similar one must share."""
-    seen = sets.filter(F.pmod("node", F.lit(SAMPLE)) == 0).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("k")).filter("k > 2")
-    often = sorted((r.s, r.k) for r in seen.orderBy(F.desc("k"), "s").limit(FREQUENT).collect())
-    # FREQUENT pairs at most, whatever the corpus
-    shared = sets.sparkSession.sparkContext.broadcast(np.array(often, np.int64).reshape(-1, 2))
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+def _node(s: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(s.tobytes(), 42)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, counts = shared.value[:, 0], shared.value[:, 1]
-        for batch in batches:
-            keys, nodes, sizes = [], [], []
-            for node, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = found.values.to_numpy(zero_copy_only=False)
-                rank = np.zeros(len(s), np.int64)
-                if len(names):
-                    at = np.minimum(np.searchsorted(names, s), len(names) - 1)
-                    rank = np.where(names[at] == s, counts[at], 0)
-                first = s[np.lexsort((s, rank))][: len(s) - -(-4 * len(s) // 5) + 1]
-                keys.append(first)
-                nodes.append(np.full(len(first), node, np.int64))
-                sizes.append(np.full(len(first), len(s), np.int32))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip((keys, nodes, sizes), schema, strict=True)], schema=schema)
-
-    return sets.filter("n > 0").select("node", "shingles").mapInArrow(run, "key long, node long, n int")
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, shingles of the texts of the digests `wanted`."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def work(columns: list[list]) -> list:
+        found = [shingles(t) for t in columns[0]]
+        return [np.array([_node(s) for s in found], np.uint64).view(np.int64), found]
+
+    texts = docs.select(simhash.text_digest().alias("digest"), "text").join(wanted, "digest", "left_semi").dropDuplicates(["digest"])
+    return texts.select("text").mapInArrow(common.by_slice(schema, work), "node long, shingles array<long>")
 
 
 def _fits(n: Column, m: Column) -> Column:
@@ -95,24 +109,36 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.distinct().join(a, "u").join(b, "v").filter(9 * shared >= 4 * (F.size("a") + F.size("b"))).select("u", "v")
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """u, v: enough of the links between the distinct sets (node, n, shingles) to connect all that are linked."""
-    keyed = common.staged(_prefixes(sets), "near-prefixes")
-    many = keyed.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
-    left = common.staged(keyed.join(many, "key", "left_semi"), "near-buckets")
-    common.drop(keyed)
-    found = None
+def _simhash_links(nodes: DataFrame) -> DataFrame:
+    """u, v: nodes that operator 6 joins, by equal fingerprints or by few differing bits; not verified."""
+    prints = common.staged(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "near-prints")
+    same = nodes.join(prints, "fp").filter("node <> rep").select(F.col("rep").alias("u"), F.col("node").alias("v"))
+    close = simhash.links(prints, BITS_APART)
+    ends = [prints.select(F.col("fp").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "uv"]
+    return same.unionByName(close.join(ends[0], "u").join(ends[1], "v").select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")))
+
+
+def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """u, v: enough of the links between the distinct sets `nodes` (node, n, fp, prefix, digest) to connect all that are linked."""
+    keyed = nodes.select(F.explode("prefix").alias("key"), "node", "n")
+    many = common.staged(keyed.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "near-shared")
+    left = common.staged(keyed.join(many, "key"), "near-buckets")
+    common.drop(many)
+    # similar sets share a key, so only these take part
+    wanted = nodes.join(left.select("node").distinct(), "node", "left_semi")
+    sets = common.staged(_sets(docs, wanted.select("digest")), "near-sets")
+    found = common.staged(_verified(_simhash_links(wanted), sets), "near-links")
     for k in range(ROUNDS + 1):
-        if found is None:
-            named = left.withColumn("root", F.col("node"))
-        else:
-            named = left.join(graph.components(found).withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node")).drop("__node")
+        roots = graph.components(found)
+        named = left.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node")).drop("__node")
         named = common.staged(named, "near-named")
+        common.drop(roots)
         # of a bucket that is not all joined: a set of the least group leaves next
         groups = named.groupBy("key", "root").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
         picked = groups.groupBy("key").agg(F.count("*").alias("roots"), F.min(F.struct("size", "root", "first")).alias("p")).filter("roots > 1")
         picked = common.staged(picked.select("key", F.col("p.root").alias("__root"), F.col("p.first.node").alias("__node"), F.col("p.first.n").alias("__n")), "near-picked")
         if picked.isEmpty():
+            common.drop(named, picked)
             break
         if k == ROUNDS:
             open_ = named.join(picked.select("key"), "key", "left_semi")
@@ -121,23 +147,23 @@ def links(sets: DataFrame) -> DataFrame:
         else:
             apart = named.join(picked, "key").filter("root <> __root")
         pairs = apart.filter(_fits(F.col("n"), F.col("__n"))).select(F.least("node", "__node").alias("u"), F.greatest("node", "__node").alias("v"))
-        new = _verified(pairs, sets)
-        before, found = found, common.staged(new if found is None else found.unionByName(new), "near-links")
-        if before is not None:
-            common.drop(before)
+        before, found = found, common.staged(found.unionByName(_verified(pairs, sets)), "near-links")
+        common.drop(before)
         if k < ROUNDS:
             was, left = left, common.staged(named.join(picked, "key").filter("node <> __node").select("key", "node", "n"), "near-buckets")
             common.drop(was)
-        common.drop(named)
-    return found if found is not None else sets.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+        common.drop(named, picked)
+    common.drop(left, sets)
+    return found
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, digest, root of every row: rows that links join have one root."""
-    rows = common.staged(_sets(docs), "near-sets")
-    sets = common.staged(rows.dropDuplicates(["node"]).select("node", "n", "shingles"), "near-nodes")
-    roots = graph.components(links(sets))
-    common.drop(sets)
+    rows = common.staged(_scanned(docs), "near-rows")
+    nodes = common.staged(rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix"), F.min("digest").alias("digest")), "near-nodes")
+    found = links(nodes, docs)
+    roots = graph.components(found)
+    common.drop(nodes, found)
     return rows.select("doc_id", "digest", "node").join(roots, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, repeat
 from math import comb
 
 import numpy as np
@@ -37,19 +37,25 @@ CANDIDATE_COST = 0.02
 SMALL_BUCKET = 48
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Unsigned; a bit is 1 if over half of the shingles' XXH64 (seed 42) have it."""
+def hashes(text: str | None, shingle: int = 3) -> np.ndarray:
+    """XXH64 (seed 42) of every shingle of a text, repeats included; fewer words than `shingle` are one, none of no words."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
-    if len(words) < shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), 42)
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, 42) for s in map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))), np.uint64, len(words) - shingle + 1)
+        return np.zeros(0, np.uint64)
+    parts = [b" ".join(words)] if len(words) < shingle else list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)))
+    return np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(42)), np.uint64, len(parts))
+
+
+def majority(found: np.ndarray) -> int:
+    """Unsigned; a bit is 1 if over half of the hashes have it."""
     ones = np.zeros(BITS, np.int64)
-    for i in range(0, len(hashes), 1 << 15):
-        ones += np.unpackbits(hashes[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    for i in range(0, len(found), 1 << 15):
+        ones += np.unpackbits(found[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(found), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    return majority(hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, kept: str = "doc_id") -> DataFrame:
@@ -287,17 +293,3 @@ def survivors(docs: DataFrame, rows: DataFrame) -> DataFrame:
     order = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
     one = found.filter("__n > 1").groupBy("__id", "__digest").agg(F.min_by(F.struct(*docs.columns), F.struct(*order)).alias("r"))
     return single.unionByName(one.select("r.*"))
-
-
-def keep_one(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
-    """One row of each component, see survivors()."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("fp", pa.int64())])
-
-    def work(columns: list[list]) -> list:
-        return [*columns[:2], np.array([fingerprint(t, shingle) for t in columns[2]], np.uint64).view(np.int64)]
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
-    rows = common.staged(rows.mapInArrow(common.by_slice(schema, work), "doc_id long, digest string, fp long"), "simhash-rows")
-    nodes = common.staged(rows.select("fp").distinct(), "simhash-nodes")
-    roots = graph.components(links(nodes, most)).withColumnRenamed("node", "fp")
-    return survivors(docs, rows.join(roots, "fp", "left").select("doc_id", "digest", F.coalesce("root", "fp").alias("root")))
