@@ -45,8 +45,8 @@ def test_token_files(spark, docs):
 
     path = queries.vocabulary("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    blocks, code = token_io.write_tokens(docs, path)
-    got = token_io.read_tokens(blocks, code).orderBy("start").collect()
+    files = token_io.write_tokens(docs, path)
+    got = token_io.read_tokens(spark, files).orderBy("start").collect()
     want = []
     for i, t, *_ in cases.DOCS:
         ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
@@ -56,9 +56,32 @@ def test_token_files(spark, docs):
     for r, (*_, i, ids) in zip(got, want, strict=True):
         assert (r.doc_id, r.start, r.n_tokens, bytes(r.ids)) == (i, start, len(ids) // 4, ids)
         start += r.n_tokens
-    digests = token_io.digests(blocks, code).orderBy("start").collect()
+    digests = token_io.digests(spark, files).orderBy("start").collect()
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in digests] == [(r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in got]
-    assert token_io.digests(*token_io.write_tokens(empty(spark), path)).count() == 0
+    assert token_io.digests(spark, token_io.write_tokens(empty(spark), path)).count() == 0
+
+
+def test_ids_equal_the_library():
+    """Chunks given to the model match by match, and those that aren't, against the whole tokenizer."""
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rng = np.random.default_rng(2)
+    pieces = ["word", "Été", "über", "don't", "'s", "x_y", "12", "3a", "...", "#*", "<|endoftext|>", "<b>", " ", "  ", "\n", "\n\n", "\t", "\u00a0", "×", "ª", "😀", "日本", "\u0301", "a" * 70, "ﬀ", "½", "\x1c"]
+    texts = ["".join(pieces[i] for i in rng.integers(0, len(pieces), n)) for n in [1, 2, 3, 5, 8, 40] * 60] + [" ".join(pieces[i] for i in rng.integers(0, len(pieces), 12)) for _ in range(60)] + [t or "" for t in TEXTS]
+    for got, text in zip(token_io._cache(path).texts(texts), texts, strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)[:80]
+
+
+def test_cache_generations():
+    from wonweave.llm import common
+
+    calls = []
+    cache = common.ChunkCache(lambda chunks: calls.extend(chunks) or [c.encode() for c in chunks], most=5, longest=4)
+    texts = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((3, 2), (30, 9), (8, 4), (40, 30))] + ["longer words here"] * 2
+    assert [cache.texts([t])[0].decode() for t in texts * 2] == texts * 2 and len(calls) < 250
+    assert all(len(x) <= 10 for pair in cache.known.values() for x in pair)
 
 
 def test_bpe_equals_the_library(spark, docs):

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -118,71 +119,56 @@ def by_slice(schema: pa.Schema, work: Callable[[list[list]], list], limit: int =
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 
 
-class _Known(dict):
-    """Kept for good; what isn't here is in `recent` or `once`."""
-
-    def __init__(self):
-        super().__init__()
-        self.recent: dict[str, bytes] = {}
-        self.once: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.recent[word] if word in self.recent else self.once[word]
-
-
 class ChunkCache:
     """Token bytes of space-separated chunks, kept between texts.
 
     A byte-level BPE vocabulary with the usual pattern always begins a new match at a space
     that stands between two characters that aren't white space, and what it finds up to the
-    next such space depends on that chunk alone. So a text is cut there, every distinct chunk
-    is encoded once, and texts are joined from the results. Beside other white space a text
-    is cut only where that holds. The first `most` chunks are kept, later ones for a while, those
-    of over `longest` characters not at all; this bounds memory and doesn't affect results.
+    next such space depends on that chunk alone. So a text is cut there, distinct chunks of a
+    batch that aren't known yet are encoded together, and texts are joined from the results.
+    Beside other white space a text is cut only where that holds. Chunks of up to `longest`
+    characters are kept in two generations of `most`: a full one becomes the older, and what is
+    found in the older moves on. This bounds memory and doesn't affect results.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 600_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 300_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
-        self.first, self.spaced = _Known(), _Known()
-
-    def _fill(self, known: _Known, wanted: set[str], prefix: str) -> None:
-        if len(known.recent) > self.most // 2:
-            known.recent.clear()
-        missing = [w for w in wanted if w not in known and w not in known.recent]
-        got = self.encode([prefix + w for w in missing]) if missing else []
-        known.once.clear()
-        for w, b in zip(missing, got, strict=True):
-            if len(w) > self.longest:
-                known.once[w] = b
-            elif len(known) < self.most:
-                known[w] = b
-            else:
-                known.recent[w] = b
+        self.known: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {"": ({}, {}), " ": ({}, {})}
+
+    def _bytes(self, prefix: str, chunks: list[str]) -> list[bytes]:
+        """Of `prefix` and each chunk."""
+        new, old = self.known[prefix]
+        out = list(map(new.get, chunks))
+        gaps = [i for i, b in enumerate(out) if b is None]
+        missing = {chunks[i] for i in gaps}
+        fill = {w: b for w in missing if (b := old.get(w)) is not None}
+        unseen = [w for w in missing if w not in fill]
+        fill.update(zip(unseen, self.encode([prefix + w for w in unseen]) if unseen else (), strict=True))
+        for i in gaps:
+            out[i] = fill[chunks[i]]
+        if len(new) + len(fill) > self.most:
+            new, old = {}, new
+            self.known[prefix] = new, old
+        new.update(fill if len(fill) <= self.most and max(map(len, fill), default=0) <= self.longest else islice(((w, b) for w, b in fill.items() if len(w) <= self.longest), self.most))
+        return out
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        plain, cut = [], []
+        first, rest, sizes = [], [], []  # chunks without and with a space before them; how many of each a text has
         for t in texts:
             t = t or ""
             # of white space only spaces are printable
             if "  " in t or " \n" in t or "\n " in t or not t.replace("\n", "").isprintable():
-                cut.append(_BOUNDARY.split(t))
-                plain.append(None)
-            else:
-                plain.append(t.split(" "))
-        heads = {c for parts in cut for c in parts}
-        rest: set[str] = set()
-        begins = []
-        for p in plain:
-            if p is not None:
-                begins.append(p.pop(0))
-                rest.update(p)
-        heads.update(begins)
-        self._fill(self.first, heads, "")
-        self._fill(self.spaced, rest, " ")
-        one, more, cuts, heads_in_order, out = self.first.__getitem__, self.spaced.__getitem__, iter(cut), iter(begins), []
-        for p in plain:
-            if p is None:
-                out.append(b"".join(map(one, next(cuts))))
+                cut = _BOUNDARY.split(t)
+                first += cut
+                sizes.append((len(cut), 0))
             else:
-                out.append(one(next(heads_in_order)) + b"".join(map(more, p)))
+                cut = t.split(" ")
+                first.append(cut[0])
+                rest += cut[1:]
+                sizes.append((1, len(cut) - 1))
+        heads, tails = self._bytes("", first), self._bytes(" ", rest)
+        out, i, j = [], 0, 0
+        for n, m in sizes:
+            out.append(b"".join([*heads[i : i + n], *tails[j : j + m]]))
+            i, j = i + n, j + m
         return out

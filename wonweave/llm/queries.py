@@ -25,8 +25,8 @@ def pattern() -> str:
 
 
 def op1_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks, code = token_io.write_tokens(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    return token_io.digests(blocks, code)
+    path = token_io.write_tokens(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return token_io.digests(spark, path)
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

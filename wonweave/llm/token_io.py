@@ -1,10 +1,13 @@
 """Operator 1: token ids as canonical, length-limited Huffman codes in independent blocks.
 
-File format: a Parquet table with one row per block. `part` and `block` order the blocks;
-`payload` holds the codes of the block's ids, most significant bit first; `checkpoints` the
-bit offset of every CHECKPOINT-th id; `doc_ids` and `doc_tokens` its documents, whole, in
-order. The code is given by the code length of each id (`lengths`): canonical codes follow.
-
+File format: a folder of two Parquet tables. `lengths` has the code length of each id that occurs;
+the canonical codes follow from it: shorter codes first, then smaller ids. `blocks` has one row
+per block: `part` and `block` order the blocks; `payload` holds the codes of the block's ids,
+most significant bit first; `checkpoints` the bit offset of every CHECKPOINT-th id; `doc_ids`
+and `doc_tokens` its documents, whole, in order. A reader needs nothing but the folder.
+
+More ids than codes of `limit` bits are an error. A document of any length is whole in one
+block, so the longest document bounds a task's memory from below.
 Nulls: a null text is empty, a null doc_id sorts first. Documents with equal ids are ordered
 by the checksum of their ids. Empty tables give empty results. Extra columns are ignored.
 """
@@ -12,14 +15,16 @@ by the checksum of their ids. Empty tables give empty results. Extra columns are
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +35,19 @@ BLOCK_TOKENS = 1 << 18
 _TOKENIZERS: dict[str, common.ChunkCache] = {}
 
 
+#: Letters, digits and punctuation that all versions of the pattern's classes agree on; single line feeds. No apostrophes: these may begin a match of their own.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
+_ALL_PLAIN = re.compile(rf" ?(?:[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: printable ones stand for themselves, the others follow 255 in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def _cache(vocabulary: str) -> common.ChunkCache:
     """The worker's cache over the tokenizers library."""
     if vocabulary not in _TOKENIZERS:
@@ -38,28 +56,20 @@ def _cache(vocabulary: str) -> common.ChunkCache:
 
         tokenizer = Tokenizer.from_file(vocabulary)
 
-        # bytes of each token: byte-level tokens have a character for each byte, other tokens are ASCII
-        sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], np.int64)
+        letters, tokenize = byte_letters(), tokenizer.model.tokenize
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
-        def whole(texts: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        @lru_cache(1 << 16)
+        def match_ids(match: str) -> bytes:
+            """The ids of one match of the pattern, by the library's model."""
+            return np.array([t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))], "<u4").tobytes()
 
         def encode(chunks: list[str]) -> list[bytes]:
-            """Chunks that would be cut from a text are encoded many at a time, as one text, and cut from its ids."""
-            out: list[bytes] = [b""] * len(chunks)
-            joined = [i for i, c in enumerate(chunks) if len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace()]
-            for lo in range(0, len(joined), 400):
-                part = joined[lo : lo + 400]
-                ids = whole(["".join(chunks[i] for i in part)])[0]
-                ends = np.cumsum([len(chunks[i].encode()) for i in part])
-                at = np.searchsorted(np.cumsum(sizes[ids]), ends, side="left") + 1
-                data, begin = ids.tobytes(), 0
-                for i, end in zip(part, at.tolist(), strict=True):
-                    out[i] = data[4 * begin : 4 * end]
-                    begin = end
-            alone = sorted(set(range(len(chunks))) - set(joined))
-            for i, ids in zip(alone, whole([chunks[i] for i in alone]), strict=True):
-                out[i] = ids.tobytes()
+            """Chunks that plainly are a few matches are given to the library's model match by match, the others to the whole tokenizer."""
+            out = [b"".join(map(match_ids, _PLAIN.findall(c))) if _ALL_PLAIN.fullmatch(c) and not any(t in c for t in added) else None for c in chunks]
+            alone = [i for i, b in enumerate(out) if b is None]
+            for i, e in zip(alone, tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, "<u4").tobytes()
             return out
 
         _TOKENIZERS[vocabulary] = common.ChunkCache(encode)
@@ -138,7 +148,7 @@ class Code:
     def of(cls, counts: dict[int, int], limit: int = 16) -> Code:
         ids = np.array(sorted(counts), np.int64)
         n = np.array([counts[i] for i in ids.tolist()], np.int64)
-        return cls(ids, code_lengths(n, max(limit, int(max(1, len(ids) - 1)).bit_length())))
+        return cls(ids, code_lengths(n, limit))
 
     @property
     def most(self) -> int:
@@ -198,6 +208,7 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n: int, to_id: np.ndarray, t
     return out.T.reshape(-1)[:n]
 
 
+LENGTHS = T.StructType([T.StructField("id", T.LongType()), T.StructField("length", T.LongType())])
 BLOCKS = T.StructType([T.StructField("part", T.LongType()), T.StructField("block", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("payload", T.BinaryType()), T.StructField("checkpoints", T.ArrayType(T.LongType())), T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("doc_tokens", T.ArrayType(T.LongType()))])
 
 
@@ -261,26 +272,38 @@ def block_starts(blocks: DataFrame) -> DataFrame:
     return blocks.select("part", "block", "n_tokens").withColumn("inside", inside).join(F.broadcast(before), "part").select("part", "block", (F.col("inside") + F.col("before")).alias("start"))
 
 
-def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, limit: int = 16) -> tuple[DataFrame, Code]:
-    """Encodes all texts, writes the blocks to shared storage; returns them as read back, and their code."""
+def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, limit: int = 16, path: str | None = None) -> str:
+    """Encodes all texts and writes the files, to a new shared folder unless `path` is given; returns the folder."""
     spark = docs.sparkSession
+    path = path or common.scratch(spark, "token-files")
     tokens = common.staged(tokenize(docs, vocabulary, end_id), "tokens")
-    code = Code.of({r.id: r.n for r in count_ids(tokens).collect()}, limit)
-    blocks = common.staged(encode_blocks(tokens, code), "token-blocks", "uncompressed")
+    code = Code.of({r.id: r.n for r in count_ids(tokens).collect()}, limit)  # an entry per id of the vocabulary
+    spark.createDataFrame(list(zip(code.ids.tolist(), code.lengths.tolist(), strict=True)), LENGTHS).coalesce(1).write.parquet(f"{path}/lengths")
+    with common.staging(spark):
+        encode_blocks(tokens, code).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     common.drop(tokens)
-    return blocks, code
+    return path
+
+
+def read_blocks(spark: SparkSession, path: str) -> tuple[DataFrame, Code]:
+    """The blocks and the code of a folder of token files; nothing else is needed to decode them."""
+    rows = sorted((r.id, r.length) for r in spark.read.schema(LENGTHS).parquet(f"{path}/lengths").collect())
+    ids, lengths = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    return spark.read.schema(BLOCKS).parquet(f"{path}/blocks"), Code(ids, lengths)
 
 
 def _placed(decoded: DataFrame, blocks: DataFrame) -> DataFrame:
     return decoded.join(block_starts(blocks), ["part", "block"]).withColumn("start", F.col("start") + F.col("offset"))
 
 
-def read_tokens(blocks: DataFrame, code: Code) -> DataFrame:
-    """doc_id, start, n_tokens, ids of each document in the written blocks."""
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids of each document in the files."""
+    blocks, code = read_blocks(spark, path)
     return _placed(decode_blocks(blocks, code), blocks).select("doc_id", "start", "n_tokens", "ids")
 
 
-def digests(blocks: DataFrame, code: Code) -> DataFrame:
+def digests(spark: SparkSession, path: str) -> DataFrame:
     """As read_tokens(), with the checksum of the ids in their place; they aren't moved."""
+    blocks, code = read_blocks(spark, path)
     summed = decode_blocks(blocks, code).select("part", "block", "doc_id", "offset", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return _placed(summed, blocks).select("doc_id", "start", "n_tokens", "ids_crc32")
