@@ -1,6 +1,7 @@
 """Conversations, pages, urls, and the pipeline."""
 
 import cases
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,70 @@ def test_tree_matching_is_largest():
     assert len(html_text.align(a, b)) == 5  # the root, div, ul with li, and the p behind it
 
 
+def matched(x, y):
+    """Simple tree matching as it is defined, without memory: nodes in the largest matching of two trees of equal roots."""
+    if x.tag != y.tag:
+        return 0
+
+    def most(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max(most(xs[1:], ys), most(xs, ys[1:]), matched(xs[0], ys[0]) and matched(xs[0], ys[0]) + most(xs[1:], ys[1:]))
+
+    return 1 + most(x.kids, y.kids)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_tree_matching_against_brute_force(seed):
+    rng = np.random.default_rng(seed)
+
+    def tree(depth):
+        tag = ("div", "ul", "p")[rng.integers(3)]
+        return f"<{tag}>" + "".join(tree(depth - 1) for _ in range(rng.integers(0, 4) if depth else 0)) + f"</{tag}>"
+
+    a, b = (html_text.parse("<div>" + tree(3) + tree(2) + "</div>") for _ in range(2))
+    pairs = html_text.align(a, b)
+    assert len(pairs) == matched(a, b) and all(x.tag == y.tag for x, y in pairs)
+    above = {id(k): n for t in (a, b) for n in (t, *html_text.below(t)) for k in n.kids}
+    assert all((id(above[id(x)]), id(above[id(y)])) in {(id(p), id(q)) for p, q in pairs} for x, y in pairs if id(x) in above)
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 1_000_000 + "deep" + "</div>" * 10 + "</span>" * 1000
+    root = html_text.parse(deep)
+    assert html_text.text_of(root) == "deep" and html_text.wrapper("<div>x</div>").extract(root) == "deep" and html_text.outline(root)
+    assert len(html_text.text_of(html_text.parse("<article>" + "<p>some words" * 100_000 + "</article>"))) == 100_000 * 11 - 1
+    assert html_text.text_of(html_text.parse("<article><p>first</p></article><article><p>other</p></article>")) == "first"
+
+
+def test_pages_without_names(spark):
+    """No article, no classes, boilerplate that takes turns, a longer menu, near copies, two layouts: the wrapper alone tells."""
+    rng = np.random.default_rng(5)
+    words = lambda n, salt: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + f" {salt}"
+    adverts, rows, want = ["Buy now", "Big sale today", "New shoes & more"], [], {}
+
+    def page(i, body, title):
+        menu = "".join(f"<li>item{k}</li>" for k in range(4 + i % 2))
+        rows.append((i, f"http://plain.org/{i}", f"<body><div><ul>{menu}</ul></div><div>{adverts[i % 3].replace('&', '&amp;')}</div><div><h1>{title}</h1>{''.join(f'<p>{x}</p>' for x in body)}</div>" + ("<div>About us</div>" if i % 4 else "<table><tr><td>About us</table>")))
+        want[i] = " ".join([title, *body])
+
+    for i in range(60):
+        page(i, [words(30, i) for _ in range(2 + i % 3)], f"Title {words(2, i)}")
+    copied = [words(40, "copy") for _ in range(4)]
+    for i in range(60, 200):  # near copies: most of the host's pages
+        page(i, [f"{x} changed{i}" if k == i % 4 else x for k, x in enumerate(copied)], "Copied title")
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert sum(got[i] == want[i] for i in range(60)) == 60 and sum(got[i] == want[i] for i in want) == len(want)
+
+
+def test_large_wrappers_are_joined(spark, monkeypatch):
+    page = lambda i: f"<body><div>Follow us</div><p>Story {i} of {i * 7} things</p></body>"
+    pages = spark.createDataFrame([(i, f"http://H.org/{i}", page(i)) for i in range(8)] + [(9, None, None)], "page_id long, url string, html string")
+    want = sorted(map(tuple, html_text.extract(pages).collect()), key=str)
+    monkeypatch.setattr(html_text, "REFERENCE_BYTES", 0)
+    assert sorted(map(tuple, html_text.extract(pages).collect()), key=str) == want and want[0][2] == "Story 0 of 0 things"
+
+
 def test_wrappers(spark):
     page = lambda i: f"<body><div>Follow us</div><div><p>Story number {i} about things {i * 7}</p></div><div>All rights reserved</div></body>"
     rows = [(i, f"http://h.org/{i}", page(i)) for i in range(12)] + [(100 + i, "http://copies.org/", page(1)) for i in range(9)] + [(200, None, None), (201, "x", ""), (202, "http://one.org", page(3)), (203, "http://h.org/3", page(3))]

@@ -1,19 +1,26 @@
 """Operator 5: main text of web pages by wrapper induction.
 
-Each host has a reference page. Every page's DOM tree is aligned with its host's by simple tree
-matching (the largest set of matched nodes that keeps order and parents). A reference node that
-matches nodes of the same text in most of the host's different pages is template; other slots
-are content. What HTML itself says is heeded too: elements for menus, forms, scripts and the
-like, and names of classes that say the same, aren't content, and an `article` (or `main`) is
-where content is looked for. So a host of one page, or of copies of one, loses nothing.
-
-All pages of a host count. A task sends a row for each template candidate and each different
-article; they are counted by Spark. Reference pages are broadcast if they are under
-REFERENCE_BYTES in all, and joined on the host otherwise.
+Pages of a host with the same outline (the paths of tags down to OUTLINE_DEPTH) have one layout,
+and each layout a reference page. Every page's DOM tree is aligned with its layout's reference by
+simple tree matching (the largest set of matched nodes that keeps order and parents). The
+reference's blocks are slots. A slot that holds few different texts for the different articles of
+its layout, one in all of them or some in turn, is template; slots that vary with the article,
+and what matches no slot, are content. Near copies count as one article, so copied articles don't
+make template of their text; inside an `article` only short blocks that never vary are template.
+
+Where the wrapper leaves it open, as on a host of few pages, HTML itself is heeded: elements for
+menus, forms, scripts and the like, and classes and roles named so, aren't content, and an
+`article` (or `main`), the one with the most text, of equal ones the first, is where content is.
+
+All pages of a host count. A task sends a row for each different text of a slot that it saw;
+they are counted by Spark. Wrappers are broadcast if they are under REFERENCE_BYTES in all, and
+joined on host and layout otherwise.
 
 A null or empty page has an empty text, and so has one without any content. A null url has an
 empty host. Repeated rows each return. Empty tables give empty results; extra columns are
-ignored. Unclosed elements end with their parent, a cut page ends where it ends.
+ignored. Unclosed elements end with their parent, a cut page ends where it ends. Pages of any
+length and depth are worked through whole, without recursion; aligning takes time in proportion
+to the children of a node times those of its match in the reference, the smallest page.
 """
 
 from __future__ import annotations
@@ -21,19 +28,21 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-import sys
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wonweave.llm import common
 
 REFERENCE_BYTES = 16_000_000
-#: Template nodes hold in so many different articles of a host at least, and in this share of them.
-LEAST_PAGES, LEAST_SHARE = 4, 0.6
-#: Inside an article only short blocks can be template: an article that was copied isn't.
+OUTLINE_DEPTH = 3
+#: Different articles that a layout must have, and the most different texts of a template slot for each of them.
+LEAST_ARTICLES, MOST_TEXTS = 3, 0.5
+#: Inside an article only blocks of so many words can be template.
 SHORT_WORDS = 8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,22 +60,26 @@ _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"
 _WORD = re.compile(r"[A-Za-z0-9]+")
 
 
-sys.setrecursionlimit(max(sys.getrecursionlimit(), 200_000))  # pages may nest deeply; Python's own frames don't use the C stack
-
-
 class Node:
-    __slots__ = ("attrs", "items", "size", "tag", "text")
+    __slots__ = ("attrs", "items", "kids", "tag", "text")
 
     def __init__(self, tag: str, attrs: str):
         self.tag, self.attrs = tag, attrs
         self.items: list[Node | str] = []  # in order
-        self.size = 0
+        self.kids: list[Node] = []
         self.text: str | None = None
 
 
 def parse(page: str) -> Node:
     root = Node("#", "")
     stack, at = [root], 0
+    opened: Counter[str] = Counter()
+
+    def close(i: int) -> None:
+        for n in stack[i:]:
+            opened[n.tag] -= 1
+        del stack[i:]
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         if not m:
@@ -78,104 +91,111 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if opened[tag]:
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                close(i)
             continue
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCK:
-                    break
+            if opened["p"]:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag == "p":
+                        close(i)
+                        break
+                    if stack[i].tag in BLOCK:
+                        break
         elif tag in CLOSED_BY:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in CLOSED_BY[tag]:
-                    del stack[i:]
-                    break
-                if stack[i].tag in ("ul", "ol", "dl", "table", "select", "menu"):
-                    break
+            if any(opened[t] for t in CLOSED_BY[tag]):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag in CLOSED_BY[tag]:
+                        close(i)
+                        break
+                    if stack[i].tag in ("ul", "ol", "dl", "table", "select", "menu"):
+                        break
         node = Node(tag, m[3])
         stack[-1].items.append(node)
+        stack[-1].kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
             node.items.append(page[at : end.start() if end else len(page)])
             at = end.start() if end else len(page)
+        if tag in RAW or tag not in VOID and not m[3].endswith("/"):
             stack.append(node)
-        elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+            opened[tag] += 1
     return root
 
 
-def children(node: Node) -> list[Node]:
-    return [x for x in node.items if isinstance(x, Node)]
+def below(node: Node) -> Iterator[Node]:
+    """In order."""
+    todo = node.kids[::-1]
+    while todo:
+        x = todo.pop()
+        yield x
+        todo += x.kids[::-1]
 
 
 def own_text(node: Node) -> str:
     """The text of a node and what isn't a block in it, as one string of single spaces; blocks in it have their own."""
     if node.text is None:
-        out: list[str] = []
-
-        def add(n: Node) -> None:
-            for x in n.items:
-                if isinstance(x, str):
-                    out.append(x)
-                elif x.tag in BLOCK:
-                    out.append(" ")
-                elif x.tag not in NOT_CONTENT:
-                    add(x)
-
-        add(node)
+        out, todo = [], node.items[::-1]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                out.append(x)
+            elif x.tag in BLOCK:
+                out.append(" ")
+            elif x.tag not in NOT_CONTENT:
+                todo += x.items[::-1]
         node.text = " ".join(html.unescape("".join(out)).split())
     return node.text
 
 
-def size(node: Node) -> int:
-    if not node.size:
-        node.size = 1 + sum(size(x) for x in children(node))
-    return node.size
+def _matched(xs: list[Node], ys: list[Node], weight: dict[tuple[int, int], int]) -> tuple[int, list[tuple[Node, Node]]]:
+    """The heaviest pairs of children of equal tags that keep order."""
+    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+    for i, x in enumerate(xs):
+        row, above = best[i + 1], best[i]
+        for j, y in enumerate(ys):
+            w = above[j] + weight.get((id(x), id(y)), 1) if x.tag == y.tag else 0
+            row[j + 1] = max(w, above[j + 1], row[j])
+    pairs, i, j = [], len(xs), len(ys)
+    while i and j:
+        if best[i][j] == best[i - 1][j]:
+            i -= 1
+        elif best[i][j] == best[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((xs[i], ys[j]))
+    return best[len(xs)][len(ys)], pairs[::-1]
 
 
 def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Simple tree matching: pairs of nodes of equal tags, in order, under matched parents; as many as can be."""
-    memo: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(x: Node, y: Node) -> tuple[int, list]:
-        if x.tag != y.tag:
-            return 0, []
+    if a.tag != b.tag:
+        return []
+    weight: dict[tuple[int, int], int] = {}  # of pairs that both have children
+    below_of: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
+    todo = [(a, b)]
+    while todo:
+        x, y = todo[-1]
         key = (id(x), id(y))
-        if key in memo:
-            return memo[key]
-        xs, ys = children(x), children(y)
-        if not xs or not ys:
-            memo[key] = (1, [])
-            return memo[key]
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for i, cx in enumerate(xs):
-            row, above = best[i + 1], best[i]
-            for j, cy in enumerate(ys):
-                w = above[j] + (match(cx, cy)[0] if cx.tag == cy.tag else 0)
-                row[j + 1] = max(w, above[j + 1], row[j])
-        pairs, i, j = [], len(xs), len(ys)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                pairs.append((xs[i], ys[j]))
-        memo[key] = (1 + best[len(xs)][len(ys)], pairs[::-1])
-        return memo[key]
-
+        if key in weight:
+            todo.pop()
+            continue
+        first = [(c, d) for c in x.kids if c.kids for d in y.kids if d.tag == c.tag and d.kids and (id(c), id(d)) not in weight]
+        if first:
+            todo += first
+            continue
+        todo.pop()
+        most, below_of[key] = _matched(x.kids, y.kids, weight)
+        weight[key] = most + 1
     out, todo = [], [(a, b)]
     while todo:
         x, y = todo.pop()
-        if match(x, y)[0]:
-            out.append((x, y))
-            todo += match(x, y)[1]
+        out.append((x, y))
+        todo += below_of.get((id(x), id(y)), [])
     return out
 
 
@@ -184,7 +204,7 @@ def says_boilerplate(node: Node, inside: bool) -> bool:
     if node.tag in NOT_CONTENT:
         return True
     if node.tag == "header":
-        return not (inside and any(x.tag in ("h1", "h2", "hgroup") for x in _below(node)))
+        return not (inside and any(x.tag in ("h1", "h2", "hgroup") for x in below(node)))
     if not node.attrs or node.tag in ("body", "html", "#"):
         return False
     for name, *values in _NAMED.findall(node.attrs):
@@ -198,32 +218,28 @@ def says_boilerplate(node: Node, inside: bool) -> bool:
     return False
 
 
-def _below(node: Node) -> Iterator[Node]:
-    for x in children(node):
-        yield x
-        yield from _below(x)
-
-
 def content_root(root: Node) -> Node:
     """The article with the most text, or main, or the page."""
     for tag in ("article", "main"):
-        found: list[Node] = []
-
-        def look(n: Node, tag: str = tag, found: list[Node] = found) -> None:
-            for x in children(n):
-                if x.tag == tag and not says_boilerplate(x, True):
-                    found.append(x)
-                elif not says_boilerplate(x, False) or x.tag == "body":
-                    look(x)
-
-        look(root)
+        found, todo = [], root.kids[::-1]
+        while todo:
+            x = todo.pop()
+            if x.tag == tag and not says_boilerplate(x, True):
+                found.append(x)
+            elif not says_boilerplate(x, False) or x.tag == "body":
+                todo += x.kids[::-1]
+        if len(found) == 1:
+            return found[0]
         if found:
-            return max(found, key=lambda n: len(" ".join(blocks(n, frozenset()))))
+            return max(found, key=lambda n: len(" ".join(blocks(n))))
     return root
 
 
-def blocks(node: Node, template: frozenset[int], inside: bool = True) -> list[str]:
-    """Texts of the blocks in order, each with single spaces; without what isn't content, and without the nodes in `template` (by id)."""
+_END = object()
+
+
+def blocks(node: Node, template: frozenset[int] = frozenset(), inside: bool = True) -> list[str]:
+    """Texts of the blocks in order, each with single spaces; without what isn't content, and without the own text of the nodes in `template` (by id)."""
     out: list[str] = []
     held: list[str] = []
 
@@ -233,27 +249,22 @@ def blocks(node: Node, template: frozenset[int], inside: bool = True) -> list[st
         if text:
             out.append(text)
 
-    def walk(n: Node) -> None:
-        for x in n.items:
-            if isinstance(x, str):
-                held.append(x)
-            elif not says_boilerplate(x, inside):
-                block = x.tag in BLOCK
-                if block:
-                    end()
-                if id(x) in template:
-                    # its own words go, blocks in it are judged by themselves
-                    rest = Node(x.tag, x.attrs)
-                    rest.items = [y for y in x.items if isinstance(y, Node) and y.tag in BLOCK]
-                    walk(rest)
-                else:
-                    walk(x)
-                if block:
-                    end()
-            elif x.tag in BLOCK:
+    todo: list = node.items[::-1]
+    while todo:
+        x = todo.pop()
+        if x is _END:
+            end()
+        elif isinstance(x, str):
+            held.append(x)
+        elif says_boilerplate(x, inside):
+            if x.tag in BLOCK:
                 end()
-
-    walk(node)
+        else:
+            if x.tag in BLOCK:
+                end()
+                todo.append(_END)
+            # of a template node blocks in it are judged by themselves
+            todo += [y for y in reversed(x.items) if isinstance(y, Node) and y.tag in BLOCK] if id(x) in template else x.items[::-1]
     end()
     return out
 
@@ -265,88 +276,186 @@ def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
 
 def host_of(url: str | None) -> str:
     m = re.search(r"://([^/?#]*)", url or "")
-    return m[1].lower() if m else ""
+    return m[1].translate(_LOWER) if m else ""
+
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def outline(root: Node) -> int:
+    """Of the paths of tags down to OUTLINE_DEPTH, each once."""
+    found, now = set(), [("", root)]
+    for _ in range(OUTLINE_DEPTH):
+        now = [(f"{path}/{x.tag}", x) for path, n in now for x in n.kids]
+        found.update(path for path, _ in now)
+        now = [(path, x) for path, x in now if x.tag not in ("head", "article", "main")]
+    return _digest("\n".join(sorted(found)))
 
 
 class Wrapper:
-    """A host's reference page, its nodes in order, and which of them are template."""
+    """A layout's reference page, its slots in order, and which of them are template or never vary."""
 
-    def __init__(self, page: str, template: frozenset[int] = frozenset()):
+    def __init__(self, page: str, template: tuple[int, ...] = (), constant: tuple[int, ...] = ()):
         self.root = parse(page)
-        self.nodes = [self.root, *_below(self.root)]
-        self.number = {id(n): i for i, n in enumerate(self.nodes)}
-        self.template = template
+        self.number = {id(n): i for i, n in enumerate(below(self.root))}
+        self.template, self.constant = frozenset(template), frozenset(constant)
 
-    def constant(self, root: Node) -> list[int]:
-        """Reference nodes with words that match a node of the same words."""
-        return sorted(self.number[id(x)] for x, y in align(self.root, root) if own_text(x) and own_text(x) == own_text(y))
+    def slots(self, root: Node) -> list[tuple[int, str]]:
+        """(slot, text) of what a page has in the slots."""
+        return [(self.number[id(x)], own_text(y)) for x, y in align(self.root, root) if x.tag in BLOCK and own_text(y)]
 
-    def extract(self, root: Node) -> str:
+    def removed(self, root: Node) -> frozenset[int]:
+        """Nodes (by id) of a page that are template."""
         if not self.template:
-            return text_of(root)
+            return frozenset()
         top = content_root(root)
-        in_article = {id(n) for n in (top, *_below(top))} if top.tag in ("article", "main") else set()
-        same = [y for x, y in align(self.root, root) if self.number[id(x)] in self.template and own_text(x) == own_text(y)]
-        return text_of(root, frozenset(id(y) for y in same if id(y) not in in_article or len(own_text(y).split()) <= SHORT_WORDS))
+        article = {id(n) for n in (top, *below(top))} if top.tag in ("article", "main") else set()
+        out, pairs = set(), align(self.root, root)
+        matched = {id(y) for _, y in pairs}
+        for x, y in pairs:
+            slot = self.number.get(id(x))
+            if id(y) not in article:
+                if slot in self.template:
+                    out.add(id(y))
+                # a list may be longer than the reference's: more of what is all template is template
+                for z in y.kids:
+                    if id(z) not in matched and z.tag in BLOCK and id(z) not in article:
+                        alike = [self.number[id(c)] in self.template for c in x.kids if c.tag == z.tag]
+                        if alike and all(alike):
+                            out.add(id(z))
+            elif slot in self.constant and len(own_text(y).split()) <= SHORT_WORDS:
+                out.add(id(y))
+        return frozenset(out)
+
+    def extract(self, root: Node) -> str:
+        return text_of(root, self.removed(root))
 
 
-_WRAPPERS: dict[tuple[bytes, frozenset[int]], Wrapper] = {}
+_WRAPPERS: dict[tuple, Wrapper] = {}
 
 
-def wrapper(page: str, template: frozenset[int] = frozenset()) -> Wrapper:
-    key = (hashlib.blake2b(page.encode(), digest_size=16).digest(), template)
+def wrapper(page: str, template: tuple[int, ...] = (), constant: tuple[int, ...] = ()) -> Wrapper:
+    key = (hashlib.blake2b(page.encode(), digest_size=16).digest(), template, constant)
     if key not in _WRAPPERS:
         if len(_WRAPPERS) >= 500:
             _WRAPPERS.clear()
-        _WRAPPERS[key] = Wrapper(page, template)
+        _WRAPPERS[key] = Wrapper(page, template, constant)
     return _WRAPPERS[key]
 
 
-def _with_reference(pages: DataFrame, references: DataFrame, columns: list[str]):
-    """(`pages` with columns host, columns..., html, and the reference page and the template of its host); the last two come from a broadcast where they are small."""
-    n = references.agg(F.sum(F.length("reference")).alias("b"), F.count("*").alias("n")).first()
-    if (n.b or 0) + 100 * n.n <= REFERENCE_BYTES:
-        references = F.broadcast(references)
-    return pages.join(references, "host", "left").select("host", *columns, "reference", "template", "html")
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else ([],) * len(schema), schema, strict=True)], schema=schema)
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text of every row."""
-    keyed = pages.select("page_id", "url", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    # the reference: the smallest page that isn't trivial, of a host; its text comes with it
-    reference = common.staged(keyed.groupBy("host").agg(F.min(F.struct(F.length("html") < 200, F.length("html"), "html")).alias("r")).select("host", F.col("r.html").alias("reference")), "references")
-    marks_schema = pa.schema([("host", pa.string()), ("slot", pa.int32()), ("article", pa.binary())])
+def _references(keyed: DataFrame) -> DataFrame:
+    """host, layout, reference: the smallest page of each layout, one of 200 characters or more if there is. A task sends its smallest."""
+    schema = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("trivial", pa.bool_()), ("size", pa.int64()), ("html", pa.string())])
 
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[str, bytes]] = set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple[str, int], tuple[bool, int, str]] = {}
         for batch in batches:
-            out = []
-            for host, ref, _, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                root = parse(page)
-                article = hashlib.blake2b(text_of(root).encode(), digest_size=8).digest()
-                if (host, article) in seen or ref is None:
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add((host, article))
-                out += [(host, -1, article), *((host, s, article) for s in wrapper(ref).constant(root))]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), marks_schema, strict=True)], schema=marks_schema)
-
-    found = _with_reference(keyed, reference.withColumn("template", F.lit(None).cast("array<int>")), []).drop("page_id")
-    counted = found.mapInArrow(marks, "host string, slot int, article binary").groupBy("host", "slot").agg(F.countDistinct("article").alias("n"))
-    counted = common.staged(counted, "slots")
-    all_of = counted.filter("slot = -1").select("host", F.col("n").alias("all"))
-    template = counted.filter(f"slot >= 0 AND n >= {LEAST_PAGES}").join(all_of, "host").filter(F.col("n") >= LEAST_SHARE * F.col("all")).groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("template"))
-    wrappers = common.staged(reference.join(template, "host"), "wrappers")
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
+                key, mine = (host, outline(parse(page))), (len(page) < 200, len(page), page)
+                if key not in least or mine < least[key]:
+                    least[key] = mine
+        for key, mine in least.items():
+            yield _batch(schema, [(*key, *mine)])
+
+    sent = keyed.select("host", "html").mapInArrow(run, "host string, layout long, trivial boolean, size long, html string")
+    return sent.groupBy("host", "layout").agg(F.min(F.struct("trivial", "size", "html")).alias("r")).select("host", "layout", F.col("r.html").alias("reference"))
+
+
+def _with_layout(keyed: DataFrame) -> DataFrame:
+    """`keyed` with the layout of each page."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    wanted = T.StructType([*keyed.schema.fields, T.StructField("layout", T.LongType())])
+    schema = to_arrow_schema(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([outline(parse(p)) for p in batch.column("html").to_pylist()], pa.int64())], schema=schema)
+
+    return keyed.mapInArrow(run, wanted)
+
+
+def _over_pages(keyed: DataFrame, wrappers: DataFrame, begin: Callable, schema: T.StructType) -> DataFrame:
+    """What begin()(row, root, (reference, template, constant) or None) returns for each page of `keyed`, and at last for None. Wrappers are broadcast where they are small."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow, shared = to_arrow_schema(schema), None
+    n = wrappers.agg(F.sum(F.octet_length("reference") + 8 * F.size("template")).alias("b"), F.count("*").alias("n")).first()
+    if (n.b or 0) + 100 * n.n <= REFERENCE_BYTES:
+        rows = wrappers.select("host", "layout", "reference", "template", "constant").collect()
+        shared = keyed.sparkSession.sparkContext.broadcast({(r.host, r.layout): (r.reference, tuple(r.template), tuple(r.constant)) for r in rows})
+    else:
+        keyed = _with_layout(keyed).join(wrappers, ["host", "layout"], "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = begin()
         for batch in batches:
-            _, ids, urls, refs, templates, found = (c.to_pylist() for c in batch.columns)
-            out = [wrapper(r, frozenset(t)).extract(parse(p)) if r and t else text_of(parse(p)) for r, t, p in zip(refs, templates, found, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(out, pa.string())], schema=schema)
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                root = parse(row["html"])
+                if shared is not None:
+                    found = shared.value.get((row["host"], outline(root)))
+                else:
+                    found = (row["reference"], tuple(row["template"]), tuple(row["constant"])) if row["reference"] is not None else None
+                out += work(row, root, found)
+            yield _batch(arrow, out)
+
+    return keyed.mapInArrow(run, schema)
+
+
+def _slots() -> Callable:
+    """A row for each different (host, layout, slot, text, article) that a task saw. Of the blocks half as long as the longest the least digest names the article."""
+    seen: set[tuple] = set()
+
+    def work(row: dict, root: Node, found: tuple | None) -> list[tuple]:
+        texts = [(slot, text.count(" ") + 1, _digest(text)) for slot, text in wrapper(found[0]).slots(root)] if found else []
+        if not texts:
+            return []
+        longest = max(words for _, words, _ in texts)
+        article = min(d for _, words, d in texts if 2 * words >= longest)
+        where = (row["host"], outline(root))
+        new = {(*where, slot, d, article) for slot, _, d in texts} - seen
+        if len(seen) < 200_000:
+            seen.update(new)
+        return list(new)
+
+    return work
+
+
+def _texts() -> Callable:
+    def work(row: dict, root: Node, found: tuple | None) -> list[tuple]:
+        return [(row["page_id"], row["url"], wrapper(*found).extract(root) if found and found[1] else text_of(root))]
 
-    return _with_reference(keyed.withColumn("page_id", F.col("page_id").cast("long")), wrappers, ["page_id", "url"]).mapInArrow(texts, "page_id long, url string, text string")
+    return work
+
+
+def induced(pages: DataFrame) -> DataFrame:
+    """host, layout, reference, template, constant (slots) of every layout; written to shared storage."""
+    keyed = _keyed(pages)
+    none = F.array().cast("array<int>")
+    references = common.staged(_references(keyed), "references").withColumn("template", none).withColumn("constant", none)
+    found = _over_pages(keyed, references, _slots, T.StructType.fromDDL("host string, layout long, slot int, text long, article long"))
+    counted = found.groupBy("host", "layout", "slot").agg(F.countDistinct("text").alias("n"), F.countDistinct("article").alias("articles"))
+    few = counted.filter((F.col("articles") >= LEAST_ARTICLES) & (F.col("n") <= F.greatest(F.lit(1), F.floor(F.col("articles") * MOST_TEXTS))))
+    slots = few.groupBy("host", "layout").agg(F.sort_array(F.collect_list("slot")).alias("template"), F.sort_array(F.collect_list(F.when(F.col("n") == 1, F.col("slot")))).alias("constant"))
+    return common.staged(references.select("host", "layout", "reference").join(slots, ["host", "layout"]), "wrappers")
+
+
+def _keyed(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", common.host(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """page_id, url, text of every row."""
+    return _over_pages(_keyed(pages), induced(pages), _texts, T.StructType.fromDDL("page_id long, url string, text string"))
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from wonweave.llm import common
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.25
@@ -31,11 +30,6 @@ DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.25
 CLOSE = 1e-4
 
 
-def host(url: Column) -> Column:
-    after = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
-    return F.translate(after, UPPER, LOWER)
-
-
 def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
@@ -52,7 +46,7 @@ def rule(rules=RULES) -> Column:
 def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, n: links from pages of a host to another host (absolute or //host links). Counted in tasks first."""
     link = F.regexp_extract_all("html", F.lit(r"""(?i)<a\b[^>]*?\shref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""), F.lit(1))
-    found = pages.select(host(F.col("url")).alias("src"), F.explode(link).alias("dst")).withColumn("dst", F.translate("dst", UPPER, LOWER))
+    found = pages.select(common.host(F.col("url")).alias("src"), F.explode(link).alias("dst")).withColumn("dst", common.lowered(F.col("dst")))
     return found.filter("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
@@ -100,7 +94,7 @@ def reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust, bad_share, good_share of every row."""
-    ruled = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).withColumn("r", rule(rules))
+    ruled = pages.select("page_id", common.host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).withColumn("r", rule(rules))
     whole = [h for verdict, h, p in rules if verdict == "block" and p in ("", "/")]
     by_host = common.staged(ruled.filter("host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("r.verdict") == "allow").alias("allowed")), "hosts")
     blocked = F.lit(False)
