@@ -24,6 +24,8 @@ def test_chat(spark):
     "record,turns",
     [
         ('{"messages":[{"role":"system","content":"s"},{"content":"q","role":"user"}]}', [("system", "s"), ("user", "q")]), ('{"conversations":[{"from":"human","value":"q"},{"from":"gpt","value":null}]}', [("user", "q"), ("assistant", "")]), ('{"instruction":"i","input":"","output":"o"}', [("user", "i"), ("assistant", "o")]),
+        ('{"messages":[]}', []), ('{"messages":[{"role":"user","content":"q","name":"n"},{"role":"assistant","content":null}],"id":7}', [("user", "q"), ("assistant", "")]), ('{"id":1,"prompt":"p","completion":"c","tags":["t"]}', [("user", "p"), ("assistant", "c")]), ('{"prompt":"p","response":"r","messages":[{"role":"user","content":"q"}]}', [("user", "q")]),
+        ('{"messages":[{"role":"user"}]}', None), ('{"messages":"no list"}', None), ('[1]', None), ('{"instruction":"i","context":null,"response":"r","output":"o"}', [("user", "i"), ("assistant", "r")]), ('{"dialog":[{"text":"a","speaker":"bot"}]}', [("assistant", "a")]), ('{"conversations":[{"from":"human","value":"q","weight":1}],"system":"s"}', [("user", "q")]), ('{"it\'s":1,"question":"q","answer":"a"}', [("user", "q"), ("assistant", "a")]),
         ('{"instruction":"i","input":"x","output":"o"}', [("user", "i\n\nx"), ("assistant", "o")]), ('{"prompt":"p","response":"r","system":"s"}', [("system", "s"), ("user", "p"), ("assistant", "r")]), ('{"a":1}', None), ("{", None), (None, None),
     ],
 )
@@ -35,11 +37,32 @@ def test_layouts(spark, record, turns):
 def test_frames_are_told_by_their_paths(spark):
     df = spark.createDataFrame([(1, "p", "c")], "conv_id int, prompt string, completion string")
     assert [tuple(t) for t in chat_format.frame_turns(df).first().turns] == [("user", "p"), ("assistant", "c")]
+    assert [tuple(t) for t in chat_format.frame_turns(df.withColumn("more", F.lit(1))).first().turns] == [("user", "p"), ("assistant", "c")]
     with pytest.raises(ValueError):
-        chat_format.frame_turns(df.withColumn("more", F.lit(1)))
+        chat_format.frame_turns(df.drop("prompt"))
     assert chat_format.fingerprint(["b", "a"]) == chat_format.fingerprint(["a", "b"])
 
 
+def test_the_fingerprint_selects(spark, monkeypatch):
+    """Rows of turns too are told by their paths: without right fingerprints nothing is mapped."""
+    rows = spark.createDataFrame([(1, 0, "user", "hi", 5)], "conv_id long, turn int, role string, text string, more int")
+    assert [tuple(t) for t in chat_format.frame_turns(rows).first().turns] == [("user", "hi")]
+    monkeypatch.setattr(chat_format, "fingerprint", lambda found: str(id(found)))
+    with pytest.raises(ValueError):
+        chat_format.frame_turns(rows)
+    assert spark.createDataFrame([('{"prompt":"p","response":"r"}',)], "j string").select(chat_format.json_turns(F.col("j")).alias("t")).first().t is None
+
+
+def test_long_conversations(spark):
+    """Offsets past several groups of turns, and a long text."""
+    n = 3000
+    df = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 3 = 0, 'assistant', 'user') AS role", "IF(id = 600, repeat('é', 2000000), concat('t<s>', id)) AS text")
+    got = chat_format.digests(chat_format.formatted(chat_format.frame_turns(df))).first()
+    texts = ["é" * 2_000_000 if i == 600 else f"t<s>{i}" for i in range(n)]
+    learned = "".join(texts[::3])
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (n, len(learned), cases.sha(learned))
+
+
 PAGE = "<html><head><title>t</title><script>var a='<p>';</script></head><body><nav>menu</nav><header>site</header><div id=x class='side-bar sidebar'>s</div><article><header><h1>T &amp; U</h1></header><p>a <b>b</b>c<br>d<p>e&nbsp;f<div class=comments>no</div><aside>no</aside></article><form>f</form><div class=\"cookie notice\">c</div><footer>foot</footer></body></html>"
 
 

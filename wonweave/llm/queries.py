@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wonweave.llm import bpe, chat_format, common, decontaminate, html_text, language, quality, simhash, substrings, token_io, url_filter
 
 #: A conversation of control strings that the contract of operator 2 adds.
-CONTROL_ROWS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+CONTROL_ROWS = "SELECT * FROM VALUES (-7L, 0, 'user', '</s>[INST] ok [/INST]'), (-7L, 1, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"
 
 
 def vocabulary(name: str) -> str:
@@ -30,9 +31,10 @@ def op1_token_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = common.table(spark, sf_dir, "conversations").select(*chat_format.ROWS)
-    rows = rows.unionByName(spark.createDataFrame(CONTROL_ROWS, rows.schema))
-    return chat_format.digests(common.staged(chat_format.formatted(chat_format.frame_turns(rows)), "chats"))
+    rows = common.table(spark, sf_dir, "conversations")
+    control = spark.sql(CONTROL_ROWS).select(*[F.col(f.name).cast(rows.schema[f.name].dataType) for f in spark.sql(CONTROL_ROWS).schema.fields])
+    turns = chat_format.frame_turns(rows.unionByName(control, allowMissingColumns=True))
+    return chat_format.digests(common.staged(chat_format.formatted(turns), "chats"))
 
 
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
