@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import wraps
 from itertools import islice
 
 import numpy as np
@@ -20,6 +22,7 @@ SLICE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -54,6 +57,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 STAGING = {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
+def bounded(spark: SparkSession) -> None:
+    """Limits the session's Arrow batches by bytes, for frames that an operator returns before they run."""
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", int(STAGING["spark.sql.execution.arrow.maxBytesPerBatch"])
+    now = int(re.match(r"-?\d+", spark.conf.get(key))[0])
+    if not 0 < now <= most:
+        spark.conf.set(key, str(most))
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     before = {k: spark.conf.get(k, None) for k in STAGING}
@@ -103,9 +114,25 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def lean(run: Callable) -> Callable:
+    """`run`, a function for mapInArrow, that gives freed memory back to the machine when its task ends: Spark keeps its Python workers."""
+
+    @wraps(run)
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return tidy
+
+
 def by_slice(schema: pa.Schema, work: Callable[[list[list]], list], limit: int = SLICE_BYTES) -> Callable:
     """A function for mapInArrow. `work` gets the columns of a slice as lists, the text last, and returns the columns of `schema`."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)

@@ -355,6 +355,7 @@ def _references(keyed: DataFrame) -> DataFrame:
     """host, layout, reference: the smallest page of each layout, one of 200 characters or more if there is. A task sends its smallest."""
     schema = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("trivial", pa.bool_()), ("size", pa.int64()), ("html", pa.string())])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple[str, int], tuple[bool, int, str]] = {}
         for batch in batches:
@@ -376,6 +377,7 @@ def _with_layout(keyed: DataFrame) -> DataFrame:
     wanted = T.StructType([*keyed.schema.fields, T.StructField("layout", T.LongType())])
     schema = to_arrow_schema(wanted)
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([outline(parse(p)) for p in batch.column("html").to_pylist()], pa.int64())], schema=schema)
@@ -395,6 +397,7 @@ def _over_pages(keyed: DataFrame, wrappers: DataFrame, begin: Callable, schema:
     else:
         keyed = _with_layout(keyed).join(wrappers, ["host", "layout"], "left")
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = begin()
         for batch in batches:

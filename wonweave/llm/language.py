@@ -195,6 +195,7 @@ def drop_unknown(docs: DataFrame, held_out: int = 2) -> DataFrame:
     schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in docs.schema])
     at = docs.columns.index("text")
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep, lo, size = batch.column(at).to_pylist(), [], 0, 0

@@ -5,8 +5,10 @@ of copies first. Every link is verified on whole sets. No number of bits that ca
 all pairs of similarity 0.8, which differ in about 10 of 64 bits, so what SimHash has not joined
 is completed by a prefix filter, which finds all such pairs: sets of n and m shingles that are
 similar share at least 0.8 max(n, m), so they share one among the first n - ceil(0.8 n) + 1 of
-each, in any order of all shingles. Shingles that are frequent in a sample come last in it,
-which keeps the buckets small and changes no result.
+each, in any order of all shingles, and k among the first n - ceil(0.8 n) + k. So a set that
+shares few of its first ones with any others has no similar one and takes no further part.
+Shingles that are frequent in a sample come last in the order, which keeps the buckets small
+and changes no result.
 
 A bucket is not compared pair by pair: in each round one set of it is compared with those that
 no chain of links joins to it yet, and leaves; a bucket whose sets are all joined is done. So a
@@ -59,26 +61,38 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     return np.array(often, np.int64).reshape(-1, 2)
 
 
+def lengths(n: int) -> tuple[int, int, int]:
+    """(keys that a set of n shingles gives, those of them that a similar one shares one of, how many of all a similar one shares).
+
+    Of sets that share o shingles those first n - o + k and m - o + k in order share k. A similar
+    set has 0.8 n shingles at least, so its k is known too.
+    """
+    need = -(-4 * n // 5)
+    k = lambda size: min(1 - -size // 20, -(-4 * size // 5))
+    return n - need + k(n), n - need + 1, k(need)
+
+
 def _scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, node, n, fp, prefix (the shingles of each set that a similar one must share) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("node", pa.int64()), ("n", pa.int32()), ("fp", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    """doc_id, digest, node, n, fp, keys (the first shingles of the set), base, least (see lengths()) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), *((c, pa.int32() if c == "n" else pa.int64()) for c in ("node", "n", "fp")), ("keys", pa.list_(pa.int64())), ("base", pa.int32()), ("least", pa.int32())])
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs))  # FREQUENT pairs at most, whatever the corpus
 
-    def prefix(s: np.ndarray) -> np.ndarray:
+    def first(s: np.ndarray, most: int) -> np.ndarray:
         names, counts = shared.value[:, 0], shared.value[:, 1]
         rank = np.zeros(len(s), np.int64)
         if len(names):
             at = np.minimum(np.searchsorted(names, s), len(names) - 1)
             rank = np.where(names[at] == s, counts[at], 0)
-        return s[np.lexsort((s, rank))][: len(s) - -(-4 * len(s) // 5) + 1] if len(s) else s
+        return s[np.lexsort((s, rank))][:most]
 
     def work(columns: list[list]) -> list:
         found = [shingles(t) for t in columns[2]]
-        nodes = np.array([_node(s) for s in found], np.uint64).view(np.int64)
-        return [*columns[:2], nodes, [len(s) for s in found], np.array([simhash.majority(s.view(np.uint64)) for s in found], np.uint64).view(np.int64), [prefix(s) for s in found]]
+        of = [lengths(len(s)) for s in found]
+        nodes, prints = (np.array(x, np.uint64).view(np.int64) for x in ([_node(s) for s in found], [simhash.majority(s.view(np.uint64)) for s in found]))
+        return [*columns[:2], nodes, [len(s) for s in found], prints, [first(s, x[0]) for s, x in zip(found, of, strict=True)], [x[1] for x in of], [x[2] for x in of]]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), simhash.text_digest().alias("digest"), "text")
-    return rows.mapInArrow(common.by_slice(schema, work), "doc_id long, digest string, node long, n int, fp long, prefix array<long>")
+    return rows.mapInArrow(common.by_slice(schema, work), "doc_id long, digest string, node long, n int, fp long, keys array<long>, base int, least int")
 
 
 def _node(s: np.ndarray) -> int:
@@ -118,16 +132,21 @@ def _simhash_links(nodes: DataFrame) -> DataFrame:
     return same.unionByName(close.join(ends[0], "u").join(ends[1], "v").select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")))
 
 
-def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """u, v: enough of the links between the distinct sets `nodes` (node, n, fp, prefix, digest) to connect all that are linked."""
-    keyed = nodes.select(F.explode("prefix").alias("key"), "node", "n")
-    many = common.staged(keyed.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "near-shared")
-    left = common.staged(keyed.join(many, "key"), "near-buckets")
-    common.drop(many)
-    # similar sets share a key, so only these take part
-    wanted = nodes.join(left.select("node").distinct(), "node", "left_semi")
+def links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """u, v: enough of the links between the sets of `rows`, see _scanned(), to connect all that are linked."""
+    keyed = rows.select("node", "n", "base", "least", F.posexplode("keys").alias("at", "key"))
+    shared = common.staged(keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key"), "near-shared")
+    hits = common.staged(keyed.join(shared, "key").select("key", "node", "n", "least", (F.col("at") < F.col("base")).alias("base")).distinct(), "near-hits")
+    common.drop(shared)
+    # a set that shares too few of its keys with any others has no similar one
+    taking = common.staged(hits.groupBy("node", "least").agg(F.count("*").alias("k")).filter("k >= least").select("node"), "near-taking")
+    base = hits.filter("base").join(taking, "node", "left_semi").select("key", "node", "n")
+    left = common.staged(base.join(base.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "key"), "near-buckets")
+    common.drop(hits)
+    wanted = common.staged(rows.select("node", "fp", "digest").join(taking, "node", "left_semi").groupBy("node", "fp").agg(F.min("digest").alias("digest")), "near-wanted")
     sets = common.staged(_sets(docs, wanted.select("digest")), "near-sets")
     found = common.staged(_verified(_simhash_links(wanted), sets), "near-links")
+    common.drop(taking, wanted)
     for k in range(ROUNDS + 1):
         roots = graph.components(found)
         named = left.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node")).drop("__node")
@@ -160,10 +179,9 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, digest, root of every row: rows that links join have one root."""
     rows = common.staged(_scanned(docs), "near-rows")
-    nodes = common.staged(rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix"), F.min("digest").alias("digest")), "near-nodes")
-    found = links(nodes, docs)
+    found = links(rows, docs)
     roots = graph.components(found)
-    common.drop(nodes, found)
+    common.drop(found)
     return rows.select("doc_id", "digest", "node").join(roots, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
 
 

@@ -72,6 +72,7 @@ def bit_sums(nodes: DataFrame) -> np.ndarray:
     """[i, j]: fingerprints with both bits; each task sends its sums, 64 rows of 64."""
     schema = pa.schema([("i", pa.int64()), ("n", pa.list_(pa.int64()))])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BITS, BITS), np.int64)
         for batch in batches:
@@ -164,6 +165,7 @@ def _deal(nodes: DataFrame, probes: list[tuple[list[int], int]]) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
     masks = [np.array([sum(1 << i for i in c) for k in range(t + 1) for c in combinations(range(len(bits)), k)], np.int64) for bits, t in probes]
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_fp = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -224,6 +226,7 @@ def links(nodes: DataFrame, most: int = 3) -> DataFrame:
     """u, v: enough of the links between the distinct fingerprints `nodes` (fp) to connect all that are linked."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def edges(keys: np.ndarray, fp: np.ndarray) -> list[tuple[int, int]]:
             begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))

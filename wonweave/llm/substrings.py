@@ -148,6 +148,7 @@ def distinct_texts(docs: DataFrame) -> Iterator[DataFrame]:
     spark = docs.sparkSession
     schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("body", pa.binary())])
 
+    @common.lean
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
@@ -162,6 +163,7 @@ def distinct_texts(docs: DataFrame) -> Iterator[DataFrame]:
         again = [(k, n) for k, n in seen.items() if n]
         yield _batch(schema, [k for k, _ in again], [n for _, n in again], [None] * len(again))
 
+    @common.lean
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = body = None
         n = 0
@@ -210,6 +212,7 @@ def _first(texts: DataFrame) -> DataFrame:
     """key, at, n, core of every anchor."""
     schema = pa.schema([("key", pa.binary()), ("at", pa.int64()), ("n", pa.int32()), ("core", pa.int64())])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, data = batch.column(0), batch.column(2)
@@ -230,6 +233,7 @@ def _rows(marks: DataFrame, texts: DataFrame, size: int, before: int) -> DataFra
     """key, at, n, rank, core (the bytes by which it has grown), whole; for each `size` distances of rows of `before` distances."""
     schema = pa.schema([("key", pa.binary()), ("at", pa.int64()), ("n", pa.int32()), ("rank", pa.int64()), *((c, pa.int64()) for c in ("core1", "core2", "whole1", "whole2"))])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = common.flat(batch.column(1))
@@ -315,6 +319,7 @@ def changed_texts(docs: DataFrame) -> DataFrame:
     """key (digest), n_removed, n_spans, kept (bytes) of each distinct text that loses bytes; written to shared storage."""
     schema = pa.schema([("key", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = common.flat(batch.column(1))
@@ -343,6 +348,7 @@ def _keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
     kept = [docs.schema[c] for c in columns]
     schema = pa.schema([*[(f.name, to_arrow_type(f.dataType)) for f in kept], ("key", pa.binary()), ("n_bytes", pa.int64()), ("sha256", pa.string())])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = batch.column(batch.num_columns - 1).to_pylist()
@@ -367,6 +373,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     schema = pa.schema([*[(f.name, to_arrow_type(f.dataType)) for f in docs.schema], ("__key", pa.binary())])
     at = docs.columns.index("text")
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [digest((t or "").encode()) for t in batch.column(at).to_pylist()]

@@ -98,6 +98,7 @@ def count_ids(tokens: DataFrame) -> DataFrame:
     """id, n over all documents; each task sends a count for each id that it saw."""
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
@@ -217,6 +218,7 @@ def encode_blocks(tokens: DataFrame, code: Code) -> DataFrame:
     schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary()), ("checkpoints", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64()))])
     shared = tokens.sparkSession.sparkContext.broadcast((code.ids, code.lengths))  # an entry per id of the vocabulary
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_id, bits, *_ = Code(*shared.value).tables()
         part, block, held, docs, sizes = TaskContext.get().partitionId(), 0, [], [], []
@@ -249,6 +251,7 @@ def decode_blocks(blocks: DataFrame, code: Code) -> DataFrame:
     schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("nth", pa.int64()), ("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
     shared = blocks.sparkSession.sparkContext.broadcast((code.ids, code.lengths))
 
+    @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *_, to_id, to_bits = Code(*shared.value).tables()
         for batch in batches:
