@@ -13,16 +13,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a language stay."""
+    common.bounded(spark)
     return language.drop_unknown(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies (Jaccard similarity of five-word shingles of 0.8 or more) stays."""
+    common.bounded(spark)
     return near.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose every string of 200 bytes that is found twice; rows stay."""
+    common.bounded(spark)
     return substrings.without_repeats(docs)
 
 
@@ -33,6 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and the digest of what these decode to."""
+    common.bounded(spark)
     return bpe.encode(docs, queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern(), ("doc_id", "lang", "source"))
 
 
