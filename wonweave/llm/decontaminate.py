@@ -5,13 +5,14 @@ WINDOW consecutive words of an item; a shorter item is one window by itself. Of
 K consecutive words the least of each WINDOW - K + 1 in a row is kept as a fingerprint, so a
 text that holds a window shares a fingerprint with it. (An item of m < WINDOW words has the
 hash of its m words; texts keep all hashes of m words for each such m in the benchmark.)
-Texts that share a fingerprint are candidates, and hits in them are extended to whole windows
-that are compared as words, so that hash collisions don't matter.
+Fingerprints keep their positions. Where a text has one of the benchmark's, the match is extended
+to every whole window around it that the benchmark could have, and these are compared as words,
+so that hash collisions don't matter. Texts without a common fingerprint aren't moved.
 
 What is found depends on a text alone and is looked up by its digest: copies are compared
-as one text, repeated rows each return. A null or empty text has no
-words; a null item_id takes part but isn't listed. Empty tables give rows without hits, or
-none. Extra columns are ignored.
+as one text, repeated rows each return. A null or empty text has no words; a text of any length
+is one row. A null item_id takes part but isn't listed; repeated items count once. Empty tables
+give rows without hits, or none. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,14 +23,13 @@ from pyspark.sql import functions as F
 from wonweave.llm import common
 
 WINDOW, K = 10, 5
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A side of so many rows at most (of a few dozen bytes each) is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 500_000
+#: A side of so many bytes at most is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 32_000_000
 
 
 def words(text: str = "text") -> Column:
     """The words of a column; none of null."""
-    cut = F.split(F.translate(F.col(text), UPPER, LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    cut = F.split(common.lowered(F.col(text)), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     return F.coalesce(F.array_remove(cut, ""), F.array().cast("array<string>"))
 
 
@@ -38,23 +38,39 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+NO_PRINTS = "array<long>"
+
+
 def _grams(hashes: Column, k: int) -> Column:
-    at = lambda i: F.hash(*[F.get(hashes, i + F.lit(j)) for j in range(k)])
-    return F.when(F.size(hashes) >= k, F.transform(F.sequence(F.lit(0), F.size(hashes) - F.lit(k)), at)).otherwise(F.array().cast("array<int>"))
+    """For each k words in a row their hash, and in the lower half their position."""
+    at = lambda i: F.shiftleft(F.hash(*[F.get(hashes, i + F.lit(j)) for j in range(k)]).cast("long"), 32).bitwiseOR(i.cast("long"))
+    return F.when(F.size(hashes) >= k, F.transform(F.sequence(F.lit(0), F.size(hashes) - F.lit(k)), at)).otherwise(F.array().cast(NO_PRINTS))
+
+
+def print_of(gram: Column) -> Column:
+    return F.shiftright(gram, 32).cast("int")
+
+
+def place_of(gram: Column) -> Column:
+    return gram.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
 def fingerprints(hashes: Column, length: int) -> Column:
-    """Distinct fingerprints (ints) of an array of word hashes, for windows of `length` words."""
+    """Distinct fingerprints of an array of word hashes with their positions, for windows of `length` words; of equal ones in a window the first."""
     k = min(K, length)
     w = length - k + 1
     if w == 1:
-        return F.array_distinct(_grams(hashes, k))
+        return _grams(hashes, k)
     least = lambda g: F.transform(F.sequence(F.lit(1), F.size(g) - F.lit(w - 1)), lambda i: F.array_min(F.slice(g, i, w)))
-    return F.array_distinct(_let(_grams(hashes, k), lambda g: F.when(F.size(g) >= w, least(g)).otherwise(F.array().cast("array<int>"))))
+    return F.array_distinct(_let(_grams(hashes, k), lambda g: F.when(F.size(g) >= w, least(g)).otherwise(F.array().cast(NO_PRINTS))))
 
 
 def _bounded(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """`df`, a staged table, to be broadcast if it is small in bytes."""
+    size = F.lit(16)
+    for f in df.schema.fields:
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(8))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def windows(items: DataFrame) -> DataFrame:
@@ -64,46 +80,59 @@ def windows(items: DataFrame) -> DataFrame:
     return w.select("length", "item_id", at.alias("words")).distinct()
 
 
-def _runs(m: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size("w") - (m - 1)), lambda i: F.array_join(F.slice("w", i, m), " "))
+PRINTS = "array<struct<length:int,gram:bigint>>"
+
+
+def _print(length: int):
+    return lambda gram: F.struct(F.lit(length).alias("length"), gram.alias("gram"))
+
+
+def _key() -> Column:
+    return F.md5(F.coalesce("text", F.lit(""))).alias("key")
+
+
+def _around(at: Column, n: Column, lengths: list[int]) -> Column:
+    """struct(length, start) of the windows of a text of n words that hold a fingerprint at its place, each once."""
+    def starts(m: int) -> Column:
+        back = m - min(K, m)
+        return F.transform(F.filter(at, lambda x: x["length"] == m), lambda x: F.transform(F.sequence(F.greatest(x["place"] - back, F.lit(0)), F.least(x["place"], n - m)), lambda s: F.struct(F.lit(m).alias("length"), s.alias("start"))))
+
+    return F.array_distinct(F.flatten(F.concat(*[starts(m) for m in lengths])))
+
+
+def _covered(hits: Column) -> Column:
+    """Words in any of the windows (start, length)."""
+    end = lambda x: x["start"] + x["length"]
+    step = lambda acc, x: F.struct(F.greatest(acc["to"], end(x)).alias("to"), (acc["n"] + F.greatest(end(x) - F.greatest(acc["to"], x["start"]), F.lit(0))).alias("n"))
+    return F.aggregate(F.array_sort(hits), F.struct(F.lit(0).alias("to"), F.lit(0).alias("n")), step)["n"]
 
 
 def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, key, n_words, n_hit, item_ids (sorted strings) of every row of `docs`."""
     found = common.staged(windows(items), "windows")
-    lengths = [r.length for r in found.select("length").distinct().collect()]  # ten values at most
-    own = found.withColumn("h", F.transform(F.split("words", " "), lambda x: F.hash(x)))
-    prints = None
-    for m in lengths:
-        part = own.filter(F.col("length") == m).select(F.explode(fingerprints(F.col("h"), m)).alias("print"))
-        prints = part if prints is None else prints.unionByName(part)
-    if prints is None:
-        prints = own.select(F.lit(0).alias("print")).limit(0)
+    own = common.staged(found.select("length", "words").distinct().withColumn("window", F.monotonically_increasing_id()), "windows-own")
+    listed_by = common.staged(found.join(own, ["length", "words"]).filter("item_id IS NOT NULL").select("window", F.col("item_id").cast("string").alias("id")).distinct(), "windows-items")
+    lengths = sorted(r.length for r in own.select("length").distinct().collect())  # ten values at most
+    hashed = lambda w: F.transform(w, lambda x: F.hash(x))
+    every = lambda h: F.concat(*[F.transform(fingerprints(h, m), _print(m)) for m in lengths]) if lengths else F.array().cast(PRINTS)
+    prints = own.select(F.explode(_let(hashed(F.split("words", " ")), every)).alias("p"), "length").filter("p.length = length").select("length", print_of(F.col("p.gram")).alias("print"))
     prints = common.staged(prints.distinct(), "benchmark-prints")
 
-    hashed = lambda w: F.transform(w, lambda x: F.hash(x))
-    every = lambda h: F.array_distinct(F.concat(*[fingerprints(h, m) for m in lengths])) if len(lengths) > 1 else fingerprints(h, lengths[0]) if lengths else F.array().cast("array<int>")
-    scanned = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), _let(words(), lambda w: F.struct(F.size(w).alias("n_words"), _let(hashed(w), every).alias("prints"))).alias("s"))
+    scanned = docs.select("doc_id", _key(), _let(words(), lambda w: F.struct(F.size(w).alias("n_words"), _let(hashed(w), every).alias("prints"))).alias("s"))
     scanned = common.staged(scanned.select("doc_id", "key", "s.n_words", "s.prints"), "document-prints")
-
-    candidates = scanned.select("key", F.explode("prints").alias("print")).join(_bounded(prints), "print").select("key").distinct()
+    each = scanned.select("key", F.explode("prints").alias("p")).select("key", "p.length", print_of(F.col("p.gram")).alias("print"), place_of(F.col("p.gram")).alias("place"))
+    places = each.join(_bounded(prints), ["length", "print"]).groupBy("key").agg(F.collect_set(F.struct("length", "place")).alias("at"))
+    places = common.staged(places, "print-places")
     # copies meet in their own tasks first, so a large group of them is moved and searched as a few
-    texts = docs.groupBy(F.md5(F.coalesce("text", F.lit(""))).alias("key")).agg(F.min("text").alias("text")).join(candidates, "key", "left_semi")
-    # one row for each candidate and window length, in order of words
-    cut = texts.select("key", words().alias("w"))
-    hits = None
-    for m in lengths:
-        at = _runs(m)
-        part = cut.filter(F.size("w") >= m).select("key", F.lit(m).alias("length"), F.posexplode(at).alias("at", "words"))
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
-        hits = cut.select("key", F.lit(0).alias("length"), F.lit(0).alias("at"), F.lit("").alias("words")).limit(0)
-    known = found.groupBy("length", "words").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
-    hits = common.staged(hits.join(_bounded(known), ["length", "words"]).select("key", "length", "at", "ids"), "hits")
-    covered = hits.select("key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)).alias("word")).distinct().groupBy("key").agg(F.count("*").alias("n_hit"))
-    listed = hits.select("key", F.explode_outer("ids").alias("id")).groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("item_ids"))
+    texts = docs.select(_key(), "text").join(_bounded(common.staged(places.select("key"), "candidates")), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    cut = texts.join(places, "key").select("key", words().alias("w"), "at")
+    around = F.transform(_around(F.col("at"), F.size("w"), lengths), lambda x: F.struct(x["length"].alias("length"), x["start"].alias("start"), F.array_join(F.slice(F.col("w"), x["start"] + 1, x["length"]), " ").alias("words"))) if lengths else F.array().cast("array<struct<length:int,start:int,words:string>>")
+    hits = cut.select("key", F.explode(around).alias("x")).select("key", "x.length", "x.start", "x.words")
+    hits = common.staged(hits.join(_bounded(own), ["length", "words"]).select("key", "window", "length", "start"), "hits")
+    covered = hits.groupBy("key").agg(_covered(F.collect_set(F.struct("start", "length"))).alias("n_hit"))
+    listed = hits.select("key", "window").distinct().join(_bounded(listed_by), "window").groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("item_ids"))
     # written first: the last join is then dealt out anew on both sides, and Spark can split a large group of copies
-    by_text = common.staged(covered.join(listed, "key"), "contaminated")
+    by_text = common.staged(covered.join(listed, "key", "left"), "contaminated")
     return scanned.select("doc_id", "key", "n_words").join(by_text, "key", "left").select("doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 
