@@ -78,7 +78,7 @@ def test_cache_generations():
     from wonweave.llm import common
 
     calls = []
-    cache = common.ChunkCache(lambda chunks: calls.extend(chunks) or [c.encode() for c in chunks], most=5, longest=4)
+    cache = common.ChunkCache(lambda prefix, chunks: calls.extend(chunks) or [(prefix + c).encode() for c in chunks], most=5, longest=4)
     texts = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((3, 2), (30, 9), (8, 4), (40, 30))] + ["longer words here"] * 2
     assert [cache.texts([t])[0].decode() for t in texts * 2] == texts * 2 and len(calls) < 250
     assert all(len(x) <= 10 for pair in cache.known.values() for x in pair)

@@ -171,8 +171,8 @@ class Bpe:
             ids = np.delete(ids, at + 1)
         return ids
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        parts = [self.pattern.findall(c) for c in chunks]
+    def _chunks(self, prefix: str, chunks: list[str]) -> list[bytes]:
+        parts = [self.pattern.findall(prefix + c) for c in chunks]
         words = list({w for p in parts for w in p})
         known = {w: ids.astype("<u4").tobytes() for w, ids in zip(words, self.merge([w.encode() for w in words]), strict=True)}
         return [b"".join(map(known.__getitem__, p)) for p in parts]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import ctypes
+import operator
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
-from functools import wraps
-from itertools import islice
+from functools import partial, wraps
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +158,9 @@ def by_slice(schema: pa.Schema, work: Callable[[list[list]], list], limit: int =
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 
 
+_NONE = partial(operator.is_, None)
+
+
 class ChunkCache:
     """Token bytes of space-separated chunks, kept between texts.
 
@@ -169,7 +173,8 @@ class ChunkCache:
     found in the older moves on. This bounds memory and doesn't affect results.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 300_000, longest: int = 64):
+    #: encode(prefix, chunks) returns the bytes of `prefix` and each chunk.
+    def __init__(self, encode: Callable[[str, list[str]], list[bytes]], most: int = 450_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
         self.known: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {"": ({}, {}), " ": ({}, {})}
 
@@ -177,17 +182,21 @@ class ChunkCache:
         """Of `prefix` and each chunk."""
         new, old = self.known[prefix]
         out = list(map(new.get, chunks))
-        gaps = [i for i, b in enumerate(out) if b is None]
-        missing = {chunks[i] for i in gaps}
-        fill = {w: b for w in missing if (b := old.get(w)) is not None}
-        unseen = [w for w in missing if w not in fill]
-        fill.update(zip(unseen, self.encode([prefix + w for w in unseen]) if unseen else (), strict=True))
-        for i in gaps:
-            out[i] = fill[chunks[i]]
+        if None not in out:
+            return out
+        gaps = list(compress(chunks, map(_NONE, out)))
+        missing = set(gaps)
+        fill = {w: old[w] for w in missing & old.keys()}
+        unseen = list(missing - fill.keys()) if fill else list(missing)
+        if unseen:
+            fill.update(zip(unseen, self.encode(prefix, unseen), strict=True))
         if len(new) + len(fill) > self.most:
             new, old = {}, new
             self.known[prefix] = new, old
-        new.update(fill if len(fill) <= self.most and max(map(len, fill), default=0) <= self.longest else islice(((w, b) for w, b in fill.items() if len(w) <= self.longest), self.most))
+        places = list(compress(range(len(out)), map(_NONE, out)))
+        for i, b in zip(places, map(fill.__getitem__, gaps), strict=True):
+            out[i] = b
+        new.update(fill if len(fill) <= self.most and max(map(len, fill)) <= self.longest else islice(((w, b) for w, b in fill.items() if len(w) <= self.longest), self.most))
         return out
 
     def texts(self, texts: list[str | None]) -> list[bytes]:

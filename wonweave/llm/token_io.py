@@ -17,9 +17,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,15 @@ from wonweave.llm import common
 
 CHECKPOINT = 128
 BLOCK_TOKENS = 1 << 18
+#: Matches whose ids are kept.
+MOST_MATCHES = 500_000
 _TOKENIZERS: dict[str, common.ChunkCache] = {}
 
 
 #: Letters, digits and punctuation that all versions of the pattern's classes agree on; single line feeds. No apostrophes: these may begin a match of their own.
-_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+_LETTERS, MARKS = "A-Za-zª\u00b5ºÀ-ÖØ-öø-ÿ", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKS = re.escape(MARKS)
+_OTHER = re.compile(rf"[^ {_LETTERS}]")
 _PLAIN = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 _ALL_PLAIN = re.compile(rf" ?(?:[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*)")
 
@@ -57,18 +62,45 @@ def _cache(vocabulary: str) -> common.ChunkCache:
         tokenizer = Tokenizer.from_file(vocabulary)
 
         letters, tokenize = byte_letters(), tokenizer.model.tokenize
-        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-
-        @lru_cache(1 << 16)
-        def match_ids(match: str) -> bytes:
-            """The ids of one match of the pattern, by the library's model."""
-            return np.array([t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))], "<u4").tobytes()
-
-        def encode(chunks: list[str]) -> list[bytes]:
+        added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
+        known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what is before a match, and the match
+
+        def learn(prefix: str, matches: list[str]) -> None:
+            """The ids of matches of the pattern, each by the library's model."""
+            named = (prefix + f"\0{prefix}".join(matches)).encode().decode("latin-1").translate(letters).split(letters[0]) if matches else []
+            known[prefix].update(zip(matches, (array("I", [t.id for t in tokenize(x)]).tobytes() for x in named), strict=True))
+
+        def several(chunk: str) -> bytes | None:
+            """Of a chunk that plainly is some matches."""
+            if not _ALL_PLAIN.fullmatch(chunk):
+                return None
+            matches = _PLAIN.findall(chunk)
+            learn("", [m for m in matches if m not in known[""]])
+            return b"".join(map(known[""].__getitem__, matches))
+
+        def encode(prefix: str, words: list[str]) -> list[bytes]:
             """Chunks that plainly are a few matches are given to the library's model match by match, the others to the whole tokenizer."""
-            out = [b"".join(map(match_ids, _PLAIN.findall(c))) if _ALL_PLAIN.fullmatch(c) and not any(t in c for t in added) else None for c in chunks]
-            alone = [i for i, b in enumerate(out) if b is None]
-            for i, e in zip(alone, tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False), strict=True):
+            for held in known.values():
+                if len(held) > MOST_MATCHES:
+                    held.clear()
+            mine, alone = known[prefix], known[""]
+            stems = [w.rstrip(MARKS) for w in words]
+            plain = [x.isalpha() for x in stems]  # letters, then marks
+            new = set(compress(stems, plain)) - mine.keys()
+            if _OTHER.search("".join(new)):
+                plain = [x and not _OTHER.search(s) for x, s in zip(plain, stems, strict=True)]
+                new = {x for x in new if not _OTHER.search(x)}
+            learn(prefix, list(new))
+            if added.search("\0".join(words)):
+                plain = [x and not added.search(w) for x, w in zip(plain, words, strict=True)]
+            marks = {w[len(s) :] for w, s, x in zip(words, stems, plain, strict=True) if x and s is not w}
+            learn("", [m for m in marks if m not in alone])
+            out = [(mine[s] if s is w else mine[s] + alone[w[len(s) :]]) if x else None for w, s, x in zip(words, stems, plain, strict=True)]
+            rest = [i for i, x in enumerate(out) if x is None]
+            for i in rest:
+                out[i] = several(prefix + words[i]) if not added.search(words[i]) else None
+            whole = [i for i in rest if out[i] is None]
+            for i, e in zip(whole, tokenizer.encode_batch_fast([prefix + words[i] for i in whole], add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, "<u4").tobytes()
             return out
 
