@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wonweave.functions import columns, extract, scoring, text
+from wonweave.functions import columns, extract, scoring, steps, text
 from wonweave.operators import classify, dedupe, flow, graph, hierarchy, keywords, match, quality, sections, timeline
 from wonweave.sources import landed, sinks
 
@@ -87,10 +87,24 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     path = str(tmp_path / "out")
     with pytest.raises(sinks.Incomplete):
         sinks.publish({"t": spark.range(3)}, bad, path)
-    assert not (tmp_path / "out").exists()
-    sinks.publish({"t": spark.range(3)}, ok, path, {"t": ["id"]})
-    sinks.publish({"t": spark.range(5)}, ok, path)
-    assert spark.read.parquet(path + "/t").count() == 5
+    assert not (tmp_path / "out").exists() and sinks.published(spark, path) is None
+    first = sinks.publish({"t": spark.range(3)}, ok, path, {"t": ["id"]})
+    assert sinks.published(spark, path) == first
+
+    class Broken:
+        """A table whose writing fails: the version before stays."""
+
+        @property
+        def write(self):
+            raise OSError
+
+    with pytest.raises(OSError):
+        sinks.publish({"t": spark.range(4), "u": Broken()}, ok, path)
+    assert sinks.published(spark, path) == first and spark.read.parquet(first + "/t").count() == 3
+    second = sinks.publish({"t": spark.range(5)}, ok, path)
+    sinks.publish({"t": spark.range(6)}, ok, path)
+    assert spark.read.parquet(sinks.published(spark, path) + "/t").count() == 6 and spark.read.parquet(second + "/t").count() == 5
+    assert len([x for x in (tmp_path / "out").iterdir() if x.name.startswith("v-")]) == 2
 
 
 def test_json_is_safe_and_stable(spark):
@@ -128,12 +142,84 @@ def test_extraction(spark):
     got = one(spark, extract.amounts(F.lit("1,200백만원과 5억원, 1,200백만원")).alias("a"), extract.execution_paths(F.lit("민간위탁 및 융자")).alias("b"), extract.checked_support(F.lit("| 직접 | 출연 | 융자 |\n|---|---|---|\n| | ○ | V |")).alias("c"), extract.heading(F.lit("## (3) 청년 지원 (1337-300~302)")).alias("d"), extract.title(F.lit("(9) 청년월세 한시 특별지원 (1337-300)")).alias("e"), extract.placeholder(F.lit("해당 없음")).alias("f"), extract.basis(F.lit("3) 2026년도 예산 산출 근거 가나다 4) 사업효과 라마")).alias("g"))
     assert got.a == ["1,200백만원", "5억원"] and got.b == ["위탁/출연", "융자"] and got.c == ["위탁/출연", "융자"]
     assert tuple(got.d) == (3, "청년 지원", "1337-300~302", "aggregate") and got.e == "청년월세 한시 특별지원" and got.f is True and got.g == "가나다"
-    assert extract.steps_of("신청 접수 → 심사·선정 → 보조금 교부\n → 정산") == ["신청 접수", "심사·선정", "보조금 교부", "정산"]
-    assert extract.steps_of("① 공고 ② 접수") == ["공고", "접수"] and extract.steps_of("신청") == [] and extract.steps_of(None) == []
-    sub = extract.subprojects_of("① 가나 사업: 예산 1,000백만원\n설명\n② 다라: (2026 예산) 0백만원\n③ 마바: 예산 5백만원 끝")
-    assert [(s["id"], s["amount_won"], s["detail"]) for s in sub] == [("sub-01", 10**9, "설명"), ("sub-03", 5 * 10**6, "끝")]
-    df = spark.createDataFrame([("공고 → 접수", "1. 가나: 예산 3백만원"), (None, None)], "a string, b string").select(extract.procedure_steps("a").alias("s"), extract.subprojects("b").alias("p"))
-    assert [(list(r.s), len(r.p)) for r in df.collect()] == [(["공고", "접수"], 1), ([], 0)]
+    texts = {"① 가나 사업: 예산 1,000백만원\n설명\n② 다라: (2026 예산) 0백만원\n③ 마바: 예산 5백만원 끝": [("sub-01", "①", "가나 사업", 10**9, "설명"), ("sub-03", "③", "마바", 5 * 10**6, "끝")], "": [], None: []}
+    df = spark.createDataFrame([(x,) for x in texts], "a string").select("a", extract.subprojects("a").alias("p"))
+    assert {r.a: [tuple(x) for x in r.p] for r in df.collect()} == texts
+
+
+TABLE = "<table><tr><th>추진 계획</th><th>시행 주체</th></tr>{}</table>"
+
+
+@pytest.mark.parametrize(
+    "section,found",
+    [
+        ("신청 접수 → 심사·선정 → 보조금 교부\n → 정산", ["신청 접수", "심사·선정", "보조금 교부", "정산"]), ("① 공고 ② 접수", ["공고", "접수"]), ("신청", []), (None, []), ("", []),
+        ("사업 집행 절차: 공고 &rarr; 접수 &lt;온라인&gt; → 접수 <온라인> -> 정산", ["공고", "접수", "정산"]), ("공고 → (기관 협의) → 해당 없음 → 1,000백만원 → 추진절차 → 정산 → 부처", ["공고", "정산"]),
+        (TABLE.format("<tr><td>공고문 작성</td><td>담당자</td><td>서류 심사</td><td>협약 체결</td></tr><tr><td>세부 일정</td><td>집행</td></tr>"), ["공고문 작성", "서류 심사"]),
+        (TABLE.format("<tr><td>접수 - 검토<br>• 선정 ❍ 교부</td></tr>"), ["접수", "검토", "선정", "교부"]), ("<table><tr><td>공고</td></tr><tr><td>접수</td></tr></table>", []),
+        ("| 구분 | 추진 절차 |\n|---|---|\n| 1 | 공고 |\n| 2 | 접수 |\n\n| 신청 | 정산 |", ["공고", "접수"]), ("a → 공고 → b" + " → 접수" * 3, ["공고", "접수"]), (" → ".join(f"{chr(0xAC00 + i)} 점검" for i in range(40)), [f"{chr(0xAC00 + i)} 점검" for i in range(24)]),
+    ],
+)
+def test_procedure_steps(spark, section, found):
+    assert spark.createDataFrame([(section,)], "a string").select(steps.procedure_steps("a").alias("s")).first().s == found
+
+
+@pytest.mark.parametrize(
+    "extractor,title,field,snippet,best",
+    [
+        ("kordoc_chunks", "청년 결산 지원", None, None, "청년 결산 지원"), ("kordoc_chunks", "사업명", None, None, None), ("other", "청년 결산 지원", None, None, None), ("other", "(3) 청년월세 지원 (1337-300)", None, "", "청년월세 지원"),
+        ("other", "긴" * 50, "짧은 이름 하나", None, "짧은 이름 하나"), ("other", "가나다라", "가나다라마바사아자차카타", None, "가나다라마바사아자차카타"), ("other", "열두자가되는사업의이름임", "가나다라", "(1) 가나다라마 (1337-300) 사업명: 다른 것", "열두자가되는사업의이름임"),
+        (None, None, None, None, None), ("other", "a | b | c", "청년 소관부처 행안부", None, None),
+    ],
+)
+def test_card_titles(spark, extractor, title, field, snippet, best):
+    df = spark.createDataFrame([(extractor, title, field, snippet)], "e string, t string, f string, s string")
+    assert df.select(extract.card_title("e", "t", "f", "s").alias("x")).first().x == best
+
+
+@pytest.mark.parametrize(
+    "section,found",
+    [
+        ("사업시행주체\n구분\n 한국 연구원 \n끝", "한국 연구원"), ("시행주체\n기관명\n# 제목\n연구원", None), ("사업시행주체\n직접 수행\n시행주체\n연구원", "연구원"), ("사업시행주체\n(단위: 원)", None), ("사업시행주체\n구분\n기관\n기관명\n사업명\n연구원", None),
+        ("사업시행주체: 연구원", None), ("사업시행주체", None), (None, None),
+    ],
+)
+def test_implementer_below_its_label(spark, section, found):
+    assert spark.createDataFrame([(section,)], "a string").select(extract.implementer_below("a").alias("x")).first().x == found
+
+
+def greedy(rows):
+    """The scan from chunk to chunk that anchors() stands for."""
+    import re
+
+    shape = re.compile(r"^\s*#{1,6}\s*\(\d+\).+\(\d{3,6}-\d{2,6}\)\s*$")
+    bare = lambda s: re.sub(r"^\s*#{1,6}\s*", "", s).strip()
+    out, i = [], 0
+    while i < len(rows):
+        kind, page, line = rows[i]
+        if kind == "heading" and shape.match(line):
+            out.append((i, 1))
+        elif kind == "heading" and i + 1 < len(rows) and rows[i + 1][:2] == ("heading", page) and shape.match(f"### {bare(line)} {bare(rows[i + 1][2])}"):
+            out.append((i, 2))
+            i += 1
+        i += 1
+    return out
+
+
+def test_anchors_are_greedy(spark):
+    import random
+
+    draw = random.Random(3)
+    texts = ["## (1) 사업 (1337-300)", "(2) 앞", "뒤 (1337-301)", "# (3) 가운데", "### 뒤 (1337-302)", "(4) 온전 (1337-303)", "본문"]
+    docs = {f"d{k}": [(draw.choice(["heading", "heading", "heading", "text"]), draw.randint(1, 2), draw.choice(texts)) for _ in range(14)] for k in range(40)}
+    df = spark.createDataFrame([(d, i, *r) for d, rows in docs.items() for i, r in enumerate(rows)], "source_pdf string, chunk_idx int, type string, page int, text string")
+    got = sorted((r.source_pdf, r.chunk_idx, r.width) for r in sections.anchors(df).collect())
+    assert got == sorted((d, i, w) for d, rows in docs.items() for i, w in greedy(rows))
+
+
+def test_reachable_past_a_hundred_edges(spark):
+    e = spark.range(130).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert graph.reachable(e, spark.range(1)).agg(F.max("depth")).first()[0] == 130
 
 
 def test_steps_have_phase_and_actor(spark):

@@ -56,7 +56,6 @@ def test_published_or_not(tables, spark, tmp_path):
     from wonweave.sources.sinks import Incomplete
 
     small = {k: tables[k] for k in ("details", "violations")}
-    rebuild.publish(small, str(tmp_path / "ok"))
-    assert spark.read.parquet(str(tmp_path / "ok/details")).count() == 6
+    assert spark.read.parquet(rebuild.publish(small, str(tmp_path / "ok")) + "/details").count() == 6
     with pytest.raises(Incomplete):
         rebuild.publish(small | {"violations": tables["details"]}, str(tmp_path / "bad"))

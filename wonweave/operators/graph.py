@@ -63,27 +63,33 @@ def neighbours(e: DataFrame, chosen: DataFrame) -> DataFrame:
     return out.unionByName(c.join(e, F.col("id") == F.col("dst")).select("id", F.lit("in").alias("side"), F.col("src").alias("other")))
 
 
-def reachable(e: DataFrame, starts: DataFrame, upstream: bool = False, depth: int = 100) -> DataFrame:
-    """start, node, depth (least) of all that paths of up to `depth` edges reach; start itself at 0. Ends as soon as nothing is new, also in cycles."""
+def reachable(e: DataFrame, starts: DataFrame, upstream: bool = False) -> DataFrame:
+    """start, node, depth (least) of all that paths reach, of any length; start itself at 0. Ends as soon as nothing is new, also in cycles.
+
+    The result has a row for each pair, as it must; a round moves what is new since the one before.
+    """
     from wonweave.sources.sinks import staged
 
     step = e.select(F.col("dst").alias("a"), F.col("src").alias("b")) if upstream else e.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    step = step.distinct()
+    step = staged(step.distinct())
     seen = front = starts.select(F.col("id").alias("start"), F.col("id").alias("node"), F.lit(0).alias("depth")).distinct()
-    for d in range(1, depth + 1):
+    d = 0
+    while True:
+        d += 1
         new = front.join(step, F.col("node") == F.col("a")).select("start", F.col("b").alias("node")).distinct().join(seen, ["start", "node"], "left_anti")
         front = staged(new.withColumn("depth", F.lit(d)))
         if front.isEmpty():
-            break
+            return seen
         seen = seen.unionByName(front)
-    return seen
+        if d % 50 == 0:  # a plan of so many parts is slow to make
+            seen = staged(seen)
 
 
-def path_terms(e: DataFrame, n: DataFrame, terms: Sequence[str], depth: int = 100) -> DataFrame:
+def path_terms(e: DataFrame, n: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Nodes whose label holds the last term, on paths that pass labels with the terms before it, in order (steps may lie between)."""
     front = n.filter(F.col("label").contains(terms[0])).select("id").distinct()
     for t in terms[1:]:
-        after = reachable(e, front, depth=depth).filter("depth > 0").select(F.col("node").alias("id")).distinct()
+        after = reachable(e, front).filter("depth > 0").select(F.col("node").alias("id")).distinct()
         front = n.filter(F.col("label").contains(t)).join(after, "id", "left_semi").select("id").distinct()
     return front
 

@@ -23,15 +23,27 @@ SPECS = (
 
 
 def anchors(chunks: DataFrame, doc: str = "source_pdf", seq: str = "chunk_idx") -> DataFrame:
-    """Chunks that are business headings, or begin a pair of headings on one page that is one only together; a chunk that a pair has used begins none."""
+    """Heading chunks that are business headings, or begin a pair of headings on one page that is one only together.
+
+    A chunk that a pair has used begins nothing, so of pairs in a row every other one counts.
+    Its marks of a heading don't matter in a pair: it has one of its own.
+    """
     w = Window.partitionBy(doc).orderBy(seq)
     nxt = {c: F.lead(c).over(w) for c in ("text", "type", "page")}
-    single = extract.heading("text")
-    together = extract.heading(F.concat_ws(" ", F.col("text"), F.regexp_replace(nxt["text"], r"^\s*#{1,6}\s*", "")))
-    pair = single.isNull() & (F.col("type") == "heading") & (nxt["type"] == "heading") & (nxt["page"] == F.col("page")) & extract.heading(nxt["text"]).isNull()
-    found = chunks.withColumn("one", single).withColumn("two", F.when(pair, together))
-    used = F.coalesce(F.lag(F.col("two").isNotNull()).over(w), F.lit(False))
-    return found.withColumn("used", used).withColumn("heading", F.coalesce("one", F.when(~F.col("used"), F.col("two")))).filter(F.col("heading").isNotNull()).withColumn("width", F.when(F.col("one").isNotNull(), 1).otherwise(2)).drop("one", "two", "used")
+    bare = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s*#{1,6}\s*", ""))
+    is_heading = F.coalesce(F.col("type") == "heading", F.lit(False))
+    single = F.when(is_heading, extract.heading("text"))
+    together = F.when(is_heading & (nxt["type"] == "heading") & nxt["page"].eqNullSafe(F.col("page")), extract.heading(F.concat(F.lit("### "), bare(F.col("text")), F.lit(" "), bare(nxt["text"]))))
+    found = chunks.withColumn("one", single).withColumn("two", F.when(F.col("one").isNull(), together))
+    # in a run of chunks that could each begin a pair, the first, third ... do; one that is a heading alone ends a run only if it isn't used
+    can = F.col("two").isNotNull()
+    run = F.sum((~can).cast("int")).over(w)
+    place = F.row_number().over(Window.partitionBy(doc, "__run").orderBy(seq)) - F.when(F.col("__first_can"), 0).otherwise(1)
+    found = found.withColumn("__run", run).withColumn("__first_can", F.first(can).over(Window.partitionBy(doc, "__run").orderBy(seq)))
+    found = found.withColumn("__begins", can & (place % 2 == 1)).drop("__run", "__first_can")
+    used = F.coalesce(F.lag("__begins").over(w), F.lit(False))
+    found = found.withColumn("__used", used).withColumn("heading", F.when(~F.col("__used"), F.coalesce("one", F.when(F.col("__begins"), F.col("two")))))
+    return found.filter(F.col("heading").isNotNull()).withColumn("width", F.when(F.col("one").isNotNull(), 1).otherwise(2)).drop("one", "two", "__begins", "__used")
 
 
 def blocks(anchored: DataFrame, ends: DataFrame, doc: str = "source_pdf", seq: str = "chunk_idx") -> DataFrame:
@@ -49,14 +61,13 @@ def chunks_in(spans: DataFrame, chunks: DataFrame, doc: str = "source_pdf", seq:
 def spans(rows: DataFrame, key: Sequence[str], seq: str, text: str, specs=SPECS) -> DataFrame:
     """key, section, start, end (exclusive; null if it doesn't stop) for each section found: from the first row that begins it to the first later one that ends it.
 
-    All sections come from one explosion of the specs and two grouped minima.
+    The patterns are matched where the text is; only rows at which a section begins or ends are moved.
     """
-    names = F.explode(F.array(*[F.struct(F.lit(n).alias("section"), F.lit(a).alias("begin"), F.lit(z).alias("stop")) for n, a, z, _ in specs]))
-    each = rows.select(*key, seq, text, names.alias("spec")).select(*key, seq, text, "spec.*")
-    begin = F.min(F.when(F.expr(f"`{text}` rlike begin"), F.col(seq))).over(Window.partitionBy(*key, "section"))
+    marks = F.array(*[F.struct(F.lit(n).alias("section"), col(text).rlike(a).alias("begins"), col(text).rlike(z).alias("stops")) for n, a, z, _ in specs])
+    each = rows.select(*key, seq, F.explode(F.filter(marks, lambda m: m["begins"] | m["stops"])).alias("m")).select(*key, seq, "m.*")
+    begin = F.min(F.when(F.col("begins"), F.col(seq))).over(Window.partitionBy(*key, "section"))
     marked = each.withColumn("start", begin).filter(F.col("start").isNotNull())
-    stop = F.when((F.col(seq) > F.col("start")) & F.expr(f"`{text}` rlike stop"), F.col(seq))
-    return marked.groupBy(*key, "section", "start").agg(F.min(stop).alias("end"))
+    return marked.groupBy(*key, "section", "start").agg(F.min(F.when((F.col(seq) > F.col("start")) & F.col("stops"), F.col(seq))).alias("end"))
 
 
 def lines(df: DataFrame, key: Sequence[str], text: str) -> DataFrame:

@@ -99,8 +99,10 @@ FLOW = "CASE WHEN p_name LIKE '%red%' AND (p_type LIKE '%PROMO%' OR p_type LIKE
 def with_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     t, n = F.col("p_type"), F.col("p_name")
-    channel = classify.first_rule([(t.contains("PROMO") | n.contains("ring"), "local_subsidy"), (t.contains("ECONOMY"), "private_transfer"), (t.contains("STANDARD"), "loan"), (n.contains("gear"), "equity"), (t.isin("SMALL", "MEDIUM"), "capital")], "direct")
-    code = classify.first_rule([(n.contains("red") & classify.any_of(t, ("PROMO", "LARGE")), "local_subsidy"), (t.contains("PROMO"), "contribution"), (n.contains("blue"), "procurement"), (t.contains("SMALL"), "internal")], "other")
+    # the names of items that a part stands for
+    item = classify.first_rule([(t.contains("PROMO") | n.contains("ring"), "자치단체이전"), (t.contains("ECONOMY"), "민간이전"), (t.contains("STANDARD"), "융자금"), (n.contains("gear"), "출자금"), (t.isin("SMALL", "MEDIUM"), "건설비")], "운영비")
+    sub = classify.first_rule([(n.contains("red") & classify.any_of(t, ("PROMO", "LARGE")), "자치단체 경상보조"), (t.contains("PROMO"), "기관 출연금"), (n.contains("blue"), "연구개발비"), (t.contains("SMALL"), "일반수용비")], "예비비")
+    channel, code = classify.channel(item, F.lit("")), classify.flow_channel(F.lit(""), sub)
     return lines(spark, sf_dir).join(part.select("p_partkey", "p_name", "p_type", channel.alias("channel"), code.alias("code")), F.col("l_partkey") == F.col("p_partkey"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wonweave.functions import columns, extract, scoring, text
 from wonweave.operators import attach, classify, dedupe, keywords, match, sections
-from wonweave.plans.registry import query, table, whole
+from wonweave.plans.registry import query, table
 from wonweave.sources import landed
 
 
@@ -95,7 +95,8 @@ LOCAL = "l_returnflag = 'R' AND l_linestatus = 'F'"
 def local_transfer_selection(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").withColumn("amount", columns.cents("l_extendedprice"))
     known = table(spark, sf_dir, "part").filter("p_size > 10").select(F.col("p_partkey").alias("l_partkey"))
-    return keywords.select(rows, known, ["l_partkey"], "amount", F.expr(LOCAL))
+    item = F.when(F.expr(LOCAL), "자치단체이전").otherwise("민간이전")
+    return keywords.select(rows, known, ["l_partkey"], "amount", classify.is_local_transfer(item, F.lit("")))
 
 
 @query("""
@@ -108,14 +109,8 @@ def keyword_plan(spark, sf_dir):
     return keywords.plan(names, "name")
 
 
-@query("SELECT p_partkey, e.event_id FROM (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'click' ELSE 'view' END AS keyword FROM part WHERE p_partkey < 40) q JOIN (SELECT event_id, event_type AS keyword FROM events WHERE event_id % 50 = 0) e USING (keyword)")
-def keyword_fan_out(spark, sf_dir):
-    q = table(spark, sf_dir, "part").filter("p_partkey < 40").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "click").otherwise("view").alias("keyword"))
-    return keywords.fan_out(q, table(spark, sf_dir, "events").filter("event_id % 50 = 0").select("event_id", F.col("event_type").alias("keyword"))).select("p_partkey", "event_id")
-
-
 @query("SELECT p_partkey, count(*) AS n, CAST(sum(e.event_id) AS BIGINT) AS events, min(e.event_id) AS first, max(e.event_id) AS last FROM (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'click' ELSE 'view' END AS keyword FROM part) q JOIN (SELECT event_id, event_type AS keyword FROM events) e USING (keyword) GROUP BY 1")
-def keyword_fan_out_whole(spark, sf_dir):
+def keyword_fan_out(spark, sf_dir):
     """The fan-out of all parts and events, summed for each part."""
     q = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "click").otherwise("view").alias("keyword"))
     out = keywords.fan_out(q, table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("keyword")))
@@ -135,22 +130,13 @@ def attached(spark: SparkSession, sf_dir: str, parts: DataFrame) -> DataFrame:
     return attach.exact_then_fallback(b, r, "k", "name", "corpus", "word", "row_name").select(F.col("b_k").alias("b"), F.col("r_s_suppkey").alias("r"), "how")
 
 
-@query("""
-WITH b AS (SELECT p_partkey, p_name AS name, lower(p_name || ' ' || p_type) AS corpus FROM part WHERE p_partkey < 200),
-r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey END AS k, CASE WHEN s_suppkey % 4 = 1 THEN 'ring' ELSE 'gear' END AS word, 'supply ' || s_suppkey AS row_name FROM supplier)
-SELECT p_partkey AS b, s_suppkey AS r, 'exact' AS how FROM b JOIN r ON k = p_partkey
-UNION ALL SELECT p_partkey, s_suppkey, 'fallback' FROM b JOIN r ON k IS NULL AND contains(corpus, word) WHERE p_partkey NOT IN (SELECT k FROM r WHERE k IS NOT NULL)""")
-def exact_then_fallback(spark, sf_dir):
-    return attached(spark, sf_dir, table(spark, sf_dir, "part").filter("p_partkey < 200"))
-
-
 @query("""
 WITH b AS (SELECT p_partkey, lower(p_name || ' ' || p_type) AS corpus FROM part),
 r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey END AS k, CASE WHEN s_suppkey % 4 = 1 THEN 'ring' ELSE 'gear' END AS word FROM supplier),
 p AS (SELECT p_partkey AS b, s_suppkey AS r, 'exact' AS how FROM b JOIN r ON k = p_partkey
 UNION ALL SELECT p_partkey, s_suppkey, 'fallback' FROM b JOIN r ON k IS NULL AND contains(corpus, word) WHERE p_partkey NOT IN (SELECT k FROM r WHERE k IS NOT NULL))
 SELECT b, how, count(*) AS n, CAST(sum(r) AS BIGINT) AS suppliers, min(r) AS first, max(r) AS last FROM p GROUP BY 1, 2""")
-def exact_then_fallback_whole(spark, sf_dir):
+def exact_then_fallback(spark, sf_dir):
     """Of all parts, summed for each."""
     return attached(spark, sf_dir, table(spark, sf_dir, "part")).groupBy("b", "how").agg(F.count("*").alias("n"), F.sum("r").alias("suppliers"), F.min("r").alias("first"), F.max("r").alias("last"))
 
@@ -177,20 +163,8 @@ def local_levels(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", classify.local_level(code).alias("level"))
 
 
-MENTION = "'총 ' || o_orderkey || ',000원 중 ' || o_custkey || '백만원을 보조하고 나머지 ' || (o_custkey % 9) || '억원은 융자'"
-
-
-@query(f"""
-WITH m AS (SELECT o_orderkey, {MENTION} AS m FROM orders)
-SELECT o_orderkey, array_to_string(list_filter([CASE WHEN o_orderkey < 1000 THEN o_orderkey || ',000원' ELSE NULL END, regexp_extract(m, '중 ([0-9]+백만원)', 1), regexp_extract(m, '나머지 ([0-9]+억원)', 1)], lambda x: x IS NOT NULL), '|') AS amounts FROM m WHERE o_orderkey < 1000""")
-def amount_mentions(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter("o_orderkey < 1000")
-    m = F.concat(F.lit("총 "), F.col("o_orderkey").cast("string"), F.lit(",000원 중 "), F.col("o_custkey").cast("string"), F.lit("백만원을 보조하고 나머지 "), (F.col("o_custkey") % 9).cast("string"), F.lit("억원은 융자"))
-    return o.select("o_orderkey", F.array_join(extract.amounts(m), "|").alias("amounts"))
-
-
 @query("SELECT o_orderkey, format('{:,}', o_orderkey) || ',000원|' || o_custkey || '백만원|' || (o_custkey % 9) || '억원' AS amounts FROM orders")
-def amount_mentions_whole(spark, sf_dir):
+def amount_mentions(spark, sf_dir):
     """Of all orders, with separators in the first amount."""
     m = F.concat(F.lit("총 "), F.format_number("o_orderkey", 0), F.lit(",000원 중 "), F.col("o_custkey").cast("string"), F.lit("백만원을 보조하고 나머지 "), (F.col("o_custkey") % 9).cast("string"), F.lit("억원은 융자"))
     return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(extract.amounts(m), "|").alias("amounts"))
@@ -207,17 +181,21 @@ def exec_path_histogram(spark, sf_dir):
     return exec_paths(spark, sf_dir).select(F.explode(F.split("paths", ",")).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query("""
-WITH l AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '(?i)</(p|div|tr|li|h[1-6]|table|td|th)\\s*>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS h FROM pages WHERE NOT contains(html, '&')),
-s AS (SELECT page_id, list_filter(list_transform(string_split(h, chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \\t]+', ' ', 'g'), '^[ |]+|[ |]+$', '', 'g')), lambda x: x <> '') AS v FROM l)
-SELECT page_id, array_to_string(v, chr(10)) AS body FROM s""")
-def html_to_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").filter(~F.col("html").contains("&")).select("page_id", text.markup_to_lines("html").alias("body"))
+#: The character references of the pages, as SQL; what & itself stands for comes last.
+REFERENCES = {"&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}
+
 
+def decoded_sql(x: str) -> str:
+    for ref, c in REFERENCES.items():
+        x = f"replace({x}, '{ref}', '{c}')"
+    return x
 
-@whole
-def html_to_text_whole(spark, sf_dir):
-    """Of all pages; html_to_text and its SQL take those without references."""
+
+@query(f"""
+WITH l AS (SELECT page_id, {decoded_sql("regexp_replace(regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '(?i)</(p|div|tr|li|h[1-6]|table|td|th)\\s*>', chr(10), 'g'), '<[^>]+>', ' ', 'g')")} AS h FROM pages),
+s AS (SELECT page_id, list_filter(list_transform(string_split(h, chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \\t]+', ' ', 'g'), '^[ |]+|[ |]+$', '', 'g')), lambda x: x <> '') AS v FROM l)
+SELECT page_id, coalesce(array_to_string(v, chr(10)), '') AS body FROM s""")
+def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.markup_to_lines("html").alias("body"))
 
 
@@ -235,15 +213,16 @@ def section_span(spark, sf_dir):
     return sections.spans(rows, ["doc_id"], "line_idx", "line", SECTION_SPECS).select("doc_id", "section", F.col("start").cast("long").alias("start"), F.coalesce("end", F.lit(-1)).cast("long").alias("stop"))
 
 
-@query("SELECT doc_id, rtrim(left(array_to_string(list_filter(list_distinct_ordered, lambda x: x <> ''), chr(10)), 120)) AS excerpt FROM (SELECT doc_id, list_filter(list_transform(list_zip(v, range(1, len(v) + 1)), lambda p: CASE WHEN list_position(v, p[1]) = p[2] THEN p[1] ELSE '' END), lambda x: x <> '') AS list_distinct_ordered FROM (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \\t]+', ' ', 'g'), '^[ |\\-·□○ㅇ]+|[ |\\-·□○ㅇ]+$', '', 'g')) AS v FROM documents WHERE NOT regexp_matches(text, '[&<>#!]')))")
-def section_excerpt(spark, sf_dir):
-    plain = table(spark, sf_dir, "documents").filter(~F.col("text").rlike("[&<>#!]"))
-    return plain.select("doc_id", text.excerpt("text", 120).alias("excerpt"))
+LINE = "'^[ \\-·□○ㅇ]+|[ \\-·□○ㅇ]+$'"
+EXCERPT = f"""
+WITH x AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?i)<br\\s*/?>', chr(10), 'g'), '!\\[[^\\]]*\\]\\([^)]*\\)', ' ', 'g'), '(?i)</t[dh]\\s*>', chr(9), 'g'), '(?i)</(p|div|tr|li|h[1-6]|table|td|th)\\s*>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS h FROM documents),
+l AS (SELECT doc_id, list_filter(list_transform(string_split({decoded_sql('h')}, chr(10)), lambda s: regexp_replace(regexp_replace(s, '[ \\t]+', ' ', 'g'), '^[ |]+|[ |]+$', '', 'g')), lambda s: s <> '' AND NOT regexp_full_match(s, '[|:\\- ]+')) AS v FROM x),
+c AS (SELECT doc_id, list_filter(list_transform(v, lambda s: regexp_replace(regexp_replace(s, '^#{{1,6}}\\s*', ''), {LINE}, '', 'g')), lambda s: s <> '') AS v FROM l)
+SELECT doc_id, rtrim(left(coalesce(array_to_string(list_filter(list_transform(list_zip(v, range(1, len(v) + 1)), lambda p: CASE WHEN list_position(v, p[1]) = p[2] THEN p[1] ELSE '' END), lambda s: s <> ''), chr(10)), ''), 120)) AS excerpt FROM c"""
 
 
-@whole
-def section_excerpt_whole(spark, sf_dir):
-    """Of all documents; section_excerpt and its SQL take those without marks."""
+@query(EXCERPT)
+def section_excerpt(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.excerpt("text", 120).alias("excerpt"))
 
 
@@ -265,13 +244,8 @@ def unpacked(orders: DataFrame) -> DataFrame:
     return rows.select("o_custkey", "total", "code", "page_row", F.col("K").cast("long").alias("o_orderkey"))
 
 
-@query("SELECT o_custkey, count(*) AS total, 'INFO-000' AS code, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS page_row, o_orderkey FROM orders WHERE o_custkey < 300 GROUP BY o_custkey, o_orderkey" .replace("count(*) AS total", "count(*) OVER (PARTITION BY o_custkey) AS total").replace(" GROUP BY o_custkey, o_orderkey", ""))
-def json_rows(spark, sf_dir):
-    return unpacked(table(spark, sf_dir, "orders").filter("o_custkey < 300"))
-
-
 @query("SELECT o_custkey, count(*) OVER (PARTITION BY o_custkey) AS total, 'INFO-000' AS code, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS page_row, o_orderkey FROM orders")
-def json_rows_whole(spark, sf_dir):
+def json_rows(spark, sf_dir):
     return unpacked(table(spark, sf_dir, "orders"))
 
 
@@ -287,10 +261,14 @@ def pages_in_order(spark, sf_dir):
     return landed.pages_in_order(rows).select("office", "page", "l_orderkey", "l_partkey", "l_suppkey", "row_idx")
 
 
-@query("SELECT source, round_even(sum(least(len(regexp_extract_all(text, '\\.')), 50) * 2.0 + least(len(regexp_extract_all(text, ',')), 100) * 0.5), 2) AS score, CAST(rank() OVER (ORDER BY sum(least(len(regexp_extract_all(text, '\\.')), 50) * 2.0 + least(len(regexp_extract_all(text, ',')), 100) * 0.5) DESC) AS INTEGER) AS place FROM documents GROUP BY 1")
+SIGNS = "least(len(regexp_extract_all(text, '\\.')), 50) * 2.0 + least(len(regexp_extract_all(text, ',')), 100) * 0.5 + least(len(regexp_extract_all(text, '[0-9]{3,6}[ \\t\\n\\x0B\\f\\r]*[-–][ \\t\\n\\x0B\\f\\r]*[0-9]{2,6}')), 50) * 2.0 + least(len(regexp_extract_all(text, '\\|')), 200) * 0.1"
+
+
+@query(f"SELECT source, round_even(sum({SIGNS}), 2) AS score, CAST(rank() OVER (ORDER BY round_even(sum({SIGNS}), 2) DESC) AS INTEGER) AS place FROM documents GROUP BY 1")
 def parser_scores(spark, sf_dir):
+    """A full stop stands for a business's name, a comma for an amount; codes and bars are there as they are."""
     from pyspark.sql import Window
 
-    one = F.least(F.regexp_count("text", F.lit(r"\.")), F.lit(50)) * 2.0 + F.least(F.regexp_count("text", F.lit(",")), F.lit(100)) * 0.5
+    one = extract.parser_score(F.replace(F.replace(F.col("text"), F.lit("."), F.lit(" 사업명 ")), F.lit(","), F.lit(" 억원 ")))
     sums = table(spark, sf_dir, "documents").groupBy("source").agg(F.bround(F.sum(one), 2).alias("score"))
     return sums.withColumn("place", F.rank().over(Window.orderBy(F.desc("score"))))

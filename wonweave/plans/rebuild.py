@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wonweave.functions import columns, extract, scoring, text
+from wonweave.functions import columns, extract, scoring, steps, text
 from wonweave.operators import attach, channels, classify, dedupe, flow, graph, hierarchy, keywords, match, quality, sections
 from wonweave.sources import sinks
 
@@ -127,7 +127,7 @@ def run(lines: DataFrame, cards: DataFrame, candidates: DataFrame, procedures: D
     tree = sinks.staged(hierarchy.rollup_tree(detail, NAMES, "congress_amt"), "tree")
     items = sinks.staged(flow_items(lines), "items")
     owned = refs.select("business_id", "card").join(sections.by_section(procedures, ["card", "section"], "seq"), "card")
-    said = sinks.staged(owned.filter("section = 'procedure'").groupBy("business_id").agg(F.min_by("text", "card").alias("text")).select("business_id", extract.procedure_steps("text").alias("steps")), "steps")
+    said = sinks.staged(owned.filter("section = 'procedure'").groupBy("business_id").agg(F.min_by("text", "card").alias("text")).select("business_id", steps.procedure_steps("text").alias("steps")), "steps")
     nodes, edges = workflow(record, said.select("business_id", F.posexplode("steps").alias("seq", "step")), items)
     nodes, edges = sinks.staged(nodes, "nodes"), sinks.staged(edges, "edges")
     subs = owned.filter("section = 'budget_basis'").select("business_id", F.explode(extract.subprojects("text")).alias("s")).select("business_id", "s.id", "s.label", F.col("s.amount_won").cast(columns.WON).alias("amount"), "s.detail")
@@ -139,5 +139,5 @@ def run(lines: DataFrame, cards: DataFrame, candidates: DataFrame, procedures: D
     }
 
 
-def publish(tables: dict[str, DataFrame], path: str) -> None:
-    sinks.publish({k: v for k, v in tables.items() if k != "violations"}, tables["violations"], path)
+def publish(tables: dict[str, DataFrame], path: str) -> str:
+    return sinks.publish({k: v for k, v in tables.items() if k != "violations"}, tables["violations"], path)

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-#: Queries that DuckDB has no words for; tests hold them against brute-force versions.
-WHOLE: dict[str, Query] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -25,12 +23,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def whole(f: Query) -> Query:
-    """Registers a query without SQL under its function's name."""
-    WHOLE[f.__name__] = f
-    return f
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -51,8 +51,8 @@ def graph_highlight(spark, sf_dir):
     return graph.closure_both(turn_edges(spark, sf_dir), turns(spark, sf_dir).filter("seq = 2").select("id")).select("start", "node", "side")
 
 
-def flow_graph(spark: SparkSession, sf_dir: str, taken: str = "l_suppkey < 20") -> DataFrame:
-    rows = with_channels(spark, sf_dir).filter(taken).withColumn("business_id", F.col("l_suppkey"))
+def flow_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_channels(spark, sf_dir).withColumn("business_id", F.col("l_suppkey"))
     one = rows.groupBy("business_id").agg(F.sum("amount").alias("amount"))
     by_part = rows.groupBy("business_id", F.col("p_type").alias("item_id"), "code").agg(F.sum("amount").alias("amount"))
     subs = rows.groupBy("business_id", F.col("channel").alias("id")).agg(F.sum("amount").alias("amount"))
@@ -61,21 +61,13 @@ def flow_graph(spark: SparkSession, sf_dir: str, taken: str = "l_suppkey < 20")
 
 
 @query(f"""
-WITH r AS (SELECT l_suppkey AS b, CAST(round(l_extendedprice * 100) AS BIGINT) AS a, p_type, {FLOW} AS code FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey < 20)
+WITH r AS (SELECT l_suppkey AS b, CAST(round(l_extendedprice * 100) AS BIGINT) AS a, p_type, {FLOW} AS code FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT type, CAST(count(*) AS BIGINT) AS n, CAST(sum(a) AS BIGINT) AS amount FROM (SELECT 'source' AS type, sum(a) AS a FROM r GROUP BY b UNION ALL SELECT 'item', sum(a) FROM r GROUP BY b, p_type, code UNION ALL SELECT 'channel', sum(a) FROM r GROUP BY b, p_type, code UNION ALL SELECT 'destination', sum(a) FROM r GROUP BY b, code) GROUP BY 1""")
 def flow_nodes_edges(spark, sf_dir):
     e = flow_graph(spark, sf_dir)
     return graph.visible(e, ["crosswalk", "subproject"]).groupBy("type").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
 
 
-@query(f"""
-WITH r AS (SELECT l_suppkey AS b, CAST(round(l_extendedprice * 100) AS BIGINT) AS a, p_type, {FLOW} AS code FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT type, CAST(count(*) AS BIGINT) AS n, CAST(sum(a) AS BIGINT) AS amount FROM (SELECT 'source' AS type, sum(a) AS a FROM r GROUP BY b UNION ALL SELECT 'item', sum(a) FROM r GROUP BY b, p_type, code UNION ALL SELECT 'channel', sum(a) FROM r GROUP BY b, p_type, code UNION ALL SELECT 'destination', sum(a) FROM r GROUP BY b, code) GROUP BY 1""")
-def flow_nodes_edges_whole(spark, sf_dir):
-    e = flow_graph(spark, sf_dir, "true")
-    return graph.visible(e, ["crosswalk", "subproject"]).groupBy("type").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
-
-
 @query("SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS missing FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0) UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)")
 def edge_integrity(spark, sf_dir):
     e = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_orderkey").alias("dst"))

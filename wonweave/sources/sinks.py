@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -13,14 +14,15 @@ from wonweave.functions.columns import col
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """In spark.checkpoint.dir, which driver and executors share; a local folder only where that is unset, as in tests."""
+    """In spark.checkpoint.dir, which driver and executors share; where that is unset, as in tests, a local folder, but on a cluster that is an error."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wonweave-"))
-            set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        top = set_dir.get()
+        context = spark.sparkContext
+        if context._jsc.sc().getCheckpointDir().isEmpty():
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="wonweave-"))
+        top = context._jsc.sc().getCheckpointDir().get()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -35,23 +37,54 @@ class Incomplete(Exception):
     pass
 
 
-def publish(tables: Mapping[str, DataFrame], issues: DataFrame, path: str, order: Mapping[str, list[str]] | None = None) -> None:
-    """Writes all tables, or none if there are issues. They are staged beside `path`, which then changes name at once."""
+POINTER = "CURRENT"
+
+
+def publish(tables: Mapping[str, DataFrame], issues: DataFrame, path: str, order: Mapping[str, list[str]] | None = None) -> str:
+    """Writes all tables as a new version below `path`, or none if there are issues, and returns where.
+
+    A small file names the version that counts. It is put in place by one rename over the old one,
+    so readers see the old version or the new one, whenever the writer stops. Versions before the
+    last are removed.
+    """
     found = issues.limit(5).collect()
     if found:
         raise Incomplete(str(found))
-    spark = issues.sparkSession
-    stage = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    spark, top, version = issues.sparkSession, path.rstrip("/"), f"v-{uuid.uuid4().hex}"
     for name, df in tables.items():
         keys = (order or {}).get(name)
-        (df.orderBy(*keys) if keys else df).write.parquet(f"{stage}/{name}")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = hadoop(f"{stage}.old")
-    if fs.exists(hadoop(path)):
-        fs.rename(hadoop(path), old)
-    fs.rename(hadoop(stage), hadoop(path))
-    fs.delete(old, True)
+        (df.orderBy(*keys) if keys else df).write.parquet(f"{top}/{version}/{name}")
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place(top).getFileSystem(conf).getUri(), conf)
+    fs = place(top).getFileSystem(conf)
+    before = published(spark, path)
+    written = fs.create(place(f"{top}/{version}.new"), True)
+    written.write(bytearray(version.encode()))
+    written.close()
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fs.makeQualified(place(f"{top}/{version}.new")), fs.makeQualified(place(f"{top}/{POINTER}")), how)
+    kept = {version, before and before.rpartition("/")[2]}
+    for status in fs.listStatus(place(top)):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in kept:
+            fs.delete(status.getPath(), True)
+    return f"{top}/{version}"
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version that counts; None if there is none."""
+    top, jvm = path.rstrip("/"), spark._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{top}/{POINTER}")
+    fs = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(pointer):
+        return None
+    read = fs.open(pointer)
+    try:
+        return f"{top}/{bytes(read.readAllBytes()).decode()}"
+    finally:
+        read.close()
 
 
 def json_lines(df: DataFrame, order: list[str]) -> DataFrame:
