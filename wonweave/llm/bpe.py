@@ -2,7 +2,8 @@
 
 Distinct matches of the pattern are put into matrices of rows of about equal length, padded.
 In each round every row merges its leftmost pair of the least rank, found by a hashed lookup
-of (left id, right id); rows without a pair left leave the matrix.
+of (left id, right id); rows without a pair left leave the matrix. A row of over BLOCK ids is a
+matrix of its own blocks.
 
 A null text is empty and has no ids. Lone surrogates can't occur in a Spark string. Repeated
 rows give repeated results, empty tables empty ones, extra columns are ignored.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from wonweave.llm import common
 
 NO_RANK = np.int32(2**31 - 1)
-#: A row of more ids than this merges all its pairs of the least rank in one round, where that gives the same.
-LONG = 512
+#: A row of more ids than this has the leasts of so many ranks each, and isn't moved as it shrinks; its rounds are the same.
+BLOCK = 512
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,6 +59,15 @@ class PairTable:
             self.values[at[put]] = values[put]
             keys, values, at = keys[~put], values[~put], (at[~put] + 1) & ((1 << self.bits) - 1)
 
+    @cached_property
+    def _by_key(self) -> dict[int, int]:
+        used = self.keys != 0
+        return dict(zip(self.keys[used].tolist(), self.values[used].tolist(), strict=True))
+
+    def one(self, left: int, right: int) -> int:
+        """The rank of one pair."""
+        return self._by_key.get((left << 32) + right + 1, int(NO_RANK))
+
     @staticmethod
     def _key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (left.astype(np.uint64) << np.uint64(32)) + right.astype(np.uint64) + np.uint64(1)
@@ -116,9 +127,9 @@ class Bpe:
         sizes = np.array([len(words[r]) for r in rows])
         ids = np.full((len(rows), int(sizes.max())), -1, np.int32)
         ids[np.arange(ids.shape[1]) < sizes[:, None]] = self.byte_id[np.frombuffer(b"".join(words[r] for r in rows), np.uint8)]
-        if ids.shape[1] > LONG:
+        if ids.shape[1] > BLOCK:
             for r, row, n in zip(rows, ids, sizes, strict=True):
-                out[r] = self._long(row[:n])
+                out[r] = self._wide(row[:n])
             return
         ranks = self.pairs(ids[:, :-1], ids[:, 1:])
         while True:
@@ -149,27 +160,34 @@ class Bpe:
                 r, c = line[ok], where[ok]
                 ranks[r, c] = self.pairs(ids[r, c], ids[r, c + 1])
 
-    def _long(self, ids: np.ndarray) -> np.ndarray:
-        """All pairs of the least rank merge in one round, left to right, if no pair that any of these merges makes has a lesser rank; else only the leftmost."""
-        while len(ids) > 1:
-            ranks = self.pairs(ids[:-1], ids[1:])
-            best = ranks.min()
-            if best == NO_RANK:
-                break
-            at = np.flatnonzero(ranks == best)
-            if len(at) > 1:  # of overlapping pairs (runs of one id) every other one
-                run = np.cumsum(np.concatenate([[True], np.diff(at) > 1])) - 1
-                begin = at[np.concatenate([[True], np.diff(at) > 1])]
-                at = at[(at - begin[run]) % 2 == 0]
-                new = np.full(len(at), best, np.int32)
-                before, after = ids[np.maximum(at - 1, 0)], ids[np.minimum(at + 2, len(ids) - 1)]
-                made = [self.pairs(np.where(at > 0, before, -1), new), self.pairs(new, np.where(at + 2 < len(ids), after, -1)), self.pairs(new[:1], new[:1])]
-                if min(m.min() for m in made) < best:
-                    at = at[:1]
-            ids = ids.copy()
-            ids[at] = best
-            ids = np.delete(ids, at + 1)
-        return ids
+    def _wide(self, ids: np.ndarray) -> np.ndarray:
+        """The same rounds for a row of many ids: the leftmost pair of the least rank merges, found by the least of each BLOCK ranks, and what is merged is unlinked in place of moving the rest."""
+        n, one = len(ids), self.pairs.one
+        ranks = np.full(-(-n // BLOCK) * BLOCK, NO_RANK, np.int32)
+        ranks[: n - 1] = self.pairs(ids[:-1], ids[1:])
+        blocks = ranks.reshape(-1, BLOCK)
+        least = blocks.min(axis=1)
+        at_id, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while (best := int(least[b := int(least.argmin())])) != NO_RANK:
+            left = b * BLOCK + int(blocks[b].argmin())
+            gone = after[left]
+            at_id[left], after[left], ranks[gone] = best, after[gone], NO_RANK
+            if after[left] < n:
+                before[after[left]] = left
+                ranks[left] = one(best, at_id[after[left]])
+            else:
+                ranks[left] = NO_RANK
+            touched = {left // BLOCK, gone // BLOCK}
+            if before[left] >= 0:
+                ranks[before[left]] = one(at_id[before[left]], best)
+                touched.add(before[left] // BLOCK)
+            for x in touched:
+                least[x] = blocks[x].min()
+        out, at = [], 0
+        while at < n:
+            out.append(at_id[at])
+            at = after[at]
+        return np.array(out, np.int32)
 
     def _chunks(self, prefix: str, chunks: list[str]) -> list[bytes]:
         parts = [self.pattern.findall(prefix + c) for c in chunks]

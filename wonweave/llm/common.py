@@ -37,6 +37,11 @@ def host(url: Column) -> Column:
     return lowered(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
+def draw(c: Column, seed: int) -> Column:
+    """A number from 0 to 1 by hash, in steps of 2**-53."""
+    return F.shiftrightunsigned(F.xxhash64(c, F.lit(seed)), 11) / float(1 << 53)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 

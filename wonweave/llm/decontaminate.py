@@ -124,7 +124,8 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     places = each.join(_bounded(prints), ["length", "print"]).groupBy("key").agg(F.collect_set(F.struct("length", "place")).alias("at"))
     places = common.staged(places, "print-places")
     # copies meet in their own tasks first, so a large group of them is moved and searched as a few
-    texts = docs.select(_key(), "text").join(_bounded(common.staged(places.select("key"), "candidates")), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    candidates = common.staged(places.select("key"), "candidates")
+    texts = docs.select(_key(), "text").join(_bounded(candidates), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
     cut = texts.join(places, "key").select("key", words().alias("w"), "at")
     around = F.transform(_around(F.col("at"), F.size("w"), lengths), lambda x: F.struct(x["length"].alias("length"), x["start"].alias("start"), F.array_join(F.slice(F.col("w"), x["start"] + 1, x["length"]), " ").alias("words"))) if lengths else F.array().cast("array<struct<length:int,start:int,words:string>>")
     hits = cut.select("key", F.explode(around).alias("x")).select("key", "x.length", "x.start", "x.words")
@@ -133,6 +134,7 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     listed = hits.select("key", "window").distinct().join(_bounded(listed_by), "window").groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("item_ids"))
     # written first: the last join is then dealt out anew on both sides, and Spark can split a large group of copies
     by_text = common.staged(covered.join(listed, "key", "left"), "contaminated")
+    common.drop(found, own, listed_by, prints, places, candidates, hits)
     return scanned.select("doc_id", "key", "n_words").join(by_text, "key", "left").select("doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 

@@ -444,12 +444,15 @@ def induced(pages: DataFrame) -> DataFrame:
     """host, layout, reference, template, constant (slots) of every layout; written to shared storage."""
     keyed = _keyed(pages)
     none = F.array().cast("array<int>")
-    references = common.staged(_references(keyed), "references").withColumn("template", none).withColumn("constant", none)
+    smallest = common.staged(_references(keyed), "references")
+    references = smallest.withColumn("template", none).withColumn("constant", none)
     found = _over_pages(keyed, references, _slots, T.StructType.fromDDL("host string, layout long, slot int, text long, article long"))
     counted = found.groupBy("host", "layout", "slot").agg(F.countDistinct("text").alias("n"), F.countDistinct("article").alias("articles"))
     few = counted.filter((F.col("articles") >= LEAST_ARTICLES) & (F.col("n") <= F.greatest(F.lit(1), F.floor(F.col("articles") * MOST_TEXTS))))
     slots = few.groupBy("host", "layout").agg(F.sort_array(F.collect_list("slot")).alias("template"), F.sort_array(F.collect_list(F.when(F.col("n") == 1, F.col("slot")))).alias("constant"))
-    return common.staged(references.select("host", "layout", "reference").join(slots, ["host", "layout"]), "wrappers")
+    out = common.staged(references.select("host", "layout", "reference").join(slots, ["host", "layout"]), "wrappers")
+    common.drop(smallest)
+    return out
 
 
 def _keyed(pages: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ the training texts, turn it into features; kernel ridge regression of one langua
 rest scores them. Presence is held in 2**HASH_BITS hashed places; a batch of texts is scored by
 matrix products. Letters are lower-cased, everything else is a space.
 
-Training rows are a bounded sample: TRAIN_ROWS in all, about as many of each language, by a
-hash of doc_id (of the text where that is null). Whole texts are used in training and scoring.
+Training rows are a bounded sample: about TRAIN_ROWS in all and never over twice as many, about
+as many of each language, by a hash of doc_id (of the text where that is null). Whole texts of
+any length are used in training and scoring.
 
 A text that is null or has no letter is `und` with score 0, and so is every text if nothing
 can be learned. Ties go to the first language in order. Repeated rows each return; an empty
@@ -120,12 +121,12 @@ def train(docs: DataFrame, held_out: int = 2) -> Classifier | None:
     if not counts:
         return None
     each = max(20, TRAIN_ROWS // len(counts))
-    draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text")), F.lit(7))
+    draw = common.draw(F.coalesce(F.col("doc_id").cast("string"), F.col("text")), 7)
     part = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, each / n))])
-    sampled = rows.filter(F.pmod(draw, F.lit(1_000_003)) / 1_000_003 < F.element_at(part, F.col("lang"))).select(draw.alias("draw"), "lang", "text")
+    sampled = rows.filter(draw < F.element_at(part, F.col("lang"))).select(draw.alias("draw"), "lang", "text")
     # rows of one doc_id are drawn together: one of each stays, so that the sample is as large as it says
     sampled = sampled.groupBy("draw").agg(F.min(F.struct("lang", "text")).alias("r")).select("draw", "r.lang", "r.text")
-    schema = pa.schema([("draw", pa.int64()), ("lang", pa.string()), ("found", pa.binary())])
+    schema = pa.schema([("draw", pa.float64()), ("lang", pa.string()), ("found", pa.binary())])
 
     def work(columns: list[list]) -> list:
         out = []
@@ -133,7 +134,8 @@ def train(docs: DataFrame, held_out: int = 2) -> Classifier | None:
             out += [np.packbits(x).tobytes() for x in presence(columns[2][i : i + BATCH])]
         return [columns[0], columns[1], out]
 
-    got = sampled.mapInArrow(common.by_slice(schema, work), "draw long, lang string, found binary").collect()
+    # PLACES bits a row, about TRAIN_ROWS rows and never over twice as many, whatever the corpus
+    got = sampled.mapInArrow(common.by_slice(schema, work), "draw double, lang string, found binary").orderBy("draw").limit(2 * TRAIN_ROWS).collect()
     got = sorted((r.draw, r.lang, bytes(r.found)) for r in got)
     if not got:
         return None

@@ -169,8 +169,9 @@ def train(stats: DataFrame, labels: DataFrame) -> list[Rule]:
     n = agreed.count()
     if not n:
         return []
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_003))
-    sampled = agreed.filter(draw / 1_000_003 < min(1.0, TRAIN_ROWS / n))
+    draw = common.draw(F.col("doc_id"), 9)
+    # about TRAIN_ROWS rows, and never over twice as many, whatever n
+    sampled = agreed.filter(draw < min(1.0, TRAIN_ROWS / n)).orderBy(draw, "doc_id").limit(2 * TRAIN_ROWS)
     # one row of each doc_id, so that the sample is as large as it says
     one = stats.join(sampled, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(*TESTED)).alias("s"))
     rows = one.select("doc_id", "quality", "s.*").withColumn("draw", draw).collect()

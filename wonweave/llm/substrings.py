@@ -389,3 +389,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()], pa.string())], names=["__key", "__kept"])
+
+
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT r, p, md5(b[p + 1 : p + {LENGTH}]) AS h FROM (SELECT r, b, unnest(range(0, n - {LENGTH} + 1)) AS p FROM d WHERE n >= {LENGTH})),
+again AS (SELECT r, p FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+run AS (SELECT r, p, sum(first) OVER (PARTITION BY r ORDER BY p) AS k FROM (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + {LENGTH} THEN 0 ELSE 1 END AS first FROM again)),
+span AS (SELECT r, min(p) AS lo, max(p) + {LENGTH} AS hi FROM run GROUP BY r, k),
+piece AS (SELECT r, lo, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS start FROM (SELECT r, lo, hi FROM span UNION ALL SELECT r, n, n + 1 FROM d)),
+kept AS (SELECT r, sha256(unhex(string_agg(hex(b[start + 1 : lo]), '' ORDER BY lo))) AS kept_sha256 FROM piece JOIN d USING (r) GROUP BY r),
+total AS (SELECT r, CAST(sum(hi - lo) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256 FROM d JOIN kept USING (r) LEFT JOIN total USING (r)
+"""

@@ -69,7 +69,9 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         moved = score.join(shares, score["host"] == shares["src"]).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("share")).alias("got"))
         flowing = moved.agg(F.sum("got")).first()[0] or 0.0
         back = 1 - DAMPING * flowing
-        score = common.staged(moved.join(seeds, "host", "full").select("host", (F.coalesce("got", F.lit(0.0)) * DAMPING + F.coalesce("seed", F.lit(0.0)) * back).alias("score")), "rank")
+        before, score = score, common.staged(moved.join(seeds, "host", "full").select("host", (F.coalesce("got", F.lit(0.0)) * DAMPING + F.coalesce("seed", F.lit(0.0)) * back).alias("score")), "rank")
+        if hasattr(before, "_staged_at"):
+            common.drop(before)
     return score
 
 
@@ -88,6 +90,8 @@ def reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         before, score = score, common.staged(got.select(F.col("src").alias("host"), "score").unionByName(seeds), "reach")
         old = before.select("host", F.col("score").alias("old"))
         change = score.join(old, "host", "left").agg(F.max(F.col("score") - F.coalesce("old", F.lit(0.0)))).first()[0]
+        if before is not seeds:
+            common.drop(before)
         if (change or 0.0) < CLOSE:
             return score
 
