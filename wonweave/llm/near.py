@@ -37,7 +37,7 @@ WORDS = 5
 #: Differing bits up to which operator 6 proposes a link.
 BITS_APART = 3
 #: Rounds of one set against its bucket.
-ROUNDS = 4
+ROUNDS = 2
 #: Of so many sets one is looked at for frequent shingles; of those at most so many are told apart.
 SAMPLE, FREQUENT = 16, 100_000
 
@@ -132,8 +132,8 @@ def _simhash_links(nodes: DataFrame) -> DataFrame:
     return same.unionByName(close.join(ends[0], "u").join(ends[1], "v").select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")))
 
 
-def links(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """u, v: enough of the links between the sets of `rows`, see _scanned(), to connect all that are linked."""
+def components(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, root of all sets of `rows`, see _scanned(), that are linked with others."""
     keyed = rows.select("node", "n", "base", "least", F.posexplode("keys").alias("at", "key"))
     shared = common.staged(keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("key"), "near-shared")
     hits = common.staged(keyed.join(shared, "key").select("key", "node", "n", "least", (F.col("at") < F.col("base")).alias("base")).distinct(), "near-hits")
@@ -147,11 +147,10 @@ def links(rows: DataFrame, docs: DataFrame) -> DataFrame:
     sets = common.staged(_sets(docs, wanted.select("digest")), "near-sets")
     found = common.staged(_verified(_simhash_links(wanted), sets), "near-links")
     common.drop(taking, wanted)
+    roots = graph.components(found)
     for k in range(ROUNDS + 1):
-        roots = graph.components(found)
         named = left.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node")).drop("__node")
         named = common.staged(named, "near-named")
-        common.drop(roots)
         # of a bucket that is not all joined: a set of the least group leaves next
         groups = named.groupBy("key", "root").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
         picked = groups.groupBy("key").agg(F.count("*").alias("roots"), F.min(F.struct("size", "root", "first")).alias("p")).filter("roots > 1")
@@ -166,22 +165,24 @@ def links(rows: DataFrame, docs: DataFrame) -> DataFrame:
         else:
             apart = named.join(picked, "key").filter("root <> __root")
         pairs = apart.filter(_fits(F.col("n"), F.col("__n"))).select(F.least("node", "__node").alias("u"), F.greatest("node", "__node").alias("v"))
-        before, found = found, common.staged(found.unionByName(_verified(pairs, sets)), "near-links")
-        common.drop(before)
+        new = common.staged(_verified(pairs, sets), "near-links")
+        if not new.isEmpty():
+            before, found = found, common.staged(found.unionByName(new), "near-links")
+            common.drop(before, roots)
+            roots = graph.components(found)
+        common.drop(new)
         if k < ROUNDS:
             was, left = left, common.staged(named.join(picked, "key").filter("node <> __node").select("key", "node", "n"), "near-buckets")
             common.drop(was)
         common.drop(named, picked)
-    common.drop(left, sets)
-    return found
+    common.drop(left, sets, found)
+    return roots
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, digest, root of every row: rows that links join have one root."""
     rows = common.staged(_scanned(docs), "near-rows")
-    found = links(rows, docs)
-    roots = graph.components(found)
-    common.drop(found)
+    roots = components(rows, docs)
     return rows.select("doc_id", "digest", "node").join(roots, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
 
 
