@@ -1,6 +1,7 @@
 """Every query of the registry against its SQL in DuckDB, over whole tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from wonweave.plans import registry
@@ -18,7 +19,7 @@ def duck():
 
 
 def rows(df):
-    return sorted(str(tuple(None if x is None or x != x else (round(float(x), 6) if isinstance(x, float) else x) for x in r)) for r in df.astype(object).itertuples(index=False, name=None))
+    return sorted(str(tuple(None if pd.isna(x) else (round(float(x), 6) if isinstance(x, float) else x) for x in r)) for r in df.astype(object).itertuples(index=False, name=None))
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
