@@ -157,11 +157,11 @@ def seeded_subprojects(spark, sf_dir):
 
 @query("""
 WITH a AS (SELECT p_brand, CAST(sum(p_size) AS BIGINT) AS s FROM part GROUP BY 1)
-SELECT p_brand AS id, CAST(100 AS BIGINT) AS amount, CASE WHEN p_brand LIKE '%1%' THEN s END AS allocated, CASE WHEN p_brand LIKE '%1%' THEN s ELSE 0 END - 100 AS difference FROM a""")
+SELECT p_brand AS id, CAST(100 AS BIGINT) AS amount, CASE WHEN p_brand LIKE '%1%' THEN s ELSE 0 END AS allocated, CASE WHEN p_brand LIKE '%1%' THEN s ELSE 0 END - 100 AS difference FROM a""")
 def allocations_agree(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     subs = p.select(F.col("p_brand").alias("id"), F.lit(100).cast("long").alias("amount")).distinct()
-    return flow.crosswalk_agrees(p.filter(F.col("p_brand").contains("1")).select(F.col("p_brand").alias("subproject_id"), F.col("p_size").cast("long").alias("amount")), subs).select("id", "amount", "allocated", "difference")
+    return flow.crosswalk_agrees(p.filter(F.col("p_brand").contains("1")).select(F.col("p_brand").alias("subproject_id"), F.col("p_size").cast("long").alias("amount")), subs).select("id", "amount", F.coalesce("allocated", F.lit(0)).alias("allocated"), "difference")
 
 
 @query("SELECT l_returnflag AS source_pdf, min(l_linenumber) AS first_page, max(l_linenumber) AS last_page, count(DISTINCT l_linenumber) AS pages FROM lineitem GROUP BY 1")
