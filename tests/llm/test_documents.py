@@ -78,10 +78,28 @@ def test_cache_generations():
     from wonweave.llm import common
 
     calls = []
-    cache = common.ChunkCache(lambda prefix, chunks: calls.extend(chunks) or [(prefix + c).encode() for c in chunks], most=5, longest=4)
-    texts = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((3, 2), (30, 9), (8, 4), (40, 30))] + ["longer words here"] * 2
-    assert [cache.texts([t])[0].decode() for t in texts * 2] == texts * 2 and len(calls) < 250
-    assert all(len(x) <= 10 for pair in cache.known.values() for x in pair)
+
+    def encode(prefix, chunks):
+        calls.extend(chunks)
+        return [np.array([*(prefix + c).encode()], "<u4").tobytes() for c in chunks]
+
+    cache = common.ChunkCache(encode, most=5, longest=4)
+    texts = [" ".join(f"w{i % m}" for i in range(n)) for n, m in ((3, 2), (30, 9), (8, 4), (40, 30))] + ["longer words here"] * 2 + [" a", "a ", " ", "", "a a ", "x  y", "é\nü z"]
+    for batch in (texts, texts[::-1], texts[:3], [None, *texts, ""]):
+        assert [bytes(np.frombuffer(x, "<u4").tolist()).decode() for x in cache.texts(batch)] == [t or "" for t in batch]
+    assert len(calls) < 300 and len(cache.key) <= 5 and len(cache.ids) <= 40
+
+
+def test_cache_tells_words_apart(monkeypatch):
+    """Where the first hashes of two words agree the cache isn't used."""
+    from wonweave.llm import common
+
+    encode = lambda prefix, chunks: [np.array([*(prefix + c).encode()], "<u4").tobytes() for c in chunks]
+    same = lambda data, begin, end: [np.zeros(len(begin), np.uint64), common._WordHashes(1)(data, begin, end)[1]]
+    monkeypatch.setattr(common.ChunkCache, "_hashes", staticmethod(same))
+    cache = common.ChunkCache(encode)
+    for batch in (["a b a"], ["c"], ["d"], ["a b"]):
+        assert [bytes(np.frombuffer(x, "<u4").tolist()).decode() for x in cache.texts(batch)] == batch
 
 
 def test_bpe_equals_the_library(spark, docs):

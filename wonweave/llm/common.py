@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import ctypes
-import operator
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
-from functools import partial, wraps
-from itertools import compress, islice
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -161,66 +159,171 @@ def by_slice(schema: pa.Schema, work: Callable[[list[list]], list], limit: int =
 
 
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
-
-
-_NONE = partial(operator.is_, None)
+_U = np.uint64
+#: Bytes of texts whose words are looked up together.
+WORDS_AT_ONCE = 1 << 20
+
+
+class _WordHashes:
+    """Two 64-bit hashes of any stretches of bytes: differences of running sums of random numbers for bytes times powers of an odd base."""
+
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.numbers = rng.integers(0, 2**64, (2, 256), dtype=np.uint64)
+        self.bases = [int(x) | 1 for x in rng.integers(2**62, 2**63, 2)]
+        self.powers = [np.ones(1, np.uint64)] * 2
+        self.inverse = [np.ones(1, np.uint64)] * 2
+
+    def _grow(self, n: int) -> None:
+        for k, base in enumerate(self.bases):
+            for table, b in ((self.powers, base), (self.inverse, pow(base, -1, 2**64))):
+                x = table[k]
+                while len(x) < n:
+                    x = np.concatenate([x, x * _U(pow(b, len(x), 2**64))])
+                table[k] = x
+
+    def __call__(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        if len(self.powers[0]) < len(data) + 1:
+            self._grow(len(data) + 1)
+        out = []
+        for k in (0, 1):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(self.numbers[k][data] * self.powers[k][: len(data)], out=sums[1:])
+            h = (sums[end] - sums[begin]) * self.inverse[k][begin] + (end - begin).astype(np.uint64)
+            h ^= h >> _U(32)
+            out.append(h * _U(0x9E3779B97F4A7C15))
+        return out
 
 
 class ChunkCache:
-    """Token bytes of space-separated chunks, kept between texts.
+    """Token ids of space-separated chunks, kept between texts.
 
     A byte-level BPE vocabulary with the usual pattern always begins a new match at a space
     that stands between two characters that aren't white space, and what it finds up to the
-    next such space depends on that chunk alone. So a text is cut there, distinct chunks of a
-    batch that aren't known yet are encoded together, and texts are joined from the results.
-    Beside other white space a text is cut only where that holds. Chunks of up to `longest`
-    characters are kept in two generations of `most`: a full one becomes the older, and what is
-    found in the older moves on. This bounds memory and doesn't affect results.
+    next such space depends on that chunk alone. So a text is cut there, distinct chunks that
+    aren't known yet are encoded together, and texts are joined from the results. Beside other
+    white space a text is cut only where that holds.
+
+    Words are told by 128 bits of hashes; if two of a batch agree in the first 64 only, the
+    batch is encoded without the cache. At most `most` words of up to `longest` bytes are kept,
+    those used last; that bounds memory and doesn't affect results.
     """
 
-    #: encode(prefix, chunks) returns the bytes of `prefix` and each chunk.
-    def __init__(self, encode: Callable[[str, list[str]], list[bytes]], most: int = 450_000, longest: int = 64):
-        self.encode, self.most, self.longest = encode, most, longest
-        self.known: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {"": ({}, {}), " ": ({}, {})}
-
-    def _bytes(self, prefix: str, chunks: list[str]) -> list[bytes]:
-        """Of `prefix` and each chunk."""
-        new, old = self.known[prefix]
-        out = list(map(new.get, chunks))
-        if None not in out:
-            return out
-        gaps = list(compress(chunks, map(_NONE, out)))
-        missing = set(gaps)
-        fill = {w: old[w] for w in missing & old.keys()}
-        unseen = list(missing - fill.keys()) if fill else list(missing)
-        if unseen:
-            fill.update(zip(unseen, self.encode(prefix, unseen), strict=True))
-        if len(new) + len(fill) > self.most:
-            new, old = {}, new
-            self.known[prefix] = new, old
-        places = list(compress(range(len(out)), map(_NONE, out)))
-        for i, b in zip(places, map(fill.__getitem__, gaps), strict=True):
-            out[i] = b
-        new.update(fill if len(fill) <= self.most and max(map(len, fill)) <= self.longest else islice(((w, b) for w, b in fill.items() if len(w) <= self.longest), self.most))
+    _hashes = _WordHashes(20240711)
+
+    #: encode(prefix, chunks) returns the ids (little-endian unsigned 32-bit) of `prefix` and each chunk.
+    def __init__(self, encode: Callable[[str, list[str]], list[bytes]], most: int = 600_000, longest: int = 64):
+        self.encode, self.most, self.longest, self.batch = encode, most, longest, 0
+        none = np.zeros(0, np.int64)
+        self.key, self.check, self.at, self.n, self.used = none.view(np.uint64), none.view(np.uint64), none, none, none
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encoded(self, data: bytes, begin: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> list[bytes]:
+        out: list[bytes] = [b""] * len(begin)
+        for prefix, mine in (("", ~spaced), (" ", spaced)):
+            where = np.flatnonzero(mine)
+            if len(where):
+                words = [data[b:e].decode() for b, e in zip(begin[where].tolist(), end[where].tolist(), strict=True)]
+                for i, ids in zip(where.tolist(), self.encode(prefix, words), strict=True):
+                    out[i] = ids
         return out
 
+    def _keep(self, key: np.ndarray, check: np.ndarray, at: np.ndarray, n: np.ndarray, used: np.ndarray) -> None:
+        """Keeps these words, in order of key; if they are too many those used last."""
+        if len(key) > self.most:
+            last = np.sort(np.argsort(used, kind="stable")[-(self.most * 3 // 4) :])
+            key, check, at, n, used = key[last], check[last], at[last], n[last], used[last]
+            ends = np.cumsum(n)
+            self.ids = self.ids[np.repeat(at - ends + n, n) + np.arange(n.sum())]
+            at = ends - n
+        self.key, self.check, self.at, self.n, self.used = key, check, at, n, used
+
+    def _words(self, data: bytes, begin: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids each word has, all ids)."""
+        first, second = self._hashes(np.frombuffer(data, np.uint8), begin, end)
+        first = first ^ spaced.astype(np.uint64)
+        key, at, place = np.unique(first, return_index=True, return_inverse=True)
+        check = second[at]
+        if (check[place] != second).any():
+            found = self._encoded(data, begin, end, spaced)
+            return np.array([len(x) // 4 for x in found], np.int64), np.frombuffer(b"".join(found), "<u4")
+        self.batch += 1
+        where = np.searchsorted(self.key, key)
+        where[where == len(self.key)] = 0
+        known = (self.key[where] == key) & (self.check[where] == check) if len(self.key) else np.zeros(len(key), bool)
+        missing = np.flatnonzero(~known)
+        starts, counts = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        starts[known], counts[known] = self.at[where[known]], self.n[where[known]]
+        self.used[where[known]] = self.batch
+        ids = self.ids
+        if len(missing):
+            got = self._encoded(data, begin[at[missing]], end[at[missing]], spaced[at[missing]])
+            n = np.array([len(x) // 4 for x in got], np.int64)
+            counts[missing], starts[missing] = n, len(ids) + np.cumsum(n) - n
+            ids = np.concatenate([ids, np.frombuffer(b"".join(got), "<u4")])
+        size = counts[place]
+        ends = np.cumsum(size)
+        out = ids[np.repeat(starts[place] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        if len(missing):
+            new = missing[(end - begin)[at[missing]] <= self.longest]
+            other = ~np.isin(self.key, key[new])  # a key that another word had goes
+            self.ids = ids
+            merged = [np.concatenate([old[other], add]) for old, add in ((self.key, key[new]), (self.check, check[new]), (self.at, starts[new]), (self.n, counts[new]), (self.used, np.full(len(new), self.batch)))]
+            by = np.argsort(merged[0], kind="stable")
+            self._keep(*(x[by] for x in merged))
+            if len(self.ids) > 8 * self.most:  # of words that weren't kept
+                ends = np.cumsum(self.n)
+                self.ids = self.ids[np.repeat(self.at - ends + self.n, self.n) + np.arange(self.n.sum())]
+                self.at = ends - self.n
+        return size, out
+
+    def _plain(self, bodies: list[bytes]) -> list[bytes]:
+        """Of texts that are cut at every space, none empty."""
+        data = b"".join(bodies)
+        array = np.frombuffer(data, np.uint8)
+        ends = np.cumsum([len(b) for b in bodies])
+        spaces = np.flatnonzero(array == 32)
+        begin = np.concatenate([spaces + 1, ends - [len(b) for b in bodies]])
+        spaced = np.arange(len(begin)) < len(spaces)
+        by = np.argsort(begin, kind="stable")  # behind a last space comes an empty word, before the next text
+        begin, spaced = begin[by], spaced[by]
+        size, ids = self._words(data, begin, np.sort(np.concatenate([spaces, ends]), kind="stable"), spaced)
+        first = np.flatnonzero(~spaced)
+        cut = np.concatenate([[0], np.cumsum(size)])[np.append(first, len(size))]
+        raw = ids.astype("<u4").tobytes()
+        return [raw[4 * b : 4 * e] for b, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        first, rest, sizes = [], [], []  # chunks without and with a space before them; how many of each a text has
-        for t in texts:
-            t = t or ""
+        out: list[bytes] = [b""] * len(texts)
+        held: list[int] = []
+        bodies: list[bytes] = []
+
+        def flush() -> None:
+            for i, ids in zip(held, self._plain(bodies) if bodies else [], strict=True):
+                out[i] = ids
+            held.clear()
+            bodies.clear()
+
+        cut: list[tuple[int, list[str]]] = []
+        total = 0
+        for i, t in enumerate(texts):
+            if not t:
+                continue
             # of white space only spaces are printable
             if "  " in t or " \n" in t or "\n " in t or not t.replace("\n", "").isprintable():
-                cut = _BOUNDARY.split(t)
-                first += cut
-                sizes.append((len(cut), 0))
-            else:
-                cut = t.split(" ")
-                first.append(cut[0])
-                rest += cut[1:]
-                sizes.append((1, len(cut) - 1))
-        heads, tails = self._bytes("", first), self._bytes(" ", rest)
-        out, i, j = [], 0, 0
-        for n, m in sizes:
-            out.append(b"".join([*heads[i : i + n], *tails[j : j + m]]))
-            i, j = i + n, j + m
+                cut.append((i, _BOUNDARY.split(t)))
+                continue
+            body = t.encode()
+            if held and total + len(body) > WORDS_AT_ONCE:
+                flush()
+                total = 0
+            held.append(i)
+            bodies.append(body)
+            total += len(body)
+        flush()
+        if cut:
+            chunks = list({c for _, parts in cut for c in parts})
+            known = dict(zip(chunks, self.encode("", chunks), strict=True))
+            for i, parts in cut:
+                out[i] = b"".join(map(known.__getitem__, parts))
         return out

@@ -70,14 +70,6 @@ def _cache(vocabulary: str) -> common.ChunkCache:
             named = (prefix + f"\0{prefix}".join(matches)).encode().decode("latin-1").translate(letters).split(letters[0]) if matches else []
             known[prefix].update(zip(matches, (array("I", [t.id for t in tokenize(x)]).tobytes() for x in named), strict=True))
 
-        def several(chunk: str) -> bytes | None:
-            """Of a chunk that plainly is some matches."""
-            if not _ALL_PLAIN.fullmatch(chunk):
-                return None
-            matches = _PLAIN.findall(chunk)
-            learn("", [m for m in matches if m not in known[""]])
-            return b"".join(map(known[""].__getitem__, matches))
-
         def encode(prefix: str, words: list[str]) -> list[bytes]:
             """Chunks that plainly are a few matches are given to the library's model match by match, the others to the whole tokenizer."""
             for held in known.values():
@@ -97,8 +89,10 @@ def _cache(vocabulary: str) -> common.ChunkCache:
             learn("", [m for m in marks if m not in alone])
             out = [(mine[s] if s is w else mine[s] + alone[w[len(s) :]]) if x else None for w, s, x in zip(words, stems, plain, strict=True)]
             rest = [i for i, x in enumerate(out) if x is None]
-            for i in rest:
-                out[i] = several(prefix + words[i]) if not added.search(words[i]) else None
+            several = {i: _PLAIN.findall(prefix + words[i]) for i in rest if _ALL_PLAIN.fullmatch(prefix + words[i]) and not added.search(words[i])}
+            learn("", list({m for x in several.values() for m in x} - alone.keys()))
+            for i, matches in several.items():
+                out[i] = b"".join(map(alone.__getitem__, matches))
             whole = [i for i in rest if out[i] is None]
             for i, e in zip(whole, tokenizer.encode_batch_fast([prefix + words[i] for i in whole], add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, "<u4").tobytes()
