@@ -1,12 +1,13 @@
 """Operator 9: quality statistics, and a decision list that is learned from labelled ones.
 
-Statistics are of whole texts. The list is learned by sequential covering: a rule grows, one
+Statistics are of whole texts, however long. The list is learned by sequential covering: a rule grows, one
 threshold at a time, by the gain in information on two thirds of the labelled rows, is pruned
 on the other third, and is kept if it is precise enough there; what it covers leaves. The rules
 become conditional Spark expressions, tried in order; the first that holds gives the verdict,
 and what none covers is kept.
 
-Labelled rows are a bounded sample, TRAIN_ROWS by a hash of doc_id; labels of one doc_id that
+Labelled rows are a bounded sample, about TRAIN_ROWS by a hash of doc_id and never over twice as
+many; of conditions that gain as much the first in order counts; labels of one doc_id that
 disagree, and nulls, don't count. A null or empty text has no words, so it fails the base rules.
 Repeated rows each return. Empty tables give empty results, empty labels an empty list, with
 which everything is kept that passes the base rules. Extra columns are ignored.

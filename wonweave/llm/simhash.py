@@ -12,7 +12,8 @@ bucket linked fingerprints leave the search as they are reached, and each is ret
 
 A null text has no words and the fingerprint zero; so has an empty one. A null doc_id takes
 part, but is never a component's id unless all of its component are null. Repeated rows are
-linked and returned each. Empty tables give empty results; extra columns are ignored.
+linked and returned each; a text of any length has one fingerprint, made a stretch at a time.
+Empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ changes by less than CLOSE. A host is blocked if bad_share exceeds good_share an
 
 A null url, or one without `://`, has an empty host and path, no rule, and is allowed. A null
 page has no links. Repeated rows count and return each. Empty tables give empty results; extra
-columns are ignored. A host without links or seeds is allowed.
+columns are ignored. A host without links or seeds is allowed, and so is one whose shares tie. A
+url or page of any length is taken whole.
 """
 
 from __future__ import annotations
