@@ -164,6 +164,12 @@ _U = np.uint64
 WORDS_AT_ONCE = 1 << 20
 
 
+#: ASCII letters, and punctuation but for the apostrophe, which may begin a match of its own.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
+
+
 class _WordHashes:
     """Two 64-bit hashes of any stretches of bytes: differences of running sums of random numbers for bytes times powers of an odd base."""
 
@@ -202,7 +208,7 @@ class ChunkCache:
     that stands between two characters that aren't white space, and what it finds up to the
     next such space depends on that chunk alone. So a text is cut there, distinct chunks that
     aren't known yet are encoded together, and texts are joined from the results. Beside other
-    white space a text is cut only where that holds.
+    white space, and where it holds one of `whole`, a text is cut only where that holds.
 
     Words are told by 128 bits of hashes; if two of a batch agree in the first 64 only, the
     batch is encoded without the cache. At most `most` words of up to `longest` bytes are kept,
@@ -212,8 +218,8 @@ class ChunkCache:
     _hashes = _WordHashes(20240711)
 
     #: encode(prefix, chunks) returns the ids (little-endian unsigned 32-bit) of `prefix` and each chunk.
-    def __init__(self, encode: Callable[[str, list[str]], list[bytes]], most: int = 600_000, longest: int = 64):
-        self.encode, self.most, self.longest, self.batch = encode, most, longest, 0
+    def __init__(self, encode: Callable[[str, list[str]], list[bytes]], most: int = 600_000, longest: int = 64, whole: re.Pattern | None = None):
+        self.encode, self.most, self.longest, self.whole, self.batch = encode, most, longest, whole, 0
         none = np.zeros(0, np.int64)
         self.key, self.check, self.at, self.n, self.used = none.view(np.uint64), none.view(np.uint64), none, none, none
         self.ids = np.zeros(0, np.uint32)
@@ -278,18 +284,32 @@ class ChunkCache:
         return size, out
 
     def _plain(self, bodies: list[bytes]) -> list[bytes]:
-        """Of texts that are cut at every space, none empty."""
-        data = b"".join(bodies)
-        array = np.frombuffer(data, np.uint8)
-        ends = np.cumsum([len(b) for b in bodies])
+        """Of texts that are cut at every space, none empty.
+
+        They are also cut around a line feed alone, which is a match by itself, and between a letter
+        and punctuation that goes on to white space or the text's end, which is one match.
+        """
+        data = b"\0".join(bodies)
+        array = np.frombuffer(data + b"\0", np.uint8)
+        size = np.array([len(b) for b in bodies], np.int64)
+        ends = np.cumsum(size + 1) - 1
         spaces = np.flatnonzero(array == 32)
-        begin = np.concatenate([spaces + 1, ends - [len(b) for b in bodies]])
-        spaced = np.arange(len(begin)) < len(spaces)
-        by = np.argsort(begin, kind="stable")  # behind a last space comes an empty word, before the next text
-        begin, spaced = begin[by], spaced[by]
-        size, ids = self._words(data, begin, np.sort(np.concatenate([spaces, ends]), kind="stable"), spaced)
-        first = np.flatnonzero(~spaced)
-        cut = np.concatenate([[0], np.cumsum(size)])[np.append(first, len(size))]
+        lines = np.flatnonzero(array == 10)
+        lines = lines[(lines > 0) & (array[lines - 1] > 10) & (array[lines + 1] > 10)]
+        mark = _MARK[array]
+        edge = np.flatnonzero(mark[1:] != mark[:-1]) + 1
+        run, over = (edge[1::2], edge[2::2]) if mark[0] else (edge[::2], edge[1::2])  # a text's last mark is before a 0
+        before = array[run - 1]
+        letter = _LETTER[before] | (before >= 128) & (array[run - 2] == 0xC3) & (before != 0x97) & (before != 0xB7)
+        after = array[over]
+        cuts = run[letter & ((after == 32) | (after == 10) | (after == 0))]
+        inner = np.unique(np.concatenate([cuts, lines, lines + 1]))
+        begin = np.concatenate([spaces + 1, inner, ends - size])
+        kind = np.repeat(np.array([0, 1, 2], np.int8), [len(spaces), len(inner), len(ends)])
+        by = np.argsort(begin, kind="stable")
+        begin, kind = begin[by], kind[by]
+        sizes, ids = self._words(data, begin, np.sort(np.concatenate([spaces, inner, ends])), kind == 0)
+        cut = np.concatenate([[0], np.cumsum(sizes)])[np.append(np.flatnonzero(kind == 2), len(sizes))]
         raw = ids.astype("<u4").tobytes()
         return [raw[4 * b : 4 * e] for b, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
@@ -310,7 +330,7 @@ class ChunkCache:
             if not t:
                 continue
             # of white space only spaces are printable
-            if "  " in t or " \n" in t or "\n " in t or not t.replace("\n", "").isprintable():
+            if "  " in t or " \n" in t or "\n " in t or not t.replace("\n", "").isprintable() or self.whole and self.whole.search(t):
                 cut.append((i, _BOUNDARY.split(t)))
                 continue
             body = t.encode()

@@ -20,7 +20,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +33,15 @@ from wonweave.llm import common
 CHECKPOINT = 128
 BLOCK_TOKENS = 1 << 18
 #: Matches whose ids are kept.
-MOST_MATCHES = 500_000
+MOST_MATCHES = 100_000
 _TOKENIZERS: dict[str, common.ChunkCache] = {}
 
 
 #: Letters, digits and punctuation that all versions of the pattern's classes agree on; single line feeds. No apostrophes: these may begin a match of their own.
-_LETTERS, MARKS = "A-Za-zª\u00b5ºÀ-ÖØ-öø-ÿ", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_MARKS = re.escape(MARKS)
+_LETTERS, _MARKS = "A-Za-zª\u00b5ºÀ-ÖØ-öø-ÿ", re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 _OTHER = re.compile(rf"[^ {_LETTERS}]")
 _PLAIN = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
-_ALL_PLAIN = re.compile(rf" ?(?:[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*)")
+_ALL_PLAIN = re.compile(rf" ?(?:[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*)|\n")
 
 
 def byte_letters() -> dict[int, str]:
@@ -63,42 +61,33 @@ def _cache(vocabulary: str) -> common.ChunkCache:
 
         letters, tokenize = byte_letters(), tokenizer.model.tokenize
         added = re.compile("|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
-        known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # by what is before a match, and the match
+        known: dict[str, bytes] = {}
 
-        def learn(prefix: str, matches: list[str]) -> None:
+        def ids_of(matches: list[str]) -> list[bytes]:
             """The ids of matches of the pattern, each by the library's model."""
-            named = (prefix + f"\0{prefix}".join(matches)).encode().decode("latin-1").translate(letters).split(letters[0]) if matches else []
-            known[prefix].update(zip(matches, (array("I", [t.id for t in tokenize(x)]).tobytes() for x in named), strict=True))
+            named = "\0".join(matches).encode().decode("latin-1").translate(letters).split(letters[0]) if matches else []
+            return [array("I", [t.id for t in tokenize(x)]).tobytes() for x in named]
 
         def encode(prefix: str, words: list[str]) -> list[bytes]:
-            """Chunks that plainly are a few matches are given to the library's model match by match, the others to the whole tokenizer."""
-            for held in known.values():
-                if len(held) > MOST_MATCHES:
-                    held.clear()
-            mine, alone = known[prefix], known[""]
-            stems = [w.rstrip(MARKS) for w in words]
-            plain = [x.isalpha() for x in stems]  # letters, then marks
-            new = set(compress(stems, plain)) - mine.keys()
-            if _OTHER.search("".join(new)):
-                plain = [x and not _OTHER.search(s) for x, s in zip(plain, stems, strict=True)]
-                new = {x for x in new if not _OTHER.search(x)}
-            learn(prefix, list(new))
-            if added.search("\0".join(words)):
-                plain = [x and not added.search(w) for x, w in zip(plain, words, strict=True)]
-            marks = {w[len(s) :] for w, s, x in zip(words, stems, plain, strict=True) if x and s is not w}
-            learn("", [m for m in marks if m not in alone])
-            out = [(mine[s] if s is w else mine[s] + alone[w[len(s) :]]) if x else None for w, s, x in zip(words, stems, plain, strict=True)]
+            """Chunks that plainly are one match or a few are given to the library's model match by match, the others to the whole tokenizer."""
+            out: list[bytes | None] = [None] * len(words)
+            one = [i for i, w in enumerate(words) if w.isalpha() and not _OTHER.search(w)]
+            for i, ids in zip(one, ids_of([prefix + words[i] for i in one]), strict=True):
+                out[i] = ids
             rest = [i for i, x in enumerate(out) if x is None]
             several = {i: _PLAIN.findall(prefix + words[i]) for i in rest if _ALL_PLAIN.fullmatch(prefix + words[i]) and not added.search(words[i])}
-            learn("", list({m for x in several.values() for m in x} - alone.keys()))
+            if len(known) > MOST_MATCHES:
+                known.clear()
+            new = list({m for x in several.values() for m in x} - known.keys())
+            known.update(zip(new, ids_of(new), strict=True))
             for i, matches in several.items():
-                out[i] = b"".join(map(alone.__getitem__, matches))
+                out[i] = b"".join(map(known.__getitem__, matches))
             whole = [i for i in rest if out[i] is None]
             for i, e in zip(whole, tokenizer.encode_batch_fast([prefix + words[i] for i in whole], add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, "<u4").tobytes()
             return out
 
-        _TOKENIZERS[vocabulary] = common.ChunkCache(encode)
+        _TOKENIZERS[vocabulary] = common.ChunkCache(encode, whole=added)
     return _TOKENIZERS[vocabulary]
 
 
