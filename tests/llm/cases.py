@@ -99,3 +99,19 @@ def contamination(text, items):
 
 def sha(data):
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def near_survivors(rows):
+    """(doc_id, text) of the row that stays of each group of texts that chains of a Jaccard similarity of 0.8 or more over five-word shingles join."""
+    sets = []
+    for _, t in rows:
+        w = lower(t or "").split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if group[i] != group[j] and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    order = lambda r: (r[0] is None, r[0] or 0, "null" if r[1] is None else sha(r[1]))
+    return [min((rows[k] for k in range(len(rows)) if group[k] == g), key=order) for g in sorted(set(group))]

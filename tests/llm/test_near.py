@@ -18,21 +18,6 @@ def test_a_shared_doc_id_loses_no_group(spark, shared):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
 
 
-def brute(rows):
-    """The rows that stay, of (doc_id, text), by comparing all sets of word tuples."""
-    sets = []
-    for _, t in rows:
-        w = cases.lower(t or "").split()
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
-    group = list(range(len(rows)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if group[i] != group[j] and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
-                old, new = max(group[i], group[j]), min(group[i], group[j])
-                group = [new if g == old else g for g in group]
-    return {g: min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in set(group)}
-
-
 def test_stage_finds_all_pairs_of_five_words(spark):
     """Copies of ever more changed words, chains, a dense group, a shared passage, and short texts."""
     rng = np.random.default_rng(4)
@@ -52,7 +37,7 @@ def test_stage_finds_all_pairs_of_five_words(spark):
     rows = list(enumerate(texts))
     docs = cases.docs(spark, [(i, t, "en", "a") for i, t in rows]).repartition(3)
     got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
-    assert got == sorted(brute(rows).values())
+    assert got == sorted(i for i, _ in cases.near_survivors(rows))
     assert near.keep_one(docs.limit(0)).count() == 0
 
 
