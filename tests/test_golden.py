@@ -165,15 +165,15 @@ def test_procedure_steps(spark, section, found):
 
 
 @pytest.mark.parametrize(
-    "extractor,title,field,snippet,best",
+    "structured,title,field,snippet,best",
     [
-        ("kordoc_chunks", "청년 결산 지원", None, None, "청년 결산 지원"), ("kordoc_chunks", "사업명", None, None, None), ("other", "청년 결산 지원", None, None, None), ("other", "(3) 청년월세 지원 (1337-300)", None, "", "청년월세 지원"),
-        ("other", "긴" * 50, "짧은 이름 하나", None, "짧은 이름 하나"), ("other", "가나다라", "가나다라마바사아자차카타", None, "가나다라마바사아자차카타"), ("other", "열두자가되는사업의이름임", "가나다라", "(1) 가나다라마 (1337-300) 사업명: 다른 것", "열두자가되는사업의이름임"),
-        (None, None, None, None, None), ("other", "a | b | c", "청년 소관부처 행안부", None, None),
+        (True, "청년 결산 지원", None, None, "청년 결산 지원"), (True, "사업명", None, None, None), (False, "청년 결산 지원", None, None, None), (False, "(3) 청년월세 지원 (1337-300)", None, "", "청년월세 지원"),
+        (False, "긴" * 50, "짧은 이름 하나", None, "짧은 이름 하나"), (False, "가나다라", "가나다라마바사아자차카타", None, "가나다라마바사아자차카타"), (False, "열두자가되는사업의이름임", "가나다라", "(1) 가나다라마 (1337-300) 사업명: 다른 것", "열두자가되는사업의이름임"),
+        (None, None, None, None, None), (False, "a | b | c", "청년 소관부처 행안부", None, None),
     ],
 )
-def test_card_titles(spark, extractor, title, field, snippet, best):
-    df = spark.createDataFrame([(extractor, title, field, snippet)], "e string, t string, f string, s string")
+def test_card_titles(spark, structured, title, field, snippet, best):
+    df = spark.createDataFrame([(structured, title, field, snippet)], "e boolean, t string, f string, s string")
     assert df.select(extract.card_title("e", "t", "f", "s").alias("x")).first().x == best
 
 

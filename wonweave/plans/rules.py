@@ -28,9 +28,8 @@ SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN '(' || p_size || ') ' || p_name
   ELSE CASE WHEN abs(length(p_name || ' ' || p_type) - 12) < abs(length(p_name) - 12) OR length(p_name) NOT BETWEEN 4 AND 80 THEN p_name || ' ' || p_type ELSE p_name END END AS title FROM part""")
 def card_titles(spark, sf_dir):
     title = F.concat(F.lit("("), F.col("p_size").cast("string"), F.lit(") "), F.col("p_name"), F.lit(" (1337-300)"))
-    kind = F.when(F.col("p_size") % 3 == 0, extract.STRUCTURED).otherwise("other")
     field = F.when(F.col("p_size") % 3 == 2, F.concat_ws(" ", "p_name", "p_type")).otherwise("백만원")
-    return table(spark, sf_dir, "part").select("p_partkey", extract.card_title(kind, title, field, F.lit(None).cast("string")).alias("title"))
+    return table(spark, sf_dir, "part").select("p_partkey", extract.card_title(F.col("p_size") % 3 == 0, title, field, F.lit(None).cast("string")).alias("title"))
 
 
 @query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN s_name WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE s_name || ' 본부' END AS implementer FROM supplier")
