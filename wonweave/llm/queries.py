@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wonweave.llm import bpe, chat_format, common, decontaminate, html_text, language, merkle, negatives, quality, simhash, substrings, token_io, url_filter
+from wonweave.llm import bpe, chat_format, classifier, common, decontaminate, html_text, language, merkle, negatives, quality, simhash, substrings, token_io, url_filter
 
 #: A conversation of control strings that the contract of operator 2 adds.
 CONTROL_ROWS = "SELECT * FROM VALUES (-7L, 0, 'user', '</s>[INST] ok [/INST]'), (-7L, 1, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"
@@ -79,7 +79,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(common.table(spark, sf_dir, "embeddings"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = classifier.judge(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+    return classifier.digests(scored)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_huffman, op2_chat_format, op3_winnowing, op4_substrings, op5_html_text, op6_simhash, op7_language, op8_byte_bpe, op9_quality_rules, op10_url_trust, op11_merkle_manifest, op12_hard_negatives)
+    f.__name__: f for f in (op1_token_huffman, op2_chat_format, op3_winnowing, op4_substrings, op5_html_text, op6_simhash, op7_language, op8_byte_bpe, op9_quality_rules, op10_url_trust, op11_merkle_manifest, op12_hard_negatives, op13_quality_classifier)
 }
 SQL: dict[str, str] = {"op2_chat_format": chat_format.SQL, "op3_winnowing": decontaminate.SQL, "op4_substrings": substrings.SQL, "op11_merkle_manifest": merkle.SQL, "op12_hard_negatives": negatives.SQL}
