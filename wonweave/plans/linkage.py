@@ -272,3 +272,28 @@ def parser_scores(spark, sf_dir):
     one = extract.parser_score(F.replace(F.replace(F.col("text"), F.lit("."), F.lit(" 사업명 ")), F.lit(","), F.lit(" 억원 ")))
     sums = table(spark, sf_dir, "documents").groupBy("source").agg(F.bround(F.sum(one), 2).alias("score"))
     return sums.withColumn("place", F.rank().over(Window.orderBy(F.desc("score"))))
+
+
+#: What a service might say of customers' orders, two to a page: totals of all; pages without orders of one in 29 keys.
+SERVED = """
+WITH o AS (SELECT o_custkey, o_orderkey, CAST((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 2 + 1 AS INTEGER) AS page, count(*) OVER (PARTITION BY o_custkey) AS total FROM orders),
+t AS (SELECT DISTINCT o_custkey, total FROM o), g AS (SELECT o_custkey, page, count(*) AS got FROM o WHERE o_orderkey % 29 <> 0 GROUP BY ALL)"""
+
+
+def served(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.floor((place - 1) / 2 + 1).cast("int").alias("page"))
+    return o.groupBy("o_custkey").agg(F.count("*").alias("total")), o.filter("o_orderkey % 29 <> 0").groupBy("o_custkey", "page").agg(F.count("*").alias("n_rows"))
+
+
+@query(f"{SERVED} SELECT o_custkey, CAST(p AS INTEGER) AS page, CAST(least(2, total - (p - 1) * 2) AS INTEGER) AS expected FROM (SELECT o_custkey, total, unnest(range(1, (total + 1) // 2 + 1)) AS p FROM t)")
+def page_plan(spark, sf_dir):
+    return landed.page_plan(served(spark, sf_dir)[0], 2, "o_custkey")
+
+
+@query(f"{SERVED}, p AS (SELECT o_custkey, page, count(*) AS expected FROM o GROUP BY ALL) SELECT o_custkey, page, expected, coalesce(got, 0) AS got FROM p LEFT JOIN g USING (o_custkey, page) WHERE expected <> coalesce(got, 0)")
+def page_gaps(spark, sf_dir):
+    totals, pages = served(spark, sf_dir)
+    return landed.page_gaps(landed.page_plan(totals, 2, "o_custkey"), pages, "o_custkey")
