@@ -91,17 +91,44 @@ def test_cache_generations():
 
 
 def test_cache_tells_words_apart(monkeypatch):
-    """Where the first hashes of two words agree the cache isn't used."""
+    """Where the hashes of two words agree, in a batch or between a batch and the cache, their bytes decide."""
     from wonweave.llm import common
 
     encode = lambda prefix, chunks: [np.array([*(prefix + c).encode()], "<u4").tobytes() for c in chunks]
-    same = lambda data, begin, end: [np.zeros(len(begin), np.uint64), common._WordHashes(1)(data, begin, end)[1]]
-    monkeypatch.setattr(common.ChunkCache, "_hashes", staticmethod(same))
+    monkeypatch.setattr(common.ChunkCache, "_hash", staticmethod(lambda data, begin, end: np.zeros(len(begin), np.uint64)))
     cache = common.ChunkCache(encode)
-    for batch in (["a b a"], ["c"], ["d"], ["a b"]):
+    for batch in (["a b a"], ["c"], ["d"], ["a b"], ["d"], [" d"], ["dd"], ["d", "d"]):
         assert [bytes(np.frombuffer(x, "<u4").tolist()).decode() for x in cache.texts(batch)] == batch
 
 
+def test_words_of_one_hash(spark):
+    """Polynomials modulo 2**64 agree on a Thue-Morse word and the same with its letters swapped, whatever the base."""
+    import public_tokenizers as p
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from wonweave.llm import common
+
+    words = ["".join("ab"[(k.bit_count() + turn) % 2] for k in range(n)) for n in (1024, 2048) for turn in (0, 1)]
+    data = "".join(words).encode()
+    begin = np.array([0, 1024, 2048, 4096])
+    hashes = common.ChunkCache._hash(np.frombuffer(data, np.uint8), begin, begin + [1024, 1024, 2048, 2048])
+    assert hashes[2] == hashes[3]
+    texts = [*words, f"of {words[3]} and", f"of {words[2]} and"]
+    path = queries.vocabulary("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    theirs = tiktoken.Encoding("own", pat_str=p.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    model = bpe.model(path, p.PATTERN)
+    for batch in (texts, texts[::-1]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(batch)] == [theirs.encode_ordinary(t) for t in batch]
+    docs = cases.docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).coalesce(1)
+    assert sorted((r.doc_id, r.decoded_sha256) for r in bpe.digests(docs, path, p.PATTERN).collect()) == [(i, cases.sha(t)) for i, t in enumerate(texts)]
+    vocabulary = queries.vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(vocabulary)
+    got = token_io.read_tokens(spark, token_io.write_tokens(docs, vocabulary)).orderBy("doc_id").collect()
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
 def test_bpe_equals_the_library(spark, docs):
     import public_tokenizers as p
     import tiktoken

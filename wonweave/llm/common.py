@@ -170,35 +170,39 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
 
 
-class _WordHashes:
-    """Two 64-bit hashes of any stretches of bytes: differences of running sums of random numbers for bytes times powers of an odd base."""
+class _WordHash:
+    """A 64-bit hash of any stretches of bytes: differences of running sums of random numbers for bytes times powers of an odd base.
+
+    It only brings together what may be the same; such hashes agree on some words that differ.
+    """
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
-        self.numbers = rng.integers(0, 2**64, (2, 256), dtype=np.uint64)
-        self.bases = [int(x) | 1 for x in rng.integers(2**62, 2**63, 2)]
-        self.powers = [np.ones(1, np.uint64)] * 2
-        self.inverse = [np.ones(1, np.uint64)] * 2
-
-    def _grow(self, n: int) -> None:
-        for k, base in enumerate(self.bases):
-            for table, b in ((self.powers, base), (self.inverse, pow(base, -1, 2**64))):
-                x = table[k]
-                while len(x) < n:
-                    x = np.concatenate([x, x * _U(pow(b, len(x), 2**64))])
-                table[k] = x
-
-    def __call__(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-        if len(self.powers[0]) < len(data) + 1:
-            self._grow(len(data) + 1)
-        out = []
-        for k in (0, 1):
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(self.numbers[k][data] * self.powers[k][: len(data)], out=sums[1:])
-            h = (sums[end] - sums[begin]) * self.inverse[k][begin] + (end - begin).astype(np.uint64)
-            h ^= h >> _U(32)
-            out.append(h * _U(0x9E3779B97F4A7C15))
-        return out
+        self.numbers = rng.integers(0, 2**64, 256, dtype=np.uint64)
+        self.base = int(rng.integers(2**62, 2**63)) | 1
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _grown(self, x: np.ndarray, base: int, n: int) -> np.ndarray:
+        while len(x) < n:
+            x = np.concatenate([x, x * _U(pow(base, len(x), 2**64))])
+        return x
+
+    def __call__(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self.powers = self._grown(self.powers, self.base, len(data) + 1)
+        self.inverse = self._grown(self.inverse, pow(self.base, -1, 2**64), len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.numbers[data] * self.powers[: len(data)], out=sums[1:])
+        h = (sums[end] - sums[begin]) * self.inverse[begin] + (end - begin).astype(np.uint64)
+        h ^= h >> _U(32)
+        return h * _U(0x9E3779B97F4A7C15)
+
+
+def same_bytes(a: np.ndarray, a_begin: np.ndarray, b: np.ndarray, b_begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which of the stretches of n bytes, from a_begin in a and from b_begin in b, are the same."""
+    ends = np.cumsum(n)
+    inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)
+    differ = np.concatenate([[0], np.cumsum(a[np.repeat(a_begin, n) + inside] != b[np.repeat(b_begin, n) + inside])])
+    return differ[ends] == differ[ends - n]
 
 
 class ChunkCache:
@@ -210,19 +214,21 @@ class ChunkCache:
     aren't known yet are encoded together, and texts are joined from the results. Beside other
     white space, and where it holds one of `whole`, a text is cut only where that holds.
 
-    Words are told by 128 bits of hashes; if two of a batch agree in the first 64 only, the
-    batch is encoded without the cache. At most `most` words of up to `longest` bytes are kept,
+    A hash brings words of a batch and of the cache together, and their bytes are compared; if
+    two words of a batch have one hash, the batch is encoded without the cache, and a kept word of
+    the same hash gives way. At most `most` words of up to `longest` bytes are kept,
     those used last; that bounds memory and doesn't affect results.
     """
 
-    _hashes = _WordHashes(20240711)
+    _hash = _WordHash(20240711)
 
     #: encode(prefix, chunks) returns the ids (little-endian unsigned 32-bit) of `prefix` and each chunk.
     def __init__(self, encode: Callable[[str, list[str]], list[bytes]], most: int = 600_000, longest: int = 64, whole: re.Pattern | None = None):
         self.encode, self.most, self.longest, self.whole, self.batch = encode, most, longest, whole, 0
         none = np.zeros(0, np.int64)
-        self.key, self.check, self.at, self.n, self.used = none.view(np.uint64), none.view(np.uint64), none, none, none
-        self.ids = np.zeros(0, np.uint32)
+        #: Of kept words, in order of their hashes: where their ids and bytes are, and when they were last used.
+        self.key, self.spaced, self.at, self.n, self.begin, self.size, self.used = none.view(np.uint64), none.astype(bool), none, none, none, none, none
+        self.ids, self.bytes = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
 
     def _encoded(self, data: bytes, begin: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> list[bytes]:
         out: list[bytes] = [b""] * len(begin)
@@ -234,54 +240,62 @@ class ChunkCache:
                     out[i] = ids
         return out
 
-    def _keep(self, key: np.ndarray, check: np.ndarray, at: np.ndarray, n: np.ndarray, used: np.ndarray) -> None:
-        """Keeps these words, in order of key; if they are too many those used last."""
-        if len(key) > self.most:
-            last = np.sort(np.argsort(used, kind="stable")[-(self.most * 3 // 4) :])
-            key, check, at, n, used = key[last], check[last], at[last], n[last], used[last]
-            ends = np.cumsum(n)
-            self.ids = self.ids[np.repeat(at - ends + n, n) + np.arange(n.sum())]
-            at = ends - n
-        self.key, self.check, self.at, self.n, self.used = key, check, at, n, used
+    def _keep(self, words: list[np.ndarray]) -> None:
+        """Keeps these words; if they are too many, those used last. What other words had goes, once it is most of what is held."""
+        if len(words[0]) > self.most:
+            last = np.sort(np.argsort(words[-1], kind="stable")[-(self.most * 3 // 4) :])
+            words = [x[last] for x in words]
+        self.key, self.spaced, self.at, self.n, self.begin, self.size, self.used = words
+        if len(self.ids) > 8 * self.most or len(self.bytes) > 32 * self.most:
+            ends, stops = np.cumsum(self.n), np.cumsum(self.size)
+            self.ids = self.ids[np.repeat(self.at - ends + self.n, self.n) + np.arange(self.n.sum())]
+            self.bytes = self.bytes[np.repeat(self.begin - stops + self.size, self.size) + np.arange(self.size.sum())]
+            self.at, self.begin = ends - self.n, stops - self.size
 
     def _words(self, data: bytes, begin: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(how many ids each word has, all ids)."""
-        first, second = self._hashes(np.frombuffer(data, np.uint8), begin, end)
-        first = first ^ spaced.astype(np.uint64)
-        key, at, place = np.unique(first, return_index=True, return_inverse=True)
-        check = second[at]
-        if (check[place] != second).any():
+        array = np.frombuffer(data, np.uint8)
+        key, first, place = np.unique(self._hash(array, begin, end) ^ spaced.astype(np.uint64), return_index=True, return_inverse=True)
+        size = end - begin
+        again = np.flatnonzero(first[place] != np.arange(len(place)))
+        of = first[place[again]]
+        alike = (size[again] == size[of]) & (spaced[again] == spaced[of])
+        if not (alike.all() and same_bytes(array, begin[again], array, begin[of], size[again]).all()):
             found = self._encoded(data, begin, end, spaced)
             return np.array([len(x) // 4 for x in found], np.int64), np.frombuffer(b"".join(found), "<u4")
         self.batch += 1
+        known = np.zeros(len(key), bool)
         where = np.searchsorted(self.key, key)
         where[where == len(self.key)] = 0
-        known = (self.key[where] == key) & (self.check[where] == check) if len(self.key) else np.zeros(len(key), bool)
+        if len(self.key):
+            maybe = np.flatnonzero((self.key[where] == key) & (self.size[where] == size[first]) & (self.spaced[where] == spaced[first]))
+            known[maybe] = same_bytes(array, begin[first[maybe]], self.bytes, self.begin[where[maybe]], size[first[maybe]])
         missing = np.flatnonzero(~known)
         starts, counts = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
         starts[known], counts[known] = self.at[where[known]], self.n[where[known]]
         self.used[where[known]] = self.batch
         ids = self.ids
         if len(missing):
-            got = self._encoded(data, begin[at[missing]], end[at[missing]], spaced[at[missing]])
+            at = first[missing]
+            got = self._encoded(data, begin[at], end[at], spaced[at])
             n = np.array([len(x) // 4 for x in got], np.int64)
             counts[missing], starts[missing] = n, len(ids) + np.cumsum(n) - n
             ids = np.concatenate([ids, np.frombuffer(b"".join(got), "<u4")])
-        size = counts[place]
-        ends = np.cumsum(size)
-        out = ids[np.repeat(starts[place] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        each = counts[place]
+        ends = np.cumsum(each)
+        out = ids[np.repeat(starts[place] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
         if len(missing):
-            new = missing[(end - begin)[at[missing]] <= self.longest]
-            other = ~np.isin(self.key, key[new])  # a key that another word had goes
-            self.ids = ids
-            merged = [np.concatenate([old[other], add]) for old, add in ((self.key, key[new]), (self.check, check[new]), (self.at, starts[new]), (self.n, counts[new]), (self.used, np.full(len(new), self.batch)))]
-            by = np.argsort(merged[0], kind="stable")
-            self._keep(*(x[by] for x in merged))
-            if len(self.ids) > 8 * self.most:  # of words that weren't kept
-                ends = np.cumsum(self.n)
-                self.ids = self.ids[np.repeat(self.at - ends + self.n, self.n) + np.arange(self.n.sum())]
-                self.at = ends - self.n
-        return size, out
+            new = missing[size[first[missing]] <= self.longest]
+            at, length = first[new], size[first[new]]
+            stops = np.cumsum(length)
+            kept = ~np.isin(self.key, key[new])  # a word of the same hash gives way
+            added = (key[new], spaced[at], starts[new], counts[new], len(self.bytes) + stops - length, length, np.full(len(new), self.batch))
+            held = (self.key, self.spaced, self.at, self.n, self.begin, self.size, self.used)
+            self.ids, self.bytes = ids, np.concatenate([self.bytes, array[np.repeat(begin[at] - stops + length, length) + np.arange(length.sum())]])
+            words = [np.concatenate([old[kept], add]) for old, add in zip(held, added, strict=True)]
+            by = np.argsort(words[0], kind="stable")
+            self._keep([x[by] for x in words])
+        return each, out
 
     def _plain(self, bodies: list[bytes]) -> list[bytes]:
         """Of texts that are cut at every space, none empty.
