@@ -79,6 +79,25 @@ def removed(texts, length=200):
     return out
 
 
+def characters_left(texts, length=200):
+    """Each text less the characters of which a byte is in a string of `length` bytes that is found twice."""
+    seen = Counter(b[i : i + length] for t in texts for b in [(t or "").encode()] for i in range(len(b) - length + 1))
+    out = []
+    for t in texts:
+        body, gone = (t or "").encode(), set()
+        for i in range(len(body) - length + 1):
+            if seen[body[i : i + length]] > 1:
+                gone.update(range(i, i + length))
+        left, at = [], 0
+        for c in t or "":
+            n = len(c.encode())
+            if not gone & set(range(at, at + n)):
+                left.append(c)
+            at += n
+        out.append("".join(left))
+    return out
+
+
 def bench_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
 

@@ -189,7 +189,16 @@ def test_substrings(spark, docs):
     assert cases.in_order(substrings.digests(docs)) == want and sum(w[2] for w in want) > 1000
     assert substrings.digests(empty(spark)).count() == 0
     out = substrings.without_repeats(docs)
-    assert out.columns == docs.columns and sorted(str((r.doc_id, r.text, r.n_chars)) for r in out.collect()) == sorted(str((i, t if not n else kept.decode("utf-8", "ignore"), len(t or "") if not n else len(kept.decode("utf-8", "ignore")))) for (i, t, *_), (kept, n, _) in zip(cases.DOCS, cases.removed(TEXTS), strict=True))
+    assert out.columns == docs.columns and sorted(str((r.doc_id, r.text, r.n_chars)) for r in out.collect()) == sorted(str((i, t if t is None else left, len(left))) for (i, t, *_), left in zip(cases.DOCS, cases.characters_left(TEXTS), strict=True))
+
+
+def test_no_character_is_made_of_parts(spark):
+    """Strings that begin and end inside characters: what is left is whole characters of the text."""
+    same = cases.prose(31, 60)[:240]
+    texts = ["left ≤" + same + "☃ right", "q ቤ" + same + "♃ tail", "ሀ" + "é" * 130 + "ü", "ሁ" + "é" * 130 + "ý", "😀" + same[:197] + "😁", "🙀" + same[:197] + "🙁"]
+    assert cases.removed(texts)[0][0].decode("utf-8", "ignore") == "left ☃ right"[:5] + "☃ right"
+    rows = substrings.without_repeats(cases.docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == cases.characters_left(texts) and all(set(r.text) <= set(t) and r.n_chars == len(r.text) for r, t in zip(rows, texts, strict=True))
 
 
 @pytest.mark.parametrize("seed", range(3))

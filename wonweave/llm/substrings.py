@@ -315,8 +315,23 @@ def cut(body: memoryview, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, body[at:]])
 
 
-def changed_texts(docs: DataFrame) -> DataFrame:
-    """key (digest), n_removed, n_spans, kept (bytes) of each distinct text that loses bytes; written to shared storage."""
+def to_characters(body: memoryview, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans, widened to where characters of UTF-8 begin and end, so that what is left between them is whole."""
+    out = []
+    for lo, hi in spans:
+        while lo > 0 and body[lo] & 0xC0 == 0x80:
+            lo -= 1
+        while hi < len(body) and body[hi] & 0xC0 == 0x80:
+            hi += 1
+        out.append((lo, hi))
+    return out
+
+
+def changed_texts(docs: DataFrame, characters: bool = False) -> DataFrame:
+    """key (digest), n_removed, n_spans, kept (bytes) of each distinct text that loses bytes; written to shared storage.
+
+    With `characters`, a character that loses a byte isn't kept.
+    """
     schema = pa.schema([("key", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     @common.lean
@@ -327,7 +342,7 @@ def changed_texts(docs: DataFrame) -> DataFrame:
             for i, found in enumerate(batch.column(2).to_pylist()):
                 at, body = np.array(found, np.int64), view[offsets[i] : offsets[i + 1]]
                 spans = runs((at >> 32) - (at & 255), (at >> 32) - (at >> 8 & 255) + LENGTH)
-                out.append((sum(e - b for b, e in spans), len(spans), cut(body, spans)))
+                out.append((sum(e - b for b, e in spans), len(spans), cut(body, to_characters(body, spans) if characters else spans)))
             if out:
                 yield _batch(schema, batch.column(0), *zip(*out, strict=True))
 
@@ -369,7 +384,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with texts less their repeated strings; n_chars, if there, follows. A character that loses bytes goes whole. Texts that lose all are empty and stay."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    changed = changed_texts(docs).select("key", "kept").mapInArrow(_decode, "__key binary, __kept string")
+    changed = changed_texts(docs, characters=True).select(F.col("key").alias("__key"), F.decode("kept", "UTF-8").alias("__kept"))
     schema = pa.schema([*[(f.name, to_arrow_type(f.dataType)) for f in docs.schema], ("__key", pa.binary())])
     at = docs.columns.index("text")
 
@@ -386,11 +401,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     return rows.select(*docs.columns)
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()], pa.string())], names=["__key", "__kept"])
-
-
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
 w AS (SELECT r, p, md5(b[p + 1 : p + {LENGTH}]) AS h FROM (SELECT r, b, unnest(range(0, n - {LENGTH} + 1)) AS p FROM d WHERE n >= {LENGTH})),
