@@ -99,7 +99,12 @@ def markup_to_lines(c: Column | str, tables: bool = False) -> Column:
     return F.array_join(lines, "\n")
 
 
+def unmarked(line: Column) -> Column:
+    """A line without heading marks and bullets."""
+    return F.regexp_replace(F.regexp_replace(line, r"^#{1,6}\s*", ""), "^[ \\-·□○ㅇ]+|[ \\-·□○ㅇ]+$", "")
+
+
 def excerpt(c: Column | str, limit: int) -> Column:
     """Lines of markup without heading marks and bullets, each once, cut at `limit` characters."""
-    lines = F.transform(F.split(markup_to_lines(c, True), "\n"), lambda s: F.regexp_replace(F.regexp_replace(s, r"^#{1,6}\s*", ""), "^[ \\-·□○ㅇ]+|[ \\-·□○ㅇ]+$", ""))
+    lines = F.transform(F.split(markup_to_lines(c, True), "\n"), unmarked)
     return F.rtrim(F.left(F.array_join(F.array_distinct(F.filter(lines, lambda s: s != "")), "\n"), F.lit(limit)))

@@ -199,8 +199,8 @@ def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.markup_to_lines("html").alias("body"))
 
 
-SECTION_SPECS = (("opening", "^[A-D]", "^[M-Z]", 200), ("middle", "[0-9]", "^$", 200), ("closing", "\\.$", "^[E-H]", 200))
-SPEC_SQL = "(VALUES " + ", ".join(f"('{n}', '{a}', '{z}')" for n, a, z, _ in SECTION_SPECS) + ") AS s(section, b, z)"
+SECTION_SPECS = tuple(sections.Section(n, n, f"(?-i){a}", (f"(?-i){z}",), 200) for n, a, z in (("opening", "^[A-D]", "^[M-Z]"), ("middle", "[0-9]", "^$"), ("closing", "\\.$", "^[E-H]")))
+SPEC_SQL = "(VALUES " + ", ".join(f"('{x.name}', '{x.start}', '{x.stops[0]}')".replace("(?-i)", "") for x in SECTION_SPECS) + ") AS s(section, b, z)"
 SPANS = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents), m AS (SELECT * FROM l CROSS JOIN {SPEC_SQL}),
 st AS (SELECT doc_id, section, min(i) FILTER (regexp_matches(line, b)) AS start FROM m GROUP BY ALL HAVING count(*) FILTER (regexp_matches(line, b)) > 0),
@@ -297,3 +297,49 @@ def page_plan(spark, sf_dir):
 def page_gaps(spark, sf_dir):
     totals, pages = served(spark, sf_dir)
     return landed.page_gaps(landed.page_plan(totals, 2, "o_custkey"), pages, "o_custkey")
+
+
+@query("""
+WITH b AS (SELECT p_name AS name, min(p_partkey) AS k FROM part GROUP BY 1),
+r AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_partkey END AS k, CASE p_partkey % 4 WHEN 0 THEN split_part(p_name, ' ', 2) || ' for ' || split_part(p_name, ' ', 1) WHEN 1 THEN split_part(p_name, ' ', 2) WHEN 2 THEN 'a ' || split_part(p_name, ' ', 1) || ' kit' ELSE 'the ' || p_name || ' kit' END AS row_name FROM part),
+p AS (SELECT b.name, r.id, 'exact' AS how FROM b JOIN r USING (k)
+  UNION ALL SELECT b.name, r.id, 'fallback' FROM b JOIN r ON r.k IS NULL AND (contains(row_name, name) OR (length(row_name) >= 4 AND contains(name, row_name)) OR (contains(row_name, split_part(name, ' ', 1)) AND contains(row_name, split_part(name, ' ', 2)))) WHERE b.k % 3 <> 0)
+SELECT name, how, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM p GROUP BY ALL""")
+def token_fallback(spark, sf_dir):
+    """Names of parts, attached to parts whose turned names hold them, are held by them, or hold two of their words."""
+    parts = table(spark, sf_dir, "part")
+    words = F.split("p_name", " ")
+    b = parts.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("k")).select("name", "k", F.lit("").alias("corpus"), F.split("name", " ").alias("words"))
+    turned = F.when(F.col("p_partkey") % 4 == 0, F.concat(words[1], F.lit(" for "), words[0])).when(F.col("p_partkey") % 4 == 1, words[1]).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("a "), words[0], F.lit(" kit"))).otherwise(F.concat(F.lit("the "), F.col("p_name"), F.lit(" kit")))
+    r = parts.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 3 == 0, F.col("p_partkey")).alias("k"), turned.alias("row_name"), F.lit(None).cast("string").alias("keyword"))
+    found = attach.exact_then_fallback(b, r, "k", "name", "corpus", "keyword", "row_name", tokens="words")
+    return found.groupBy(F.col("b_name").alias("name"), "how").agg(F.count("*").alias("n"), F.sum("r_id").alias("ids"))
+
+
+#: What stands in a customer's orders: headings and lines of a business's explanation, one to an order, by its key.
+CHUNKS = (
+    "1) 사업 목적·내용", "2) 사업 개요", "<b>사업 근거</b> 및 추진경위", "주요 내용 {0}", "## 지원 절차 안내", "7) 사업 집행절차", "9) 최근 결산", "사업 집행 절차 : 해당 없음",
+    "성과 지표 {0}", "안내 문장<br>- 안내 문장<br>덧붙인 문장", "본문은 늘 같은 문장", "설명 문장 {0} 입니다",
+)
+SPECS_SQL = ", ".join("({})".format(", ".join("NULL" if v is None else str(v) if isinstance(v, int) else f"'{v}'" for v in (x.name, x.label, x.start, "|".join(x.stops), x.limit, x.preferred))) for x in sections.SPECS)
+TRIMMED = "regexp_replace(regexp_replace(x, '^#{1,6}[ ]*', ''), '^[ \\-·□○ㅇ]+|[ \\-·□○ㅇ]+$', '', 'g')"
+
+
+@query(f"""
+WITH o AS (SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i, CASE o_orderkey % {len(CHUNKS)} {" ".join(f"WHEN {k} THEN replace('{x}', '{{0}}', CAST(o_orderkey AS VARCHAR))" for k, x in enumerate(CHUNKS))} END AS raw FROM orders),
+c AS (SELECT o_custkey, i, array_to_string([trim(regexp_replace(x, ' +', ' ', 'g')) FOR x IN string_split(regexp_replace(replace(raw, '<br>', chr(10)), '<[^>]+>', ' ', 'g'), chr(10))], chr(10)) AS t FROM o),
+specs(section, label, a, z, most, preferred) AS (VALUES {SPECS_SQL}),
+st AS (SELECT o_custkey, section, coalesce(min(i) FILTER (regexp_matches(t, '(?i)' || preferred)), min(i) FILTER (regexp_matches(t, '(?i)' || a))) AS start FROM c CROSS JOIN specs GROUP BY ALL HAVING start IS NOT NULL),
+sp AS (SELECT o_custkey, section, label, start, most, coalesce(min(i) FILTER (i > start AND regexp_matches(t, '(?i)' || z)), max(i) + 1) AS stop FROM c JOIN st USING (o_custkey) JOIN specs USING (section) GROUP BY ALL),
+li AS (SELECT o_custkey, section, i, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS j FROM sp JOIN c USING (o_custkey) WHERE i >= start AND i < stop),
+once AS (SELECT o_custkey, section, line, min(i * 1000 + j) AS pos FROM (SELECT o_custkey, section, i, j, {TRIMMED} AS line FROM li) WHERE line <> '' GROUP BY 1, 2, 3),
+tx AS (SELECT o_custkey, section, label, start, stop - 1 AS last, rtrim(left(string_agg(line, chr(10) ORDER BY pos), any_value(most))) AS text FROM once JOIN sp USING (o_custkey, section) GROUP BY ALL),
+us AS (SELECT *, regexp_replace(text, '[^0-9A-Za-z가-힣]', '', 'g') AS bare FROM tx)
+SELECT o_custkey, section, label, text, start, last FROM us WHERE length(bare) >= {sections.LEAST} AND length(regexp_replace(bare, '{sections.HEADINGS}', '', 'g')) >= {sections.LEAST_WITHOUT}
+AND NOT (section = 'procedure' AND regexp_matches(left(text, {sections.NONE_WITHIN}), '{sections.NONE_SAID["procedure"]}'))""")
+def business_sections(spark, sf_dir):
+    from pyspark.sql import Window
+
+    o = table(spark, sf_dir, "orders").withColumn("i", (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).cast("long"))
+    raw = F.replace(F.element_at(F.array(*map(F.lit, CHUNKS)), (F.col("o_orderkey") % len(CHUNKS) + 1).cast("int")), F.lit("{0}"), F.col("o_orderkey").cast("string"))
+    return sections.extracted(o.select("o_custkey", "i", raw.alias("raw")), ["o_custkey"], "i", "raw")

@@ -104,6 +104,17 @@ def span_range_join(spark, sf_dir):
     return sections.chunks_in(spans, c.select("conv_id", "turn"), "conv_id", "turn").groupBy("conv_id", "block_start").agg(F.count("*").alias("n"), F.min("chunk_turn").alias("first"), F.max("chunk_turn").alias("last"))
 
 
+@query("""
+WITH s AS (SELECT conv_id, turn AS a, turn + 2 + CASE WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END AS claimed FROM conversations WHERE role = 'user'), p AS (SELECT s.conv_id, s.a, s.claimed, max(c.turn) AS z FROM s JOIN conversations c ON c.conv_id = s.conv_id AND c.turn BETWEEN s.a AND s.a + 2 GROUP BY ALL)
+SELECT 'span' AS check_id, conv_id || '|' || a AS key, 'pages' AS message FROM p WHERE claimed <> z""")
+def span_pages(spark, sf_dir):
+    """Spans of three turns from each of the user's, one in five said to end a turn later than it does."""
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source_pdf"), F.col("turn").alias("chunk_idx"), F.col("turn").alias("page"), "role")
+    end = F.col("chunk_idx") + 2
+    spans = c.filter("role = 'user'").select("source_pdf", F.col("chunk_idx").alias("block_start"), end.alias("block_end"), F.col("chunk_idx").alias("page_start"), (end + F.when(F.col("source_pdf") % 5 == 0, 1).otherwise(0)).alias("page_end"))
+    return quality.spans_hold(spans, c)
+
+
 @query("SELECT conv_id, arg_min(turn, turn) AS first_turn, arg_max(role, turn) AS last_role FROM conversations GROUP BY 1")
 def section_choice(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
