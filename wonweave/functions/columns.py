@@ -103,3 +103,8 @@ def is_snapshot_date(c: Column | str, year: Column | str) -> Column:
     """YYYYMMDD, a real date of the year."""
     day = col(c).cast("string")
     return F.coalesce(day.rlike(r"^\d{8}$") & day.startswith(col(year).cast("string")) & F.try_to_date(day, "yyyyMMdd").isNotNull(), F.lit(False))
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -34,7 +34,7 @@ def sequence(n: DataFrame) -> DataFrame:
 def display_ids(n: DataFrame) -> DataFrame:
     """P01, P02 ... in order of phase and seq."""
     i = F.row_number().over(Window.partitionBy("business_id").orderBy("phase", "seq", "id"))
-    return n.withColumn("display_id", F.concat(F.lit("P"), F.lpad(i.cast("string"), 2, "0")))
+    return n.withColumn("display_id", F.format_string("P%02d", i))
 
 
 def actors(df: DataFrame, business: str, roles: dict[str, Column]) -> DataFrame:

@@ -335,7 +335,7 @@ li AS (SELECT o_custkey, section, i, unnest(string_split(t, chr(10))) AS x, gene
 once AS (SELECT o_custkey, section, line, min(i * 1000 + j) AS pos FROM (SELECT o_custkey, section, i, j, {TRIMMED} AS line FROM li) WHERE line <> '' GROUP BY 1, 2, 3),
 tx AS (SELECT o_custkey, section, label, start, stop - 1 AS last, rtrim(left(string_agg(line, chr(10) ORDER BY pos), any_value(most))) AS text FROM once JOIN sp USING (o_custkey, section) GROUP BY ALL),
 us AS (SELECT *, regexp_replace(text, '[^0-9A-Za-z가-힣]', '', 'g') AS bare FROM tx)
-SELECT o_custkey, section, label, text, start, last FROM us WHERE length(bare) >= {sections.LEAST} AND length(regexp_replace(bare, '{sections.HEADINGS}', '', 'g')) >= {sections.LEAST_WITHOUT}
+SELECT o_custkey, section, label, text, start, last FROM us WHERE length(bare) >= 8 AND length(regexp_replace(bare, '{extract.HEADINGS}', '', 'g')) >= 6
 AND NOT (section = 'procedure' AND regexp_matches(left(text, {sections.NONE_WITHIN}), '{sections.NONE_SAID["procedure"]}'))""")
 def business_sections(spark, sf_dir):
     from pyspark.sql import Window

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wonweave.functions import columns, extract, scoring, steps, text
 from wonweave.operators import attach, channels, classify, dedupe, flow, graph, hierarchy, keywords, match, quality, sections
+from wonweave.operators import workflow as work
 from wonweave.sources import sinks
 
 NAMES = ("office_name", "account_name", "program_name", "unit_business_name", "detail_business_name")
@@ -60,18 +61,28 @@ def canonical(detail: DataFrame, mix: DataFrame, refs: DataFrame, local: DataFra
     return out.withColumn("local_rows", F.coalesce("local_rows", F.lit(0))).withColumn("n_references", F.coalesce(F.size("references"), F.lit(0)))
 
 
-def workflow(record: DataFrame, steps: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges: the budget, its items, and documented steps in order. `steps`: business_id, seq, step."""
-    name = record.select("business_id", F.col("detail_business_name").alias("label"), F.col("congress_amt").alias("amount"))
-    budget = graph.nodes(name, "business_id", "budget", "G1", F.col("label"), F.col("amount"))
-    parts = graph.nodes(items, "business_id", "budget_item", "G2", F.concat_ws(" / ", "mok_name", "semok_name"), F.col("amount"), F.regexp_extract("item_id", r"(\d+)$", 1).cast("int"))
-    done = graph.nodes(steps, "business_id", "procedure", classify.phase("step"), F.col("step"), seq=F.col("seq"))
-    start = budget.select("business_id", F.col("id").alias("start"))
-    fund = graph.edges(parts.join(start, "business_id"), "start", "id", "fund")
-    first = done.groupBy("business_id").agg(F.min_by("id", "seq").alias("first"))
-    deliver = graph.edges(first.join(start, "business_id"), "start", "first", "delivery")
-    n = graph.display_ids(quality.union([budget, parts, done]))
-    return n, graph.only_known_ends(quality.union([fund, deliver, graph.sequence(done)]), n)
+def breakdown(lines: DataFrame, detail: DataFrame) -> DataFrame:
+    """business_id, mok_name, semok_name, amount, line_count, share of the business's amount: all items, whatever their sign."""
+    named = with_key(lines).select("business_id", F.coalesce("mok_name", F.lit("(목 미상)")).alias("mok_name"), F.coalesce("semok_name", F.lit("(세목 미상)")).alias("semok_name"), "congress_amt")
+    sums = named.groupBy("business_id", "mok_name", "semok_name").agg(F.sum("congress_amt").cast(columns.WON).alias("amount"), F.count("*").alias("line_count"))
+    return sums.join(detail.select("business_id", F.col("congress_amt").alias("__all")), "business_id").withColumn("share", columns.share("amount", "__all", 8)).drop("__all")
+
+
+#: Columns of local candidates that nodes may name; those that aren't there are null.
+LOCAL_FIELDS = ("local_gov_name", "local_gov_code", "local_level", "exe_ymd", "detail_business_code", "detail_business_name")
+
+
+def workflow_facts(lines: DataFrame, detail: DataFrame, refs: DataFrame, cards: DataFrame, procedures: DataFrame, local: DataFrame) -> dict[str, DataFrame]:
+    """What the rules of operators/workflow.py read: business, items, cards, sections, people, steps, local."""
+    business = detail.select("business_id", "year", "office_name", "congress_amt")
+    held = refs.select("business_id", "card").join(cards.select("card", "implementer", "source_pdf", "page_start", "page_end", F.col("anchor_chunk_id").alias("chunk_start"), F.lit(None).cast("string").alias("chunk_end")), "card")
+    said = held.drop("implementer").join(sections.by_section(procedures, ["card", "section"], "seq").select("card", "section", "text"), "card")
+    said = sinks.staged(said.withColumn("evidence_id", columns.stable_id("ev", columns.key("source_pdf", "chunk_start", "section"), 14)), "sections")
+    who = sinks.staged(work.people(business, said, held), "people")
+    for c in LOCAL_FIELDS:
+        local = local if c in local.columns else local.withColumn(c, F.lit(None).cast("string"))
+    with_who = said.join(who.select("business_id", "implementer"), "business_id", "left")
+    return {"business": business, "items": breakdown(lines, detail), "cards": held, "sections": with_who, "people": who, "steps": work.steps_of(said, who, steps.procedure_steps("text")), "local": local}
 
 
 def flow_items(lines: DataFrame) -> DataFrame:
@@ -126,16 +137,17 @@ def run(lines: DataFrame, cards: DataFrame, candidates: DataFrame, procedures: D
     record = sinks.staged(canonical(detail, mix, refs, local), "canonical")
     tree = sinks.staged(hierarchy.rollup_tree(detail, NAMES, "congress_amt"), "tree")
     items = sinks.staged(flow_items(lines), "items")
-    owned = refs.select("business_id", "card").join(sections.by_section(procedures, ["card", "section"], "seq"), "card")
-    said = sinks.staged(owned.filter("section = 'procedure'").groupBy("business_id").agg(F.min_by("text", "card").alias("text")).select("business_id", steps.procedure_steps("text").alias("steps")), "steps")
-    nodes, edges = workflow(record, said.select("business_id", F.posexplode("steps").alias("seq", "step")), items)
-    nodes, edges = sinks.staged(nodes, "nodes"), sinks.staged(edges, "edges")
+    facts = workflow_facts(lines, detail, refs, cards, procedures, local)
+    owned = facts["sections"]
+    nodes = sinks.staged(work.nodes(facts), "nodes")
+    edges, actors = sinks.staged(work.edges(nodes), "edges"), sinks.staged(work.actors(facts["people"], facts["business"], local), "actors")
+    covered = sinks.staged(work.coverage(facts["business"], nodes, facts["cards"]), "coverage")
     subs = owned.filter("section = 'budget_basis'").select("business_id", F.explode(extract.subprojects("text")).alias("s")).select("business_id", "s.id", "s.label", F.col("s.amount_won").cast(columns.WON).alias("amount"), "s.detail")
     subs = sinks.staged(subs, "subprojects")
     return {
-        "details": detail, "channels": mix, "matches": matches, "top3": top3, "unresolved": unresolved(matches), "canonical": record, "tree": tree, "local": local, "nodes": nodes, "edges": edges, "items": items, "subprojects": subs, "flow": flow_maps(detail, items, subs), "flow_totals": channels.totals(items, "code", "amount"),
+        "details": detail, "channels": mix, "matches": matches, "top3": top3, "unresolved": unresolved(matches), "canonical": record, "tree": tree, "local": local, "nodes": nodes, "edges": edges, "actors": actors, "coverage": covered, "items": items, "subprojects": subs, "flow": flow_maps(detail, items, subs), "flow_totals": channels.totals(items, "code", "amount"),
         "plan": keywords.plan(keywords.select(keyed, detail, ["business_id"], "congress_amt", classify.is_local_transfer("mok_name", "semok_name")).join(detail.select("business_id", "detail_business_name"), "business_id"), "detail_business_name"),
-        "summary": summary(record, matches, local), "violations": checks(lines, record, mix, items, tree, matches, nodes, edges, local),
+        "summary": summary(record, matches, local), "violations": checks(lines, record, mix, items, tree, matches, nodes, edges, local).unionByName(work.broken(nodes, edges, actors)),
     }
 
 
