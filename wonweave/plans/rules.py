@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wonweave.functions import columns, extract, steps, text
-from wonweave.operators import classify, flow, keywords, quality
+from wonweave.operators import audits, classify, compare, flow, keywords, quality
 from wonweave.plans import rebuild
 from wonweave.plans.registry import query, table
 from wonweave.sources import landed, sinks
@@ -193,3 +194,74 @@ def normalised_names(spark, sf_dir):
     wide = F.translate(F.lower("p_name"), "abcdefghijklmnopqrstuvwxyz", "ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ")
     ranged = F.concat(F.col("p_name"), F.lit("  &amp; "), F.col("p_size").cast("string"), F.lit("\\~"), F.col("p_size").cast("string"))
     return table(spark, sf_dir, "part").select("p_partkey", text.name_key(wide).alias("name_key"), text.readable(F.concat(wide, F.lit("\n a&amp;b"))).alias("clean"), text.heading_text(ranged).alias("heading"))
+
+
+def copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of orders, and what a copy made of them: some lost, some twice, some with another quantity, one in 97 orders with none."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", columns.cents("l_extendedprice").alias("cents"), F.when(F.col("l_linenumber") != 3, F.col("l_returnflag")).alias("flag"), F.col("l_quantity").cast("long").alias("quantity"))
+    changed = li.filter("l_orderkey % 97 <> 0 AND NOT (l_orderkey % 53 = 0 AND l_linenumber = 1)").withColumn("quantity", F.col("quantity") + F.when((F.col("l_orderkey") % 41 == 0) & (F.col("l_linenumber") == 2), 1).otherwise(0))
+    return li, changed.unionByName(changed.filter("l_orderkey % 61 = 0 AND l_linenumber = 1"))
+
+
+COPIES = """
+WITH a AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS flag, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem),
+b0 AS (SELECT * REPLACE (quantity + CASE WHEN l_orderkey % 41 = 0 AND l_linenumber = 2 THEN 1 ELSE 0 END AS quantity) FROM a WHERE l_orderkey % 97 <> 0 AND NOT (l_orderkey % 53 = 0 AND l_linenumber = 1)),
+b AS (SELECT * FROM b0 UNION ALL SELECT * FROM b0 WHERE l_orderkey % 61 = 0 AND l_linenumber = 1),
+d AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, cents, flag, quantity, sum(s) AS d FROM (SELECT *, 1 AS s FROM a UNION ALL SELECT *, -1 FROM b) GROUP BY ALL HAVING sum(s) <> 0)"""
+
+
+@query(f"{COPIES} SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, cents, coalesce(flag, '-') AS flag, quantity, CASE WHEN d > 0 THEN 'missing' ELSE 'extra' END AS side, CAST(abs(d) AS BIGINT) AS times FROM d")
+def table_differences(spark, sf_dir):
+    a, b = copies(spark, sf_dir)
+    return compare.differences(a, b, ["l_orderkey"]).withColumn("flag", F.coalesce("flag", F.lit("-")))
+
+
+@query(f"{COPIES}, ca AS (SELECT l_orderkey, count(*) AS n_a FROM a GROUP BY 1), cb AS (SELECT l_orderkey, count(*) AS n_b FROM b GROUP BY 1) SELECT l_orderkey, n_a, coalesce(n_b, 0) AS n_b FROM ca LEFT JOIN cb USING (l_orderkey) WHERE l_orderkey IN (SELECT l_orderkey FROM d)")
+def differing_groups(spark, sf_dir):
+    """From fingerprints that were made of two halves of each table and put together."""
+    halves = lambda df: compare.merged([compare.fingerprints(df.filter(f"l_partkey % 2 = {k}"), ["l_orderkey"]) for k in (0, 1)], ["l_orderkey"])
+    a, b = copies(spark, sf_dir)
+    return compare.differing(halves(a), halves(b), ["l_orderkey"])
+
+
+@query("""
+WITH c AS (SELECT p_partkey, p_name, p_type, p_size, CASE WHEN p_partkey % 11 = 0 THEN '구분' WHEN p_partkey % 13 = 0 THEN p_name || '</td>' WHEN p_partkey % 17 = 0 THEN NULL ELSE p_name || ' ' || p_partkey END AS title FROM part),
+v AS (SELECT CAST(p_partkey AS VARCHAR) AS key, unnest([CASE WHEN p_size = 1 THEN 'card_extractor' END, CASE WHEN title IS NULL OR title = '구분' THEN 'card_title' END, CASE WHEN title LIKE '%</td>' THEN 'card_markup' END, CASE WHEN p_size % 10 = 2 THEN 'card_code' END, CASE WHEN p_size % 7 = 0 THEN 'card_pages' END,
+  CASE WHEN p_size = 5 THEN 'card_chunks' END, CASE WHEN p_size = 6 THEN 'card_code_type' END, CASE WHEN p_size = 8 THEN 'card_implementer' END, CASE WHEN p_size = 9 THEN 'card_paths' END, CASE WHEN p_size % 10 = 1 THEN 'card_paths_twice' END, CASE WHEN p_size = 13 THEN 'card_amounts' END]) AS check_id FROM c)
+SELECT check_id, key FROM v WHERE check_id IS NOT NULL""")
+def card_audit(spark, sf_dir):
+    p, size = table(spark, sf_dir, "part"), F.col("p_size")
+    k = F.col("p_partkey")
+    title = F.when(k % 11 == 0, "구분").when(k % 13 == 0, F.concat("p_name", F.lit("</td>"))).when(k % 17 == 0, None).otherwise(F.concat_ws(" ", "p_name", k.cast("string")))
+    cards = p.select(
+        k.alias("card"), F.concat(F.lit("d"), k.cast("string")).alias("source_pdf"), F.when(size != 1, audits.EXTRACTOR).alias("extractor"), title.alias("title"), F.when(size % 10 == 2, "12-3").otherwise("1234-301~305").alias("code"), F.when(size == 6, "other").otherwise("detail").alias("code_type"),
+        F.when(size == 8, " 미정 ").otherwise("기관").alias("implementer"), F.lit(5).alias("page_start"), F.when(size % 7 == 0, 4).otherwise(5).alias("page_end"), F.lit("a").alias("anchor_chunk_id"), F.when(size == 5, "").otherwise("a").alias("source_chunk_start"), F.lit("z").alias("source_chunk_end"),
+        F.when(size == 9, F.array(F.lit("직접"), F.lit("현금"))).when(size % 10 == 1, F.array(F.lit("보조"), F.lit("보조"))).alias("exec_paths"), F.when(size == 13, F.array(F.lit("1\n원"))).alias("amounts"),
+    )
+    return audits.card_checks(cards).select("check_id", "key")
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity FROM lineitem),
+t AS (SELECT l_suppkey, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS a FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+v AS (SELECT l_orderkey, l_linenumber, unnest([CASE WHEN l_quantity = 1 THEN 'candidate_key' END, CASE WHEN l_quantity IN (1, 2) THEN 'candidate_business' END, CASE WHEN l_quantity = 3 THEN 'candidate_year' END, CASE WHEN l_quantity = 4 THEN 'candidate_day' END, CASE WHEN l_quantity = 5 THEN 'candidate_source' END, CASE WHEN l_quantity = 6 THEN 'candidate_keyword' END,
+  CASE WHEN l_quantity = 7 THEN 'candidate_strategy' END, CASE WHEN l_quantity = 8 THEN 'candidate_name' END, CASE WHEN l_quantity = 9 THEN 'candidate_amount' END, CASE WHEN l_quantity = 10 THEN 'candidate_identity' END, CASE WHEN l_quantity NOT IN (1, 2) AND (t.a IS NULL OR l_quantity = 11) THEN 'candidate_central' END]) AS check_id FROM r LEFT JOIN t USING (l_suppkey))
+SELECT check_id, count(*) AS n, CAST(sum(l_orderkey * 10 + l_linenumber) AS BIGINT) AS keys FROM v WHERE check_id IS NOT NULL GROUP BY 1""")
+def candidate_audit(spark, sf_dir):
+    """Each line of an order as a local candidate of its supplier; what is wrong with it follows from its quantity."""
+    li = table(spark, sf_dir, "lineitem").withColumn("cents", columns.cents("l_extendedprice"))
+    q = F.col("l_quantity")
+    key = lambda *first: F.array(*[F.lit(x) for x in first], *[F.lit(x) for x in ("계정", "회계", "프로그램")], F.col("l_suppkey").cast("string"))
+    local = li.filter("l_returnflag = 'R'").groupBy("l_suppkey").agg(F.sum("cents").alias("amount"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+    records = s.select(F.col("l_suppkey").alias("business_id"), key("2026", "부처").alias("canonical_key"))
+    mix = local.select(F.col("l_suppkey").alias("business_id"), F.lit(audits.LOCAL_CHANNEL).alias("channel"), "amount")
+    central = F.when(q == 1, key("2026")).when(q == 2, key("2026", "없는 부처")).otherwise(key("2026", "부처"))
+    rows = li.join(local, "l_suppkey", "left").select(
+        central.alias("central_key"), F.when(q == 8, "다른 이름").otherwise(F.col("l_suppkey").cast("string")).alias("central_name"), F.when(q == 3, "2025").otherwise("2026.0").alias("year"), F.when(q == 4, "20260231").otherwise("20260228").alias("exe_ymd"), F.lit(audits.SOURCE).alias("source"), F.when(q == 5, "matched").otherwise(audits.STATUS).alias("match_status"), F.lit(audits.MODE).alias("match_mode"),
+        F.when(q == 6, "가 나 다").otherwise("가나 다라").alias("keyword"), F.when(q == 7, "").otherwise("whole").alias("keyword_strategy"), F.when(q == 9, 0).otherwise(1).alias("national_amt"), (F.col("amount") + F.when(q == 11, 1).otherwise(0)).alias("central_amount"),
+        F.when(q == 10, None).otherwise("11").alias("local_gov_code"), F.concat_ws("-", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), "l_partkey").alias("detail_business_code"),
+    )
+    found = audits.candidate_checks(rows, records, mix, rows.withColumnRenamed("central_key", "canonical_key"))
+    number = F.split(F.element_at(F.split("key", r"\|"), -1), "-")[0].cast("long")
+    return found.groupBy("check_id").agg(F.count("*").alias("n"), F.sum(number).alias("keys"))
