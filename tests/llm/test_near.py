@@ -18,8 +18,11 @@ def test_a_shared_doc_id_loses_no_group(spark, shared):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
 
 
-def test_stage_finds_all_pairs_of_five_words(spark):
+@pytest.mark.parametrize("small,block,rounds", [(32, 1024, 2), (2, 8, 0), (3, 5, 1)])
+def test_stage_finds_all_pairs_of_five_words(spark, monkeypatch, small, block, rounds):
     """Copies of ever more changed words, chains, a dense group, a shared passage, and short texts."""
+    for name, value in (("SMALL", small), ("BLOCK", block), ("ROUNDS", rounds), ("TILE", 3 if small < 32 else 256)):
+        monkeypatch.setattr(near, name, value)
     rng = np.random.default_rng(4)
     texts = []
     for k in range(8):
@@ -54,3 +57,48 @@ def test_texts_that_share_doc_ids_all_stay(spark):
     rows = [(3, t[0]), (15, t[0]), (15, t[1]), (None, t[2]), (None, t[3]), (20, t[4]), (20, t[5])]
     got = near.keep_one(cases.docs(spark, [(i, x, "en", "a") for i, x in rows])).collect()
     assert sorted(r.text for r in got) == sorted(t) and {r.doc_id for r in got if r.text == t[0]} == {3}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_join_what_is_similar_and_nothing_else(seed):
+    rng = np.random.default_rng(seed)
+    base = [np.unique(rng.integers(-(2**62), 2**62, 120)) for _ in range(3)]
+    sets = []
+    for k in range(60):
+        s = base[k % 3].copy()
+        s[rng.choice(len(s), int(rng.integers(0, 30)), replace=False)] = rng.integers(-(2**62), 2**62)
+        sets.append(np.unique(np.concatenate([s[: len(s) - int(rng.integers(0, 10))], rng.integers(-(2**62), 2**62, int(rng.integers(0, 20)))])))
+    roots = [int(rng.integers(0, 40)) for _ in sets]
+    near_by = lambda a, b: 9 * len(np.intersect1d(a, b)) >= 4 * (len(a) + len(b))
+
+    def groups(links):
+        group = dict(zip(range(60), (1000 + r for r in roots), strict=True))
+        for u, v in links:
+            old, new = group[u], group[v]
+            group = {x: new if g == old else g for x, g in group.items()}
+        return {frozenset(x for x in group if group[x] == g) for g in group.values()}
+
+    rows = [(k, 1000 + roots[k], sets[k]) for k in range(60)]
+    found = list(near.joining(rows, None))
+    assert all(near_by(sets[u], sets[v]) for u, v in found) and len(found) < 60
+    assert groups(found) == groups([(i, j) for i in range(60) for j in range(i) if near_by(sets[i], sets[j])])
+    across = list(near.joining(rows[:25], rows[25:]))
+    assert groups(across) == groups([(i, j) for i in range(25) for j in range(25, 60) if near_by(sets[i], sets[j])])
+
+
+def test_unlike_copies_do_not_become_pairs(spark, monkeypatch):
+    """Texts that all share most of their words, but not enough: what is written stays in proportion to them."""
+    words = cases.prose(700, 90).split()
+    rng = np.random.default_rng(7)
+    texts = []
+    for k in range(150):
+        copy = list(words)
+        for at in rng.choice(len(words), 7, replace=False):
+            copy[at] = f"own{k}x{at}"
+        texts.append(" ".join(copy))
+    made, whole = [], near._verified
+    monkeypatch.setattr(near, "_verified", lambda pairs, sets: (made.append(pairs.count()), whole(pairs, sets))[1])
+    rows = list(enumerate(texts))
+    got = near.keep_one(cases.docs(spark, [(i, t, "en", "a") for i, t in rows]))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, _ in cases.near_survivors(rows))
+    assert sum(made) < 40 * len(texts) < 150 * 149 // 2

@@ -12,8 +12,13 @@ and changes no result.
 
 A bucket is not compared pair by pair: in each round one set of it is compared with those that
 no chain of links joins to it yet, and leaves; a bucket whose sets are all joined is done. So a
-dense group of copies costs about its size. After ROUNDS the pairs that are still apart are
-compared all at once.
+dense group of copies costs about its size. After ROUNDS the sets that are still apart are
+compared where they are: pairs of a bucket of up to SMALL sets are rows, which are at most SMALL / 2 times
+as many as the sets' rows; a larger bucket becomes a grid of blocks of bounded size, and a task
+compares two blocks with matrix products of hashed bits, which bound how many shingles two
+sets share. Only pairs that may be similar are compared whole, and of those only links between what isn't joined yet come out,
+fewer than the sets. So many unlike sets that share much (copies that all differ in a fifth, say)
+take the time of all pairs of them, which the similarity asks for, but not the rows.
 
 Shingles are told by 64-bit XXH64, sets by 64-bit XXH64 of their shingles. Words are those of
 operator 6; a text of fewer than five is one shingle, and texts without words, null ones too,
@@ -38,6 +43,8 @@ WORDS = 5
 BITS_APART = 3
 #: Rounds of one set against its bucket.
 ROUNDS = 2
+#: Sets of a bucket whose pairs are rows; sets and shingles of a block of a larger one, bits and rows of a matrix.
+SMALL, BLOCK, BLOCK_SHINGLES, MOST_BITS, TILE = 32, 1024, 1 << 20, 1 << 15, 256
 #: Of so many sets one is looked at for frequent shingles; of those at most so many are told apart.
 SAMPLE, FREQUENT = 16, 100_000
 
@@ -123,6 +130,78 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.distinct().join(a, "u").join(b, "v").filter(9 * shared >= 4 * (F.size("a") + F.size("b"))).select("u", "v")
 
 
+def _indicators(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of 0 and 1 for each set: which of `bits` places its shingles hash to."""
+    out = np.zeros((len(sets), bits), np.float32)
+    if sets:
+        place = (np.concatenate(sets).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+        out[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), place] = 1
+    return out
+
+
+def joining(a: list[tuple[int, int, np.ndarray]], b: list[tuple[int, int, np.ndarray]] | None) -> Iterator[tuple[int, int]]:
+    """Links (of nodes) between sets (node, root, shingles) of two blocks, or within one, that join all that links between them join, and nothing that a root joins already."""
+    nodes = {node: root for node, root, _ in [*a, *(b or [])]}
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            above[x] = above.get(above[x], above[x])
+            x = above[x]
+        return x
+
+    most = max(len(s) for *_, s in [*a, *(b or [])])
+    bits = 1 << min(max(8 * most - 1, 1).bit_length(), MOST_BITS.bit_length() - 1)
+    others = a if b is None else b
+    sizes = [np.array([len(s) for *_, s in part], np.float32) for part in (a, others)]
+    for i in range(0, len(a), TILE):
+        left = _indicators([s for *_, s in a[i : i + TILE]], bits)
+        for j in range(i if b is None else 0, len(others), TILE):
+            right = _indicators([s for *_, s in others[j : j + TILE]], bits)
+            n, m = sizes[0][i : i + TILE, None], sizes[1][j : j + TILE]
+            same = left @ right.T
+            # a place of one set that the other hasn't is a shingle at least that it hasn't
+            shared = np.minimum(n - left.sum(axis=1)[:, None], m - right.sum(axis=1)) + same
+            x, y = np.nonzero(9 * shared >= 4 * (n + m))
+            for p, q in sorted(zip((x + i).tolist(), (y + j).tolist(), strict=True)):
+                (u, root, s), (v, other, t) = a[p], others[q]
+                if (b is None and q <= p) or top(root) == top(other):
+                    continue
+                if 9 * len(np.intersect1d(s, t, assume_unique=True)) >= 4 * (len(s) + len(t)):
+                    above[top(nodes[u])] = top(nodes[v])
+                    yield u, v
+
+
+def _in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v: verified links that join what is similar in each bucket of `rows` (key, node, root, n), block by block."""
+    blocks = rows.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = rows.select("key", "node", "root").join(blocks, "key").withColumn("mine", F.pmod(F.xxhash64("node", F.lit(6)), F.col("blocks")).cast("int"))
+    pair = lambda k: F.struct(F.least("mine", k).alias("i"), F.greatest("mine", k).alias("j"), (k < F.col("mine")).cast("int").alias("side"))
+    cells = placed.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair))).select("key", "cell.*", "node", "root")
+    ready = cells.join(sets, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node").select("key", "i", "j", "side", "node", "root", "shingles")
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def links(within: bool, held: list[tuple]) -> pa.RecordBatch:
+        sides = [[x[1:] for x in held if x[0] == k] for k in (0, 1)]
+        found = list(joining(sides[0], None if within else sides[1])) if sides[0] and (within or sides[1]) else []
+        return pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], schema=schema)
+
+    @common.lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for key, i, j, side, node, root, s in zip(*[c.to_pylist() if k < 6 else c for k, c in enumerate(batch.columns)], strict=True):
+                if (key, i, j) != now:
+                    if held:
+                        yield links(now[1] == now[2], held)
+                    now, held = (key, i, j), []
+                held.append((side, node, root, s.values.to_numpy().copy()))
+        if held:
+            yield links(now[1] == now[2], held)
+
+    return ready.mapInArrow(run, "u long, v long")
+
+
 def _simhash_links(nodes: DataFrame) -> DataFrame:
     """u, v: nodes that operator 6 joins, by equal fingerprints or by few differing bits; not verified."""
     prints = common.staged(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "near-prints")
@@ -159,13 +238,16 @@ def components(rows: DataFrame, docs: DataFrame) -> DataFrame:
             common.drop(named, picked)
             break
         if k == ROUNDS:
-            open_ = named.join(picked.select("key"), "key", "left_semi")
-            other = open_.select("key", F.col("node").alias("__node"), F.col("n").alias("__n"), F.col("root").alias("__root"))
-            apart = open_.join(other, "key").filter("root < __root")
+            many = common.staged(named.join(picked.select("key"), "key", "left_semi").groupBy("key").agg(F.count("*").alias("size")), "near-sizes")
+            few = named.join(many.filter(F.col("size") <= SMALL).select("key"), "key", "left_semi")
+            other = few.select("key", F.col("node").alias("__node"), F.col("n").alias("__n"), F.col("root").alias("__root"))
+            apart = few.join(other, "key").filter("root < __root")
+            large = named.join(many.filter(F.col("size") > SMALL).select("key"), "key", "left_semi")
         else:
             apart = named.join(picked, "key").filter("root <> __root")
         pairs = apart.filter(_fits(F.col("n"), F.col("__n"))).select(F.least("node", "__node").alias("u"), F.greatest("node", "__node").alias("v"))
-        new = common.staged(_verified(pairs, sets), "near-links")
+        new = _verified(pairs, sets)
+        new = common.staged(new.unionByName(_in_blocks(large, sets)) if k == ROUNDS else new, "near-links")
         if not new.isEmpty():
             before, found = found, common.staged(found.unionByName(new), "near-links")
             common.drop(before, roots)
