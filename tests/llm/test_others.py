@@ -108,6 +108,39 @@ def test_tree_matching_against_brute_force(seed):
     assert all((id(above[id(x)]), id(above[id(y)])) in {(id(p), id(q)) for p, q in pairs} for x, y in pairs if id(x) in above)
 
 
+@pytest.mark.parametrize("cells,pairs", [(1 << 22, 1 << 18), (40, 1 << 18), (1 << 22, 2), (1, 1)])
+def test_bounded_matching_still_matches(monkeypatch, cells, pairs):
+    """Beyond the bounds fewer nodes may be matched; those that are keep tags, order and parents, each once."""
+    monkeypatch.setattr(html_text, "CELLS", cells)
+    monkeypatch.setattr(html_text, "PAIRS", pairs)
+    rng = np.random.default_rng(3)
+    lists = ["<div>" + "".join("<li>" + "<a>" * int(rng.integers(0, 3)) + "<b></b>" * int(rng.integers(0, 3)) for _ in range(60)) + "</div>" for _ in range(2)]
+    a, b = map(html_text.parse, lists)
+    got = html_text.align(a, b)
+    assert all(x.tag == y.tag for x, y in got) and len({id(x) for x, _ in got}) == len({id(y) for _, y in got}) == len(got) > 50
+    place = {id(n): k for t in (a, b) for k, n in enumerate((t, *html_text.below(t)))}
+    order = sorted((place[id(x)], place[id(y)]) for x, y in got)
+    assert [y for _, y in order] == sorted(y for _, y in order)
+    above = {id(k): n for t in (a, b) for n in (t, *html_text.below(t)) for k in n.kids}
+    held = {(id(x), id(y)) for x, y in got}
+    assert all((id(above[id(x)]), id(above[id(y)])) in held for x, y in got if id(x) in above)
+
+
+def test_wide_pages_take_little():
+    """Lists of 20,000 links, alike and unlike."""
+    import time
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    alike = html_text.parse("<ul>" + "<li><a>x</a>" * 20_000 + "</ul>")
+    unlike = [html_text.parse("<ul>" + "".join("<li>" + "<a>" * int(rng.integers(0, 4)) + "<b></b>" * int(rng.integers(0, 4)) for _ in range(20_000)) + "</ul>") for _ in range(2)]
+    tracemalloc.start()
+    began = time.perf_counter()
+    assert len(html_text.align(alike, alike)) == 40_002 and len(html_text.align(*unlike)) > 20_000 and len(html_text.align(alike, unlike[0])) > 20_000
+    assert time.perf_counter() - began < 60 and tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 1_000_000 + "deep" + "</div>" * 10 + "</span>" * 1000
     root = html_text.parse(deep)
@@ -211,4 +244,4 @@ def test_entry_names_all_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in names if k.startswith("op")} and "pipeline" in names and set(entry.oracle_sql()) <= set(names)
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in names if k.startswith("op")} and "pipeline" in names and set(entry.oracle_sql()) <= set(names)

@@ -19,18 +19,20 @@ joined on host and layout otherwise.
 A null or empty page has an empty text, and so has one without any content. A null url has an
 empty host. Repeated rows each return. Empty tables give empty results; extra columns are
 ignored. Unclosed elements end with their parent, a cut page ends where it ends. Pages of any
-length and depth are worked through whole, without recursion; aligning takes time in proportion
-to the children of a node times those of its match in the reference, the smallest page.
+length and depth are worked through whole, without recursion; what aligning takes is bounded, see
+align(), and layouts of too few pages for a template aren't aligned.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import html
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ REFERENCE_BYTES = 16_000_000
 OUTLINE_DEPTH = 3
 #: Different articles that a layout must have, and the most different texts of a template slot for each of them.
 LEAST_ARTICLES, MOST_TEXTS = 3, 0.5
+#: Numbers that the weighing of two lists of children takes at most; pairs of shapes that are weighed for two pages.
+CELLS, PAIRS = 1 << 22, 1 << 18
 #: Inside an article only blocks of so many words can be template.
 SHORT_WORDS = 8
 
@@ -151,51 +155,117 @@ def own_text(node: Node) -> str:
     return node.text
 
 
-def _matched(xs: list[Node], ys: list[Node], weight: dict[tuple[int, int], int]) -> tuple[int, list[tuple[Node, Node]]]:
-    """The heaviest pairs of children of equal tags that keep order."""
-    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i, x in enumerate(xs):
-        row, above = best[i + 1], best[i]
-        for j, y in enumerate(ys):
-            w = above[j] + weight.get((id(x), id(y)), 1) if x.tag == y.tag else 0
-            row[j + 1] = max(w, above[j + 1], row[j])
+class _Shapes:
+    """Trees of tags, numbered: nodes of one shape have the same tags below them in the same order."""
+
+    def __init__(self):
+        self.number: dict[tuple[str, tuple[int, ...]], int] = {}
+        self.tag: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+
+    def of(self, root: Node) -> dict[int, int]:
+        """The shape of each node, by id."""
+        out: dict[int, int] = {}
+        for node in reversed([root, *below(root)]):
+            key = (node.tag, tuple(out[id(k)] for k in node.kids))
+            n = self.number.setdefault(key, len(self.tag))
+            if n == len(self.tag):
+                self.tag.append(key[0])
+                self.kids.append(key[1])
+                self.size.append(1 + sum(self.size[k] for k in key[1]))
+            out[id(node)] = n
+        return out
+
+
+def _in_order(xs: list[str], ys: list[str]) -> list[tuple[int, int]]:
+    """Pairs of equal tags that keep order: each of xs with the next of ys that is left."""
+    places: dict[str, list[int]] = {}
+    for j, tag in enumerate(ys):
+        places.setdefault(tag, []).append(j)
+    out, last = [], -1
+    for i, tag in enumerate(xs):
+        mine = places.get(tag, [])
+        k = bisect.bisect_right(mine, last)
+        if k < len(mine):
+            last = mine[k]
+            out.append((i, last))
+    return out
+
+
+def _heaviest(xs: list[int], ys: list[int], weight: Callable[[int, int], int]) -> list[tuple[int, int]]:
+    """The heaviest pairs of shapes that keep order."""
+    (ux, ix), (uy, iy) = (np.unique(np.array(z, np.int64), return_inverse=True) for z in (xs, ys))
+    each = np.array([[weight(int(x), int(y)) for y in uy] for x in ux], np.int32)[:, iy]
+    best = np.zeros((len(xs) + 1, len(ys) + 1), np.int32)
+    for i, k in enumerate(ix.tolist()):
+        np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + each[k]), out=best[i + 1, 1:])
     pairs, i, j = [], len(xs), len(ys)
     while i and j:
-        if best[i][j] == best[i - 1][j]:
+        if best[i, j] == best[i - 1, j]:
             i -= 1
-        elif best[i][j] == best[i][j - 1]:
+        elif best[i, j] == best[i, j - 1]:
             j -= 1
         else:
             i, j = i - 1, j - 1
-            pairs.append((xs[i], ys[j]))
-    return best[len(xs)][len(ys)], pairs[::-1]
+            pairs.append((i, j))
+    return pairs[::-1]
 
 
 def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Simple tree matching: pairs of nodes of equal tags, in order, under matched parents; as many as can be."""
+    """Simple tree matching: pairs of nodes of equal tags, in order, under matched parents; as many as can be.
+
+    What pairs of nodes weigh follows from their shapes, so it is found once for each pair of shapes. Children of
+    like shapes at both ends of two lists go together, which no other matching betters; only what lies between is
+    weighed. That takes CELLS numbers for two lists, and PAIRS pairs of shapes for two pages at most; children
+    beyond go together in order of their tags, and what is below such a pair isn't matched unless its shape is the same.
+    """
     if a.tag != b.tag:
         return []
-    weight: dict[tuple[int, int], int] = {}  # of pairs that both have children
-    below_of: dict[tuple[int, int], list[tuple[Node, Node]]] = {}
-    todo = [(a, b)]
+    shapes = _Shapes()
+    of = shapes.of(a)
+    of |= shapes.of(b)
+    tag, kids = shapes.tag, shapes.kids
+    below_of: dict[tuple[int, int], list[tuple[int, int]]] = {}  # of unlike shapes that both have children: pairs of places
+    total: dict[tuple[int, int], int] = {}
+
+    def weight(x: int, y: int) -> int:
+        return 0 if tag[x] != tag[y] else shapes.size[x] if x == y else total.get((x, y), 1)
+
+    asked, todo = 0, [(of[id(a)], of[id(b)])]
     while todo:
         x, y = todo[-1]
-        key = (id(x), id(y))
-        if key in weight:
+        if x == y or (x, y) in total:
             todo.pop()
             continue
-        first = [(c, d) for c in x.kids if c.kids for d in y.kids if d.tag == c.tag and d.kids and (id(c), id(d)) not in weight]
+        xs, ys = kids[x], kids[y]
+        most = min(len(xs), len(ys))
+        head = next((k for k in range(most) if xs[k] != ys[k]), most)
+        tail = next((k for k in range(most - head) if xs[-1 - k] != ys[-1 - k]), most - head)
+        mid_x, mid_y = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
+        few_x, few_y = dict.fromkeys(mid_x), dict.fromkeys(mid_y)
+        weighed = len(mid_x) * len(mid_y) <= CELLS and len(few_x) * len(few_y) <= PAIRS
+        first = [(c, d) for c in few_x if kids[c] for d in few_y if c != d and tag[c] == tag[d] and kids[d] and (c, d) not in total] if weighed and asked < PAIRS else []
         if first:
+            asked += len(first)
             todo += first
             continue
         todo.pop()
-        most, below_of[key] = _matched(x.kids, y.kids, weight)
-        weight[key] = most + 1
-    out, todo = [], [(a, b)]
-    while todo:
-        x, y = todo.pop()
+        if not mid_x or not mid_y:
+            pairs = []
+        elif weighed:
+            pairs = _heaviest(mid_x, mid_y, weight)
+        else:
+            pairs = _in_order([tag[k] for k in mid_x], [tag[k] for k in mid_y])
+        found = [*((k, k) for k in range(head)), *((head + i, head + j) for i, j in pairs), *((len(xs) - k, len(ys) - k) for k in range(tail, 0, -1))]
+        below_of[x, y] = found
+        total[x, y] = 1 + sum(weight(xs[i], ys[j]) for i, j in found)
+    out, nodes = [], [(a, b)]
+    while nodes:
+        x, y = nodes.pop()
         out.append((x, y))
-        todo += below_of.get((id(x), id(y)), [])
+        sx, sy = of[id(x)], of[id(y)]
+        nodes += zip(x.kids, y.kids, strict=True) if sx == sy else [(x.kids[i], y.kids[j]) for i, j in below_of.get((sx, sy), [])]
     return out
 
 
@@ -352,22 +422,24 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _references(keyed: DataFrame) -> DataFrame:
-    """host, layout, reference: the smallest page of each layout, one of 200 characters or more if there is. A task sends its smallest."""
-    schema = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("trivial", pa.bool_()), ("size", pa.int64()), ("html", pa.string())])
+    """host, layout, pages, reference: the smallest page of each layout, one of 200 characters or more if there is. A task sends its smallest, and how many it saw."""
+    schema = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("trivial", pa.bool_()), ("size", pa.int64()), ("html", pa.string()), ("pages", pa.int64())])
 
     @common.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple[str, int], tuple[bool, int, str]] = {}
+        pages: Counter[tuple[str, int]] = Counter()
         for batch in batches:
             for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
                 key, mine = (host, outline(parse(page))), (len(page) < 200, len(page), page)
+                pages[key] += 1
                 if key not in least or mine < least[key]:
                     least[key] = mine
         for key, mine in least.items():
-            yield _batch(schema, [(*key, *mine)])
+            yield _batch(schema, [(*key, *mine, pages[key])])
 
-    sent = keyed.select("host", "html").mapInArrow(run, "host string, layout long, trivial boolean, size long, html string")
-    return sent.groupBy("host", "layout").agg(F.min(F.struct("trivial", "size", "html")).alias("r")).select("host", "layout", F.col("r.html").alias("reference"))
+    sent = keyed.select("host", "html").mapInArrow(run, "host string, layout long, trivial boolean, size long, html string, pages long")
+    return sent.groupBy("host", "layout").agg(F.sum("pages").alias("pages"), F.min(F.struct("trivial", "size", "html")).alias("r")).select("host", "layout", "pages", F.col("r.html").alias("reference"))
 
 
 def _with_layout(keyed: DataFrame) -> DataFrame:
@@ -441,11 +513,12 @@ def _texts() -> Callable:
 
 
 def induced(pages: DataFrame) -> DataFrame:
-    """host, layout, reference, template, constant (slots) of every layout; written to shared storage."""
+    """host, layout, reference, template, constant (slots) of every layout with template; written to shared storage."""
     keyed = _keyed(pages)
     none = F.array().cast("array<int>")
     smallest = common.staged(_references(keyed), "references")
-    references = smallest.withColumn("template", none).withColumn("constant", none)
+    # fewer pages have too few articles for a template
+    references = smallest.filter(F.col("pages") >= LEAST_ARTICLES).withColumn("template", none).withColumn("constant", none)
     found = _over_pages(keyed, references, _slots, T.StructType.fromDDL("host string, layout long, slot int, text long, article long"))
     counted = found.groupBy("host", "layout", "slot").agg(F.countDistinct("text").alias("n"), F.countDistinct("article").alias("articles"))
     few = counted.filter((F.col("articles") >= LEAST_ARTICLES) & (F.col("n") <= F.greatest(F.lit(1), F.floor(F.col("articles") * MOST_TEXTS))))
