@@ -58,9 +58,10 @@ def funded(rows: DataFrame, parts: Sequence[str], budget: str, spend: str) -> Da
     return rows.withColumn("funding_total", total).withColumn("funding_gap", F.col(budget) - total).withColumn("execution_rate", columns.rate(spend, budget)).withColumn("additive", F.lit(False))
 
 
-def region_rollup(rows: DataFrame, keys: Sequence[str], gov: Column, sums: Sequence[str], counts: dict[str, Column]) -> DataFrame:
-    """n, governments, conditional counts and sums of each region, with its execution rate."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.countDistinct(gov).alias("governments"), *[F.count_if(c).alias(k) for k, c in counts.items()], *[F.sum(s).alias(s) for s in sums])
+def region_rollup(rows: DataFrame, keys: Sequence[str], gov: Column, sums: Sequence[str], counts: dict[str, Column], spend: str | None = None, budget: str | None = None) -> DataFrame:
+    """n, governments, conditional counts and sums of each region; with `spend` and `budget` (of the sums) its execution_rate, null without a budget."""
+    out = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.countDistinct(gov).alias("governments"), *[F.count_if(c).alias(k) for k, c in counts.items()], *[F.sum(s).alias(s) for s in sums])
+    return out.withColumn("execution_rate", columns.rate(spend, budget)) if spend and budget else out
 
 
 def candidate_summary(rows: DataFrame, gov: Column, kind: str, sums: Sequence[str]) -> DataFrame:

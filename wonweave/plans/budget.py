@@ -9,6 +9,7 @@ from wonweave.functions import columns
 from wonweave.functions.columns import cents
 from wonweave.operators import attach, channels, classify, dedupe, flow, hierarchy, quality, timeline
 from wonweave.plans.registry import query, table
+from wonweave.sources import sinks
 
 CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 LEVELS = ("r_name", "n_name", "c_mktsegment", "o_orderpriority")
@@ -60,7 +61,8 @@ def tree_top_children(spark, sf_dir):
 WITH t AS ({TREE}), h AS (SELECT path FROM t WHERE level > 0 AND lower(name) LIKE '%build%')
 SELECT level, path, amount FROM t WHERE EXISTS (SELECT 1 FROM h WHERE h.path = t.path OR t.path = '' OR starts_with(h.path, t.path || '/') OR starts_with(t.path, h.path || '/'))""")
 def tree_search(spark, sf_dir):
-    return _flat(hierarchy.search(tree(spark, sf_dir), "BUILD")).select("level", "path", "amount")
+    # the search reads the tree four times
+    return _flat(hierarchy.search(sinks.staged(tree(spark, sf_dir), "tree"), "BUILD")).select("level", "path", "amount")
 
 
 @query(f"WITH t AS ({TREE}) SELECT level, path, amount, n FROM t WHERE level <= 2")
@@ -200,6 +202,13 @@ def region_rollup(spark, sf_dir):
     return flow.region_rollup(placed(spark, sf_dir), ["r_name", "n_name"], F.col("o_orderkey"), ["amount"], {"returned": F.col("l_returnflag") == "R"})
 
 
+@query(f"""
+SELECT r_name, count(*) AS n, count(DISTINCT o_orderkey) AS governments, CAST(sum({CENTS}) AS BIGINT) AS amount, CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN {CENTS} END), 0) AS BIGINT) AS spent, round_even(CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN {CENTS} END), 0) AS DOUBLE) / sum({CENTS}), 6) AS execution_rate FROM {PLACED} GROUP BY 1""")
+def region_rates(spark, sf_dir):
+    rows = placed(spark, sf_dir).withColumn("spent", F.when(F.col("l_returnflag") == "R", F.col("amount")).otherwise(0))
+    return flow.region_rollup(rows, ["r_name"], F.col("o_orderkey"), ["amount", "spent"], {}, "spent", "amount")
+
+
 @query("""
 WITH k AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
 SELECT (SELECT count(*) FROM events) AS n, (SELECT count(DISTINCT user_id) FROM events) AS governments, (SELECT CAST(sum(round(value * 100)) AS BIGINT) FROM events) AS cents, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS kinds FROM k""")

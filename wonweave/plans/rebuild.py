@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wonweave.functions import columns, extract, scoring, steps, text
-from wonweave.operators import attach, channels, classify, dedupe, flow, graph, hierarchy, keywords, match, quality, sections
+from wonweave.operators import attach, channels, classify, dedupe, flow, graph, hierarchy, keywords, match, quality, sections, summaries
 from wonweave.operators import workflow as work
 from wonweave.sources import sinks
 
@@ -147,7 +147,7 @@ def run(lines: DataFrame, cards: DataFrame, candidates: DataFrame, procedures: D
     return {
         "details": detail, "channels": mix, "matches": matches, "top3": top3, "unresolved": unresolved(matches), "canonical": record, "tree": tree, "local": local, "nodes": nodes, "edges": edges, "actors": actors, "coverage": covered, "items": items, "subprojects": subs, "flow": flow_maps(detail, items, subs), "flow_totals": channels.totals(items, "code", "amount"),
         "plan": keywords.plan(keywords.select(keyed, detail, ["business_id"], "congress_amt", classify.is_local_transfer("mok_name", "semok_name")).join(detail.select("business_id", "detail_business_name"), "business_id"), "detail_business_name"),
-        "summary": summary(record, matches, local), "violations": checks(lines, record, mix, items, tree, matches, nodes, edges, local).unionByName(work.broken(nodes, edges, actors)),
+        "summary": summary(record, matches, local), "headlines": summaries.record_headlines(record, mix), "card_headlines": summaries.card_headlines(cards, matches), "violations": checks(lines, record, mix, items, tree, matches, nodes, edges, local).unionByName(work.broken(nodes, edges, actors)),
     }
 
 

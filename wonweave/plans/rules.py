@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wonweave.functions import columns, extract, steps, text
-from wonweave.operators import audits, classify, compare, flow, keywords, quality
+from wonweave.operators import audits, classify, compare, flow, keywords, quality, summaries
 from wonweave.plans import rebuild
 from wonweave.plans.registry import query, table
-from wonweave.sources import landed, sinks
+from wonweave.sources import caches, landed, sinks
 
 
 @query("""
@@ -89,13 +89,13 @@ def order_values(spark, sf_dir):
 
 
 @query("""
-SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN format('{:,.1f}억', c_custkey * 123000000 / 100000000.0) WHEN c_custkey % 3 = 1 THEN format('{:,.1f}백만', (c_custkey % 90 + 1) * 1000000 / 1000000.0) ELSE format('{:,}', c_custkey % 1000) END AS amount,
-  CASE WHEN c_custkey % 2 = 0 THEN '-' ELSE format('{:,.1f}%', c_nationkey / 8.0 * 100) END AS rate FROM customer WHERE c_custkey > 2""")
+SELECT c_custkey, CASE WHEN c_custkey = 0 THEN '0' WHEN c_custkey % 3 = 0 THEN format('{:,.1f}억', c_custkey * 123000000 / 100000000.0) WHEN c_custkey % 3 = 1 THEN format('{:,.1f}백만', (c_custkey % 90 + 1) * 1000000 / 1000000.0) ELSE format('{:,}', c_custkey % 1000) END AS amount,
+  CASE WHEN c_custkey % 2 = 0 THEN '-' ELSE format('{:,.1f}%', c_nationkey / 8.0 * 100) END AS rate FROM customer""")
 def shown_values(spark, sf_dir):
     """Amounts and rates as pages show them."""
     c = F.col("c_custkey")
     amount = F.when(c % 3 == 0, c * 123_000_000).when(c % 3 == 1, (c % 90 + 1) * 1_000_000).otherwise(c % 1000)
-    return table(spark, sf_dir, "customer").filter(c > 2).select("c_custkey", columns.korean_amount(amount).alias("amount"), columns.percent(F.when(c % 2 == 1, F.col("c_nationkey") / 8.0)).alias("rate"))
+    return table(spark, sf_dir, "customer").select("c_custkey", columns.korean_amount(amount).alias("amount"), columns.percent(F.when(c % 2 == 1, F.col("c_nationkey") / 8.0)).alias("rate"))
 
 
 @query("""
@@ -265,3 +265,72 @@ def candidate_audit(spark, sf_dir):
     found = audits.candidate_checks(rows, records, mix, rows.withColumnRenamed("central_key", "canonical_key"))
     number = F.split(F.element_at(F.split("key", r"\|"), -1), "-")[0].cast("long")
     return found.groupBy("check_id").agg(F.count("*").alias("n"), F.sum(number).alias("keys"))
+
+
+@query("""
+WITH k AS (SELECT p_name AS keyword, min(p_partkey) AS i FROM part GROUP BY 1), v AS (SELECT keyword, i, i % 5 <> 0 AND i % 7 <> 0 AND i % 11 <> 0 AS cached, i % 3 <> 0 AND i % 2 = 0 AS legacy FROM k),
+m AS (SELECT unnest(['normal', 'refresh', 'cache_only']) AS mode),
+p AS (SELECT mode, keyword, CASE WHEN mode = 'refresh' THEN 'network' WHEN cached THEN 'cache' WHEN legacy THEN 'legacy_cache' WHEN mode = 'normal' THEN 'network' ELSE 'missing' END AS source FROM v CROSS JOIN m)
+SELECT mode, source, p_brand, count(*) AS n, CAST(sum(p_partkey) AS BIGINT) AS keys FROM p JOIN part ON p_name = keyword GROUP BY ALL""")
+def cache_modes(spark, sf_dir):
+    """Parts' names as keywords: the cache has an entry of each, some of another version, day or incomplete; an earlier cache has others. Where the rows of each come from, in every mode."""
+    part = table(spark, sf_dir, "part")
+    k = part.groupBy(F.col("p_name").alias("keyword")).agg(F.min("p_partkey").alias("entry"))
+    i = F.col("entry")
+    now = k.select("entry", "keyword", F.when(i % 5 == 0, "0.9").otherwise("1.0").alias("schema_version"), F.lit("s").alias("service"), F.lit(2026).alias("year"), F.when(i % 7 == 0, "20260101").otherwise("20260201").alias("exe_ymd"), (i % 11 != 0).alias("complete"), F.lit(True).alias("has_rows"))
+    old = k.select("entry", "keyword", F.when(i % 3 == 0, "2025").otherwise("2026").alias("fyr"), F.lit("20260201").alias("exe_ymd"), F.when(i % 2 == 0, F.col("keyword")).otherwise("other").alias("dbiz_nm"), F.lit(True).alias("has_rows"))
+    valid, legacy = caches.valid_entries(now, "s", 2026, "20260201"), caches.legacy_entries(old, 2026, "20260201")
+    plans = [caches.planned(k, valid, legacy, mode).withColumn("mode", F.lit(mode)) for mode in ("normal", "refresh", "cache_only")]
+    return quality.union(plans).join(part, F.col("keyword") == F.col("p_name")).groupBy("mode", "source", "p_brand").agg(F.count("*").alias("n"), F.sum("p_partkey").alias("keys"))
+
+
+@query("""
+WITH d AS (SELECT o_orderkey AS k FROM orders), r AS (SELECT k, CASE WHEN k % 13 = 0 THEN 'new' ELSE array_to_string(list_filter([CASE WHEN k % 17 = 0 THEN 'failed' END, CASE WHEN k % 19 = 0 THEN 'version' END, CASE WHEN k % 23 = 0 THEN 'partial' END, CASE WHEN k % 29 = 0 THEN 'size' END, CASE WHEN k % 31 = 0 THEN 'time' END,
+  CASE WHEN k % 37 = 0 THEN 'no output' END, CASE WHEN k % 37 <> 0 AND k % 41 = 0 THEN 'output size' END, CASE WHEN k % 37 <> 0 AND k % 41 = 0 THEN 'output short' END, CASE WHEN k % 43 = 0 THEN 'pages' END], lambda x: x IS NOT NULL), ',') END AS reasons FROM d)
+SELECT CAST(k AS VARCHAR) AS path, reasons FROM r WHERE reasons <> ''""")
+def extraction_needed(spark, sf_dir):
+    """Orders as documents, with what was extracted of them; what is wrong with an extraction follows from the key."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("modified"))
+    k, path, out = F.col("k"), F.col("k").cast("string"), F.concat(F.lit("out"), F.col("k").cast("string"))
+    some = o.filter(k % 13 != 0)
+    manifest = some.select(
+        path.alias("path"), out.alias("out"), F.when(k % 17 == 0, 1).otherwise(0).alias("returncode"), F.lit("chunks").alias("form"), F.when(k % 19 == 0, "1").otherwise("2").alias("version"), F.when(k % 23 == 0, "1-3").alias("pages"), (k + F.when(k % 29 == 0, 1).otherwise(0)).alias("input_bytes"),
+        F.when(k % 31 == 0, F.col("modified") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("modified")).alias("input_modified"), F.lit(100).alias("out_bytes"), F.lit(9).alias("n_pages"),
+    )
+    outputs = some.filter(k % 37 != 0).select(out.alias("path"), F.when(k % 41 == 0, 19).otherwise(100).alias("length"))
+    pages = some.select(out.alias("out"), F.lit(1).alias("first_page"), F.when(k % 43 == 0, 8).otherwise(9).alias("last_page"))
+    found = caches.to_extract(o.select(path.alias("path"), k.alias("length"), "modified"), outputs, manifest, pages, "2")
+    return found.select("path", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""
+SELECT n_name, o_orderstatus, concat_ws(',', CASE WHEN grouping(n_name) = 0 THEN 'n_name' END, CASE WHEN grouping(o_orderstatus) = 0 THEN 'o_orderstatus' END) AS by, count(*) AS orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, count(DISTINCT o_custkey) AS customers, count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY GROUPING SETS ((), (n_name), (o_orderstatus), (n_name, o_orderstatus))""")
+def headline_counts(spark, sf_dir):
+    x = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    figures = {"orders": F.count("*"), "cents": F.sum(columns.cents("o_totalprice")), "customers": F.countDistinct("o_custkey"), "urgent": F.count_if(F.col("o_orderpriority") == "1-URGENT")}
+    return summaries.headlines(x, ["n_name", "o_orderstatus"], [[], ["n_name"], ["o_orderstatus"], ["n_name", "o_orderstatus"]], figures)
+
+
+@query("""
+WITH x AS (SELECT l_suppkey, l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS a, l_returnflag AS region, 'gov ' || l_orderkey % 20 AS gov, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS code, CASE l_linestatus WHEN 'F' THEN 'strong' ELSE CASE WHEN l_linenumber % 2 = 0 THEN 'broad' ELSE 'verify' END END AS tier FROM lineitem)
+SELECT l_suppkey, code, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY a DESC, region, gov, code) AS INTEGER) AS candidate_place, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY CASE tier WHEN 'strong' THEN 1 WHEN 'broad' THEN 2 ELSE 3 END, a DESC, region, gov, code) AS INTEGER) AS timeline_place FROM x""")
+def report_orders(spark, sf_dir):
+    """Places of each supplier's lines as local candidates, and as rows of a snapshot."""
+    li = table(spark, sf_dir, "lineitem")
+    tier = F.when(F.col("l_linestatus") == "F", "strong").when(F.col("l_linenumber") % 2 == 0, "broad").otherwise("verify")
+    code = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    x = li.select("l_suppkey", columns.cents("l_extendedprice").alias("national_amt"), F.col("l_returnflag").alias("region_name"), F.concat(F.lit("gov "), (F.col("l_orderkey") % 20).cast("string")).alias("local_gov_name"), code.alias("detail_business_code"), F.lit("n").alias("detail_business_name"), tier.alias("tier"))
+    first = summaries.in_order(x, summaries.candidate_order(), ["l_suppkey"]).withColumnRenamed("place", "candidate_place")
+    return summaries.in_order(first, summaries.timeline_order(), ["l_suppkey"]).select("l_suppkey", F.col("detail_business_code").alias("code"), "candidate_place", F.col("place").alias("timeline_place"))
+
+
+@query("""
+WITH x AS (SELECT s_suppkey, n_name AS office, s_name, s_suppkey % 9 = 4 AS reference FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT s_suppkey, CAST(row_number() OVER (ORDER BY CASE WHEN reference THEN 0 ELSE 1 END, office, s_name, CAST(s_suppkey AS VARCHAR)) AS BIGINT) AS map_place, CAST(row_number() OVER (ORDER BY office, s_name) AS BIGINT) AS key_place FROM x""")
+def map_orders(spark, sf_dir):
+    """Suppliers as flow maps, the reference ones first; and by their keys."""
+    s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    x = s.select("s_suppkey", F.col("n_name").alias("office_name"), F.col("s_name").alias("title"), F.col("s_suppkey").cast("string").alias("business_id"), F.array("n_name", "s_name").alias("canonical_key"))
+    maps = summaries.in_order(x, summaries.map_order(F.col("s_suppkey") % 9 == 4)).select("s_suppkey", F.col("place").alias("map_place"))
+    return maps.join(summaries.in_order(x, summaries.key_order()).select("s_suppkey", F.col("place").alias("key_place")), "s_suppkey")

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wonweave.functions.columns import col
@@ -37,7 +37,7 @@ class Incomplete(Exception):
     pass
 
 
-POINTER = "CURRENT"
+POINTER, COUNTS = "CURRENT", "_counts"
 
 
 def publish(tables: Mapping[str, DataFrame], issues: DataFrame, path: str, order: Mapping[str, list[str]] | None = None) -> str:
@@ -45,15 +45,18 @@ def publish(tables: Mapping[str, DataFrame], issues: DataFrame, path: str, order
 
     A small file names the version that counts. It is put in place by one rename over the old one,
     so readers see the old version or the new one, whenever the writer stops. Versions before the
-    last are removed.
+    last are removed. Rows are counted as they are written, see counts().
     """
     found = issues.limit(5).collect()
     if found:
         raise Incomplete(str(found))
     spark, top, version = issues.sparkSession, path.rstrip("/"), f"v-{uuid.uuid4().hex}"
+    written_rows = []
     for name, df in tables.items():
-        keys = (order or {}).get(name)
-        (df.orderBy(*keys) if keys else df).write.parquet(f"{top}/{version}/{name}")
+        keys, seen = (order or {}).get(name), Observation()
+        (df.orderBy(*keys) if keys else df).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{top}/{version}/{name}")
+        written_rows.append((name, seen.get["rows"]))
+    spark.createDataFrame(written_rows, "name string, rows long").coalesce(1).write.parquet(f"{top}/{version}/{COUNTS}")
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     place = jvm.org.apache.hadoop.fs.Path
     files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place(top).getFileSystem(conf).getUri(), conf)
@@ -87,6 +90,11 @@ def published(spark: SparkSession, path: str) -> str | None:
         read.close()
 
 
+def counts(spark: SparkSession, path: str) -> DataFrame:
+    """name, rows of the tables of the version that counts, as they were written."""
+    return spark.read.schema("name string, rows long").parquet(f"{published(spark, path)}/{COUNTS}")
+
+
 def json_lines(df: DataFrame, order: list[str]) -> DataFrame:
     """One JSON object a row, fields in order of their names, rows in order; NaN and infinity are null."""
     plain = [F.when(F.isnan(c) | (F.abs(F.col(c)) == float("inf")), None).otherwise(F.col(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in sorted(df.dtypes)]
