@@ -14,5 +14,5 @@ def test_linkers_do_not_shield_each_other(spark):
     ]
     got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [got[i].verdict for i in range(30)] == ["block"] * 2 + ["allow"] + ["block"] * 27
-    assert got[2].good_share == pytest.approx(0.85) == got[2].bad_share and got[3].bad_share == pytest.approx(0.85) and got[101].bad_share == pytest.approx(0.85**2)
+    assert got[2].trust == pytest.approx(0.85) == got[2].distrust and got[3].distrust == pytest.approx(0.85) and got[101].distrust == pytest.approx(0.85**2)
     assert [got[i].verdict for i in (100, 101, 102, 103, 104, 105)] == ["allow", "block", "allow", "allow", "block", "allow"]

@@ -87,4 +87,4 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_huffman, op2_chat_format, op3_winnowing, op4_substrings, op5_html_text, op6_simhash, op7_language, op8_byte_bpe, op9_quality_rules, op10_url_trust, op11_merkle_manifest, op12_hard_negatives, op13_quality_classifier)
 }
-SQL: dict[str, str] = {"op2_chat_format": chat_format.SQL, "op3_winnowing": decontaminate.SQL, "op4_substrings": substrings.SQL, "op11_merkle_manifest": merkle.SQL, "op12_hard_negatives": negatives.SQL}
+SQL: dict[str, str] = {"op2_chat_format": chat_format.SQL, "op3_winnowing": decontaminate.SQL, "op4_substrings": substrings.SQL, "op10_url_trust": url_filter.SQL, "op11_merkle_manifest": merkle.SQL, "op12_hard_negatives": negatives.SQL}
