@@ -68,7 +68,12 @@ def readable(c: Column | str) -> Column:
 
 def heading_text(c: Column | str) -> Column:
     """Character references decoded, NFC, white space collapsed, tildes as hyphens."""
-    return collapse(F.replace(F.translate(F.replace(nfc(unescape_html(_filled(c))), F.lit("\\~"), F.lit("-")), "～〜", "--"), F.lit("~"), F.lit("-")))
+    return collapse(heading_lines(c))
+
+
+def heading_lines(c: Column | str) -> Column:
+    """As heading_text(), with lines and white space as they are."""
+    return F.replace(F.translate(F.replace(nfc(unescape_html(_filled(c))), F.lit("\\~"), F.lit("-")), "～〜", "--"), F.lit("~"), F.lit("-"))
 
 
 def tokens(c: Column | str, normalized: bool = True) -> Column:

@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from wonweave.plans import budget, graphs, linkage, rules, structure  # noqa: E402, F401
+from wonweave.plans import budget, graphs, linkage, rules, structure, values  # noqa: E402, F401
