@@ -33,6 +33,10 @@ NO_STEP = (
 #: What marks a table of steps, and a row of its headers.
 STEP_TABLE = r"추진\s*계획|세부\s*일정|추진\s*절차|절차\s*내용|시행\s*주체"
 HEADER_ROW = r"추진\s*계획|절차\s*내용|세부\s*일정"
+#: Tables, rows and cells of markup, what parts steps in a cell, and lines of bars.
+TABLE, ROW, TABLE_CELL = "(?is)<table[^>]*>(.*?)</table>", "(?is)<tr[^>]*>(.*?)</tr>", "(?is)<t[dh][^>]*>(.*?)</t[dh]>"
+PARTED = r"\n|\s*[•❍]\s*|\s+-\s+(?=[가-힣A-Za-z])"
+BAR_LINES, BAR_RULE = r"(?m)(?:^[^\n]*\|[^\n]*(?:\n|\z))+", r"^[| :\-]*$"
 #: Bounds of a phrase, of a cell, of a section, of the cells that a row gives and of the steps that a section gives.
 SHORTEST, LONGEST, CELL, SECTION, CELLS, MOST = 2, 220, 900, 4200, 2, 24
 
@@ -98,17 +102,17 @@ def _no_header(cells: Column) -> Column:
 
 def _html_phrases(raw: Column) -> Column:
     """Of the rows of marked tables, but for headers: what the first cells with an action list."""
-    tables = F.filter(F.regexp_extract_all(raw, F.lit("(?is)<table[^>]*>(.*?)</table>"), F.lit(1)), lambda t: F.array_join(lines(t), "\n").rlike(f"(?U){STEP_TABLE}"))
-    rows = _each(tables, lambda t: F.regexp_extract_all(t, F.lit("(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)))
-    cells = F.transform(rows, lambda r: F.filter(F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), lambda x: _excerpt(x, CELL)), lambda x: x != ""))
+    tables = F.filter(F.regexp_extract_all(raw, F.lit(TABLE), F.lit(1)), lambda t: F.array_join(lines(t), "\n").rlike(f"(?U){STEP_TABLE}"))
+    rows = _each(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW), F.lit(1)))
+    cells = F.transform(rows, lambda r: F.filter(F.transform(F.regexp_extract_all(r, F.lit(TABLE_CELL), F.lit(1)), lambda x: _excerpt(x, CELL)), lambda x: x != ""))
     told = _each(F.filter(cells, _no_header), lambda x: F.slice(F.filter(x, lambda y: y.rlike(ACTION)), 1, CELLS))
-    return _each(told, lambda x: _split(x, r"\n|\s*[•❍]\s*|\s+-\s+(?=[가-힣A-Za-z])"))
+    return _each(told, lambda x: _split(x, PARTED))
 
 
 def _bar_phrases(raw: Column) -> Column:
     """Of the rows of marked tables of bars, but for headers: every cell with an action."""
-    groups = F.filter(F.regexp_extract_all(raw, F.lit(r"(?m)(?:^[^\n]*\|[^\n]*(?:\n|\z))+"), F.lit(0)), lambda g: F.replace(g, F.lit("\n"), F.lit(" ")).rlike(f"(?U){STEP_TABLE}"))
-    rows = F.filter(_each(groups, lambda g: _split(g, "\n")), lambda s: ~F.trim(s).rlike(r"^[| :\-]*$"))
+    groups = F.filter(F.regexp_extract_all(raw, F.lit(BAR_LINES), F.lit(0)), lambda g: F.replace(g, F.lit("\n"), F.lit(" ")).rlike(f"(?U){STEP_TABLE}"))
+    rows = F.filter(_each(groups, lambda g: _split(g, "\n")), lambda s: ~F.trim(s).rlike(BAR_RULE))
     cells = F.transform(rows, lambda s: F.transform(F.split(_ends(F.trim(s), "|"), r"\|"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))))
     return F.filter(F.flatten(F.filter(cells, _no_header)), lambda x: x.rlike(ACTION))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,17 +51,25 @@ def channel(mok: Column | str, semok: Column | str) -> Column:
     return first_rule([*rules, (mok.isin(*CHANNELS[6][2]), "capital")], "direct")
 
 
+#: Channels of the flow map in order; an item is of the first that has a word of each of its groups in both names together.
+FLOW_WORDS = (
+    ("local_subsidy", ("자치단체",), ("보조", "이전")),
+    ("private_delegation", ("민간위탁",)),
+    ("private_subsidy", ("민간",), ("보조",)),
+    ("contribution", ("출연",)),
+    ("loan", ("융자", "대여")),
+    ("equity", ("출자",)),
+    ("procurement", ("용역", "연구비", "연구개발")),
+    ("personnel", ("인건비", "보수", "직급보조")),
+    ("construction", ("시설비", "건설", "자산취득", "토지매입")),
+    ("internal", ("운영비", "수용비", "여비", "임차료", "업무추진비", "사업추진비", "공공요금", "포상금")),
+)
+
+
 def flow_channel(mok: Column | str, semok: Column | str) -> Column:
     """The flow map's channel of an item, from both names without spaces."""
     x = F.replace(F.concat_ws(" ", col(mok), col(semok)), F.lit(" "), F.lit(""))
-    has = lambda *words: any_of(x, words)
-    return first_rule(
-        [
-            (has("자치단체") & has("보조", "이전"), "local_subsidy"), (has("민간위탁"), "private_delegation"), (has("민간") & has("보조"), "private_subsidy"), (has("출연"), "contribution"), (has("융자", "대여"), "loan"), (has("출자"), "equity"),
-            (has("용역", "연구비", "연구개발"), "procurement"), (has("인건비", "보수", "직급보조"), "personnel"), (has("시설비", "건설", "자산취득", "토지매입"), "construction"), (has("운영비", "수용비", "여비", "임차료", "업무추진비", "사업추진비", "공공요금", "포상금"), "internal"),
-        ],
-        "other",
-    )
+    return first_rule([(reduce(Column.__and__, [any_of(x, words) for words in groups]), code) for code, *groups in FLOW_WORDS], "other")
 
 
 def flow_order(code: Column | str) -> Column:
