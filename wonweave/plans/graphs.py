@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wonweave.functions import columns
-from wonweave.operators import workflow
+from wonweave.operators import flow_map, workflow
 from wonweave.plans.registry import query, table
 
 #: section, whether a supplier has it, its text.
@@ -87,3 +87,60 @@ def workflow_graph_actors(spark, sf_dir):
 def workflow_coverage(spark, sf_dir):
     f = facts(spark, sf_dir)
     return workflow.coverage(f["business"], workflow.nodes(f), f["cards"])
+
+
+def flow_facts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Suppliers as businesses: lines by flag and status are items, lines of two part sizes subprojects, lines of a quantity of 50 local rows of the customer's nation."""
+    li = table(spark, sf_dir, "lineitem").withColumn("amount", columns.cents("l_extendedprice")).withColumn("business_id", F.col("l_suppkey").cast("string"))
+    s = table(spark, sf_dir, "supplier").withColumn("business_id", F.col("s_suppkey").cast("string"))
+    held = li.filter("l_suppkey % 5 <> 0")
+    total = li.groupBy("business_id").agg(F.sum("amount").alias("total"))
+    business = s.join(total, "business_id", "left").select("business_id", F.col("s_name").alias("title"), F.lit("일반회계").alias("account"), F.coalesce("total", F.lit(0)).alias("total"))
+    item = F.concat("l_returnflag", "l_linestatus")
+    code = F.when(F.col("l_returnflag") == "R", "local_subsidy").when(F.col("l_returnflag") == "A", "procurement").otherwise("internal")
+    items = held.groupBy("business_id", item.alias("item_id"), code.alias("code")).agg(F.sum("amount").alias("amount")).withColumn("title", F.col("item_id"))
+    subs = li.filter("l_suppkey % 3 = 0").groupBy("business_id", (F.col("l_linenumber") % 2).alias("id")).agg(F.sum("amount").alias("amount")).withColumn("label", F.concat(F.lit("내역 "), F.col("id").cast("string")))
+    cross = li.filter("l_suppkey % 2 = 0").groupBy("business_id", (F.col("l_linenumber") % 3).alias("subproject_id"), code.alias("code")).agg(F.sum("amount").alias("amount"))
+    places = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "n_name")
+    local = li.filter("l_quantity = 50").join(places, F.col("l_orderkey") == F.col("o_orderkey")).select("business_id", F.col("n_name").alias("region_name"), F.col("amount").alias("national_amt"), (F.col("amount") * 2).alias("budget_cash_amt"), F.when(F.col("l_linenumber") == 1, 1).when(F.col("l_linenumber") == 2, 7).alias("subproject_id"))
+    k = F.col("s_suppkey")
+    return {
+        "business": business, "subprojects": subs, "basis": s.filter("s_suppkey % 4 = 1").select("business_id", F.lit("근거").alias("text")), "items": items, "noted": s.filter("s_suppkey % 2 = 1").select("business_id", F.lit("procurement").alias("code")),
+        "local": local, "people": s.select("business_id", F.when(k % 3 == 1, F.concat(F.lit("주민 "), k.cast("string"))).alias("beneficiary")), "cross": cross,
+    }
+
+
+_CODE = "CASE l_returnflag WHEN 'R' THEN 'local_subsidy' WHEN 'A' THEN 'procurement' ELSE 'internal' END"
+FLOW_NODES = f"""
+WITH li AS (SELECT l_suppkey AS k, CAST(round(l_extendedprice * 100) AS BIGINT) AS a, * FROM lineitem), b AS (SELECT s_suppkey AS k, s_name, coalesce(sum(a), 0) AS t FROM supplier LEFT JOIN li ON li.k = s_suppkey GROUP BY ALL),
+it AS (SELECT k, l_returnflag || l_linestatus AS i, {_CODE} AS code, sum(a) AS a FROM li WHERE k % 5 <> 0 GROUP BY ALL), ch AS (SELECT k, code, sum(a) AS a FROM it GROUP BY ALL), su AS (SELECT k, l_linenumber % 2 AS i, sum(a) AS a FROM li WHERE k % 3 = 0 GROUP BY ALL),
+cr AS (SELECT k, l_linenumber % 3 AS i, {_CODE} AS code, sum(a) AS a FROM li WHERE k % 2 = 0 GROUP BY ALL),
+lo AS (SELECT li.k, n_name AS r, a, CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 7 END AS s FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_quantity = 50),
+rg AS (SELECT k, r, sum(a) * 2 AS a, row_number() OVER (PARTITION BY k ORDER BY sum(a) DESC, r) AS p, count(*) OVER (PARTITION BY k) AS n FROM lo GROUP BY k, r QUALIFY p <= 8),
+nl AS (SELECT k, count(*) AS n FROM lo GROUP BY 1), x AS (SELECT b.k, s_name, t, coalesce(nl.n, 0) AS n, EXISTS (SELECT 1 FROM su WHERE su.k = b.k) AS hs, EXISTS (SELECT 1 FROM it WHERE it.k = b.k) AS hi, (SELECT sum(a) FROM it WHERE it.k = b.k) AS ti, (SELECT sum(a) FROM su WHERE su.k = b.k) AS ts FROM b LEFT JOIN nl USING (k)),
+no(k, id, type, stage, title, amount) AS (
+  SELECT k, 'source', 'source', 'G0', '일반회계', t FROM x UNION ALL SELECT k, 'business', 'core', 'G0', s_name, t FROM x UNION ALL SELECT k, 'sub:' || i, 'item', 'G1', '내역 ' || i, a FROM su
+  UNION ALL SELECT k, CASE WHEN k % 4 = 1 THEN 'basis' ELSE 'sub:unknown' END, CASE WHEN k % 4 = 1 THEN 'item' ELSE 'unknown' END, 'G1', CASE WHEN k % 4 = 1 THEN '산출근거' ELSE '내역사업 배분 근거 없음' END, NULL FROM x WHERE NOT hs
+  UNION ALL SELECT k, 'item:' || i, 'item', 'G2', i, a FROM it UNION ALL SELECT k, 'item:none', 'unknown', 'G2', '확정 목·세목 없음', 0 FROM x WHERE NOT hi UNION ALL SELECT k, 'channel:' || code, 'channel', 'G2', code, a FROM ch UNION ALL SELECT k, 'channel:none', 'unknown', 'G2', '집행채널 없음', 0 FROM x WHERE NOT hi
+  UNION ALL SELECT k, 'destination:' || code, CASE WHEN k % 2 = 1 AND code = 'procurement' THEN 'destination' ELSE 'unknown' END, 'G3', code, a FROM ch
+  UNION ALL SELECT k, 'local', CASE WHEN n > 0 THEN 'candidate' ELSE 'unknown' END, 'G4', CASE WHEN n > 0 THEN '지역 세부사업 ' || n || '건' ELSE '지역 편성 후보 미확인' END, NULL FROM x
+  UNION ALL SELECT k, 'region:' || r, 'candidate', 'G4', r, a FROM rg UNION ALL SELECT k, 'region:more', 'candidate', 'G4', '그 밖의 ' || (n - 8) || '개 권역', NULL FROM rg WHERE p = 1 AND n > 8
+  UNION ALL SELECT k, 'beneficiary', CASE WHEN k % 3 = 1 THEN 'beneficiary' ELSE 'unknown' END, 'G5', CASE WHEN k % 3 = 1 THEN '주민 ' || k ELSE '수혜자 미확인' END, NULL FROM x
+  UNION ALL SELECT k, 'reconcile:items', CASE WHEN ti = t THEN 'reconcile' ELSE 'unknown' END, 'G5', '세부사업 총액 = 목·세목 합계', ti - t FROM x UNION ALL SELECT k, 'reconcile:subprojects', CASE WHEN ts = t THEN 'reconcile' ELSE 'unknown' END, 'G5', '세부사업 총액 = 내역사업 합계', ts - t FROM x
+  UNION ALL SELECT k, 'reconcile:local', CASE WHEN n > 0 THEN 'candidate' ELSE 'unknown' END, 'G5', '지역 스냅샷', NULL FROM x)"""
+
+
+@query(f"{FLOW_NODES} SELECT CAST(k AS VARCHAR) AS business_id, id, type, stage, title, CAST(coalesce(amount, -1) AS BIGINT) AS amount FROM no")
+def flow_map_nodes(spark, sf_dir):
+    n = flow_map.nodes(flow_facts(spark, sf_dir))
+    return n.withColumn("amount", F.coalesce("amount", F.lit(-1)).cast("long"))
+
+
+@query(f"""{FLOW_NODES}, ed(k, src, dst, type, amount) AS (
+  SELECT k, 'source', 'business', 'flow', t FROM x UNION ALL SELECT k, 'business', 'sub:' || i, 'flow', a FROM su UNION ALL SELECT k, 'business', 'item:' || i, 'flow', a FROM it UNION ALL SELECT k, 'item:' || i, 'channel:' || code, 'classification', 0 FROM it
+  UNION ALL SELECT k, 'sub:' || i, 'channel:' || code, 'crosswalk', a FROM cr UNION ALL SELECT k, 'channel:' || code, 'destination:' || code, 'flow', a FROM ch UNION ALL SELECT k, 'channel:local_subsidy', 'local', 'candidate', 0 FROM nl UNION ALL SELECT DISTINCT k, 'sub:' || s, 'local', 'candidate', 0 FROM lo WHERE s IS NOT NULL
+  UNION ALL SELECT k, 'local', 'region:' || r, 'candidate', 0 FROM rg UNION ALL SELECT k, 'local', 'region:more', 'candidate', 0 FROM rg WHERE p = 1 AND n > 8 UNION ALL SELECT k, 'destination:' || code, 'beneficiary', 'context', 0 FROM ch UNION ALL SELECT k, 'local', 'reconcile:local', 'context', 0 FROM nl)
+SELECT CAST(ed.k AS VARCHAR) AS business_id, src, dst, ed.type, CAST(ed.amount AS BIGINT) AS amount FROM ed WHERE EXISTS (SELECT 1 FROM no WHERE no.k = ed.k AND no.id = src) AND EXISTS (SELECT 1 FROM no WHERE no.k = ed.k AND no.id = dst)""")
+def flow_map_edges(spark, sf_dir):
+    f = flow_facts(spark, sf_dir)
+    return flow_map.edges(f, flow_map.nodes(f)).withColumn("amount", F.col("amount").cast("long"))
