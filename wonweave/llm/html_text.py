@@ -46,6 +46,8 @@ OUTLINE_DEPTH = 3
 LEAST_ARTICLES, MOST_TEXTS = 3, 0.5
 #: Numbers that the weighing of two lists of children takes at most; pairs of shapes that are weighed for two pages.
 CELLS, PAIRS = 1 << 22, 1 << 18
+#: Numbers up to which two lists are weighed without arrays; numbers that a layout keeps of shapes between pages.
+FEW, KEPT = 256, 20_000
 #: Inside an article only blocks of so many words can be template.
 SHORT_WORDS = 8
 
@@ -155,25 +157,31 @@ def own_text(node: Node) -> str:
     return node.text
 
 
-class _Shapes:
-    """Trees of tags, numbered: nodes of one shape have the same tags below them in the same order."""
+class Shapes:
+    """Trees of tags, numbered: nodes of one shape have the same tags below them in the same order. What matching has found of pairs of shapes is kept, see align()."""
 
     def __init__(self):
         self.number: dict[tuple[str, tuple[int, ...]], int] = {}
         self.tag: list[str] = []
         self.kids: list[tuple[int, ...]] = []
         self.size: list[int] = []
+        self.below: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.total: dict[tuple[int, int], int] = {}
+        self.held = 0
 
     def of(self, root: Node) -> dict[int, int]:
         """The shape of each node, by id."""
         out: dict[int, int] = {}
+        number = self.number
         for node in reversed([root, *below(root)]):
-            key = (node.tag, tuple(out[id(k)] for k in node.kids))
-            n = self.number.setdefault(key, len(self.tag))
-            if n == len(self.tag):
+            key = (node.tag, tuple([out[id(k)] for k in node.kids]) if node.kids else ())
+            n = number.get(key)
+            if n is None:
+                n = number[key] = len(self.tag)
                 self.tag.append(key[0])
                 self.kids.append(key[1])
                 self.size.append(1 + sum(self.size[k] for k in key[1]))
+                self.held += 4 + len(key[1])
             out[id(node)] = n
         return out
 
@@ -195,16 +203,30 @@ def _in_order(xs: list[str], ys: list[str]) -> list[tuple[int, int]]:
 
 def _heaviest(xs: list[int], ys: list[int], weight: Callable[[int, int], int]) -> list[tuple[int, int]]:
     """The heaviest pairs of shapes that keep order."""
+    if len(xs) * len(ys) <= FEW:
+        rows = [[0] * (len(ys) + 1)]
+        for x in xs:
+            above, row, left = rows[-1], [0], 0
+            for j, y in enumerate(ys):
+                w = weight(x, y)
+                left = max(above[j] + w, above[j + 1], left) if w else max(above[j + 1], left)
+                row.append(left)
+            rows.append(row)
+        return _back(rows, len(xs), len(ys))
     (ux, ix), (uy, iy) = (np.unique(np.array(z, np.int64), return_inverse=True) for z in (xs, ys))
     each = np.array([[weight(int(x), int(y)) for y in uy] for x in ux], np.int32)[:, iy]
     best = np.zeros((len(xs) + 1, len(ys) + 1), np.int32)
     for i, k in enumerate(ix.tolist()):
         np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + each[k]), out=best[i + 1, 1:])
-    pairs, i, j = [], len(xs), len(ys)
+    return _back(best, len(xs), len(ys))
+
+
+def _back(best: list[list[int]] | np.ndarray, i: int, j: int) -> list[tuple[int, int]]:
+    pairs = []
     while i and j:
-        if best[i, j] == best[i - 1, j]:
+        if best[i][j] == best[i - 1][j]:
             i -= 1
-        elif best[i, j] == best[i, j - 1]:
+        elif best[i][j] == best[i][j - 1]:
             j -= 1
         else:
             i, j = i - 1, j - 1
@@ -212,27 +234,25 @@ def _heaviest(xs: list[int], ys: list[int], weight: Callable[[int, int], int]) -
     return pairs[::-1]
 
 
-def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
+def align(a: Node, b: Node, shapes: Shapes | None = None, of: dict[int, int] | None = None) -> list[tuple[Node, Node]]:
     """Simple tree matching: pairs of nodes of equal tags, in order, under matched parents; as many as can be.
 
     What pairs of nodes weigh follows from their shapes, so it is found once for each pair of shapes. Children of
     like shapes at both ends of two lists go together, which no other matching betters; only what lies between is
     weighed. That takes CELLS numbers for two lists, and PAIRS pairs of shapes for two pages at most; children
     beyond go together in order of their tags, and what is below such a pair isn't matched unless its shape is the same.
+    `shapes` and `of` (those of a's nodes) save finding them again for other pages.
     """
     if a.tag != b.tag:
         return []
-    shapes = _Shapes()
-    of = shapes.of(a)
-    of |= shapes.of(b)
-    tag, kids = shapes.tag, shapes.kids
-    below_of: dict[tuple[int, int], list[tuple[int, int]]] = {}  # of unlike shapes that both have children: pairs of places
-    total: dict[tuple[int, int], int] = {}
+    shapes = shapes or Shapes()
+    of_a, of_b = of or shapes.of(a), shapes.of(b)
+    tag, kids, below_of, total = shapes.tag, shapes.kids, shapes.below, shapes.total
 
     def weight(x: int, y: int) -> int:
         return 0 if tag[x] != tag[y] else shapes.size[x] if x == y else total.get((x, y), 1)
 
-    asked, todo = 0, [(of[id(a)], of[id(b)])]
+    asked, todo = 0, [(of_a[id(a)], of_b[id(b)])]
     while todo:
         x, y = todo[-1]
         if x == y or (x, y) in total:
@@ -259,12 +279,13 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
             pairs = _in_order([tag[k] for k in mid_x], [tag[k] for k in mid_y])
         found = [*((k, k) for k in range(head)), *((head + i, head + j) for i, j in pairs), *((len(xs) - k, len(ys) - k) for k in range(tail, 0, -1))]
         below_of[x, y] = found
+        shapes.held += 4 + len(found)
         total[x, y] = 1 + sum(weight(xs[i], ys[j]) for i, j in found)
     out, nodes = [], [(a, b)]
     while nodes:
         x, y = nodes.pop()
         out.append((x, y))
-        sx, sy = of[id(x)], of[id(y)]
+        sx, sy = of_a[id(x)], of_b[id(y)]
         nodes += zip(x.kids, y.kids, strict=True) if sx == sy else [(x.kids[i], y.kids[j]) for i, j in below_of.get((sx, sy), [])]
     return out
 
@@ -373,10 +394,19 @@ class Wrapper:
         self.root = parse(page)
         self.number = {id(n): i for i, n in enumerate(below(self.root))}
         self.template, self.constant = frozenset(template), frozenset(constant)
+        self.shapes = Shapes()
+        self.of = self.shapes.of(self.root)
+
+    def align(self, root: Node) -> list[tuple[Node, Node]]:
+        """align() with the reference; what was found of its shapes is kept for other pages of the layout."""
+        if self.shapes.held > KEPT:
+            self.shapes = Shapes()
+            self.of = self.shapes.of(self.root)
+        return align(self.root, root, self.shapes, self.of)
 
     def slots(self, root: Node) -> list[tuple[int, str]]:
         """(slot, text) of what a page has in the slots."""
-        return [(self.number[id(x)], own_text(y)) for x, y in align(self.root, root) if x.tag in BLOCK and own_text(y)]
+        return [(self.number[id(x)], own_text(y)) for x, y in self.align(root) if x.tag in BLOCK and own_text(y)]
 
     def removed(self, root: Node) -> frozenset[int]:
         """Nodes (by id) of a page that are template."""
@@ -384,7 +414,7 @@ class Wrapper:
             return frozenset()
         top = content_root(root)
         article = {id(n) for n in (top, *below(top))} if top.tag in ("article", "main") else set()
-        out, pairs = set(), align(self.root, root)
+        out, pairs = set(), self.align(root)
         matched = {id(y) for _, y in pairs}
         for x, y in pairs:
             slot = self.number.get(id(x))
