@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wonweave.functions.columns import col
@@ -45,18 +45,18 @@ def publish(tables: Mapping[str, DataFrame], issues: DataFrame, path: str, order
 
     A small file names the version that counts. It is put in place by one rename over the old one,
     so readers see the old version or the new one, whenever the writer stops. Versions before the
-    last are removed. Rows are counted as they are written, see counts().
+    last are removed. What was written is counted, see counts().
     """
     found = issues.limit(5).collect()
     if found:
         raise Incomplete(str(found))
     spark, top, version = issues.sparkSession, path.rstrip("/"), f"v-{uuid.uuid4().hex}"
-    written_rows = []
+    rows = []
     for name, df in tables.items():
-        keys, seen = (order or {}).get(name), Observation()
-        (df.orderBy(*keys) if keys else df).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{top}/{version}/{name}")
-        written_rows.append((name, seen.get["rows"]))
-    spark.createDataFrame(written_rows, "name string, rows long").coalesce(1).write.parquet(f"{top}/{version}/{COUNTS}")
+        keys = (order or {}).get(name)
+        (df.orderBy(*keys) if keys else df).write.parquet(f"{top}/{version}/{name}")
+        rows.append((name, spark.read.parquet(f"{top}/{version}/{name}").count()))  # from the files' footers
+    spark.createDataFrame(rows, "name string, rows long").coalesce(1).write.parquet(f"{top}/{version}/{COUNTS}")
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     place = jvm.org.apache.hadoop.fs.Path
     files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place(top).getFileSystem(conf).getUri(), conf)
