@@ -87,11 +87,11 @@ def page_plan(totals: DataFrame, size: int, key: str = "office") -> DataFrame:
     """key, page, expected: the pages that `total` rows fill, page 1 also where there are none or the total is unknown (expected null)."""
     last = F.greatest(F.ceil(F.coalesce("total", F.lit(0)) / size), F.lit(1)).cast("int")
     planned = totals.select(key, "total", F.explode(F.sequence(F.lit(1), last)).alias("page"))
-    return planned.select(key, "page", F.least(F.lit(size), F.greatest(F.col("total") - (F.col("page") - 1) * size, F.lit(0))).cast("int").alias("expected"))
+    return planned.select(key, "page", F.when(F.col("total").isNotNull(), F.least(F.lit(size), F.greatest(F.col("total") - (F.col("page") - 1) * size, F.lit(0)))).cast("int").alias("expected"))
 
 
 def page_gaps(plan: DataFrame, pages: DataFrame, key: str = "office") -> DataFrame:
-    """key, page, expected, got (0 if the page is missing) of planned pages that have fewer or more rows, and pages that nothing planned (expected 0)."""
+    """key, page, expected, got (0 if the page is missing) of planned pages that have fewer or more rows, and pages that nothing planned or whose total is unknown (expected 0)."""
     got = pages.groupBy(key, "page").agg(F.sum("n_rows").cast("long").alias("got"))
     both = plan.join(got, [key, "page"], "full").select(key, "page", F.coalesce("expected", F.lit(0)).cast("long").alias("expected"), F.coalesce("got", F.lit(0)).alias("got"))
     return both.filter("expected <> got")
