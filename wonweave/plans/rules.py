@@ -245,7 +245,8 @@ def card_audit(spark, sf_dir):
 WITH r AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity FROM lineitem),
 t AS (SELECT l_suppkey, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS a FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
 v AS (SELECT l_orderkey, l_linenumber, unnest([CASE WHEN l_quantity = 1 THEN 'candidate_key' END, CASE WHEN l_quantity IN (1, 2) THEN 'candidate_business' END, CASE WHEN l_quantity = 3 THEN 'candidate_year' END, CASE WHEN l_quantity = 4 THEN 'candidate_day' END, CASE WHEN l_quantity = 5 THEN 'candidate_source' END, CASE WHEN l_quantity = 6 THEN 'candidate_keyword' END,
-  CASE WHEN l_quantity = 7 THEN 'candidate_strategy' END, CASE WHEN l_quantity = 8 THEN 'candidate_name' END, CASE WHEN l_quantity = 9 THEN 'candidate_amount' END, CASE WHEN l_quantity = 10 THEN 'candidate_identity' END, CASE WHEN l_quantity NOT IN (1, 2) AND (t.a IS NULL OR l_quantity = 11) THEN 'candidate_central' END]) AS check_id FROM r LEFT JOIN t USING (l_suppkey))
+  CASE WHEN l_quantity = 7 THEN 'candidate_strategy' END, CASE WHEN l_quantity = 8 THEN 'candidate_name' END, CASE WHEN l_quantity = 9 THEN 'candidate_amount' END, CASE WHEN l_quantity = 10 THEN 'candidate_identity' END, CASE WHEN l_quantity NOT IN (1, 2) AND (t.a IS NULL OR l_quantity = 11) THEN 'candidate_central' END]) AS check_id FROM r LEFT JOIN t USING (l_suppkey)
+  UNION ALL SELECT l_orderkey, l_linenumber, 'candidate_twice' FROM r GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity = 1, l_quantity = 2, l_quantity = 4, l_quantity = 10 HAVING count(*) > 1)
 SELECT check_id, count(*) AS n, CAST(sum(l_orderkey * 10 + l_linenumber) AS BIGINT) AS keys FROM v WHERE check_id IS NOT NULL GROUP BY 1""")
 def candidate_audit(spark, sf_dir):
     """Each line of an order as a local candidate of its supplier; what is wrong with it follows from its quantity."""
