@@ -3,6 +3,8 @@
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from test_whole import lines
+from wonweave.functions import text
 from wonweave.operators import keywords
 from wonweave.plans import registry
 
@@ -32,3 +34,22 @@ def test_fan_out_moves_no_pairs(spark, tmp_path, monkeypatch):
 def test_fan_out_of_events_without_ids(spark, tmp_path):
     ours, theirs = both(spark, tmp_path, "keyword_fan_out", part={"p_partkey": pa.array([1, 2], "int64")}, events={"event_id": pa.array([None, None], "int64"), "event_type": ["view", "view"]})
     assert ours == theirs == [(1, 2, None, None, None)]
+
+
+HTML = [
+    "<p>a&amp</p><p>b&amp;c</p>", "&amp", "&amp;amp", "&amp;lt; &lt;b&gt; &ltx", "<td>x&copy y&copy;</td>&middot;&middot", "&nbsp;| &#38; &#x26; &AMP; &eacute;|", "a & b && c&", '<a href="?a&amp=1&b">t&quot;&quot</a>', "&am<b>p;</b>&<br>lt;",
+    "<p>  x\t y |</p>\n\n<tr><td>|</td></tr>", "", None, "<p", "&<&>&",
+]
+
+
+def test_references_as_in_sql(spark, tmp_path):
+    """Without semicolons, of other names, cut off, and what only looks like one."""
+    ours, theirs = both(spark, tmp_path, "html_to_text", pages={"page_id": pa.array(range(len(HTML)), "int64"), "html": HTML})
+    assert ours == theirs and len(ours) == len(HTML)
+    assert dict(ours)[0] == "a&amp\nb&c"
+
+
+def test_operator_decodes_all_references(spark):
+    rows = spark.createDataFrame([(x,) for x in HTML], "html string")
+    for got, x in rows.select(text.markup_to_lines("html"), "html").collect():
+        assert got == "\n".join(lines(x))

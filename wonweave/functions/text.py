@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -93,6 +95,11 @@ def bigrams(c: Column | str) -> Column:
     return F.array_distinct(F.transform(pairs, lambda p: F.concat(p["a"], p["b"])))
 
 
+def only_references(c: Column | str, references: Iterable[str]) -> Column:
+    """An & that begins none of these character references is escaped, so that decoding gives it back."""
+    return F.regexp_replace(col(c), f"&(?!{'|'.join(re.escape(r.removeprefix('&')) for r in references)})", "&amp;")
+
+
 def markup_to_lines(c: Column | str, tables: bool = False) -> Column:
     """br and closing tags end a line (with `tables` cells end with a tab, and image markup and table rules go), other tags are spaces; lines are trimmed of spaces and bars, empty ones dropped."""
     x = F.regexp_replace(_filled(c), r"(?i)<br\s*/?>", "\n")
