@@ -3,8 +3,9 @@
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from test_whole import lines
-from wonweave.functions import text
+from wonweave.functions import columns, text
 from wonweave.operators import keywords
 from wonweave.plans import registry
 
@@ -53,3 +54,24 @@ def test_operator_decodes_all_references(spark):
     rows = spark.createDataFrame([(x,) for x in HTML], "html string")
     for got, x in rows.select(text.markup_to_lines("html"), "html").collect():
         assert got == "\n".join(lines(x))
+
+
+KEYS = [*range(90), *range(8100, 8160), 9_999, 30_000, 300_000, 899_997, 900_001, 10**9 + 2, 3 * 10**9, -1, -2, -3, -4, -8_133, -9_000]
+
+
+def test_amounts_as_in_sql(spark, tmp_path):
+    """Beyond 10^12 won, below 0, without a nation."""
+    keys = [*KEYS, 11, 12, 13]
+    ours, theirs = both(spark, tmp_path, "shown_values", customer={"c_custkey": pa.array(keys, "int64"), "c_nationkey": pa.array([*(k % 25 for k in KEYS), None, None, None], "int32")})
+    assert ours == theirs and len(ours) == len(keys)
+    assert dict(r[:2] for r in ours)[8_133] == "10,003.6억"
+
+
+def test_null_keys_as_in_sql(spark, tmp_path):
+    ours, theirs = both(spark, tmp_path, "shown_values", customer={"c_custkey": pa.array([None, None, 5], "int64"), "c_nationkey": pa.array([3, None, 7], "int32")})
+    assert ours == theirs
+
+
+def test_largest_unit(spark):
+    won = spark.createDataFrame([(1_230_000_000_000,), (-1_230_000_000_000,), (999_999,), (None,)], "won long")
+    assert [tuple(r) for r in won.select(columns.korean_amount("won"), columns.korean_amount(F.col("won"), "억"), columns.korean_amount("won", "백만")).collect()] == [("1.2조", "12,300.0억", "1,230,000.0백만"), ("-1.2조", "-12,300.0억", "-1,230,000.0백만"), ("999,999",) * 3, (None,) * 3]

@@ -82,13 +82,17 @@ def first_filled(*columns: Column | str) -> Column:
     return F.coalesce(*[F.when(F.trim(col(c).cast("string")) != "", col(c).cast("string")) for c in columns])
 
 
-def korean_amount(c: Column | str) -> Column:
-    """A won amount in units of 10^12, 10^8 or 10^6 with one decimal."""
-    def unit(size: int, name: str) -> Column:
-        return F.concat(F.format_number(col(c).cast("double") / size, 1), F.lit(name))
+#: Units of won amounts, the largest first.
+UNITS = {"조": 10**12, "억": 10**8, "백만": 10**6}
 
-    size = F.abs(col(c))
-    return F.when(size >= 10**12, unit(10**12, "조")).when(size >= 10**8, unit(10**8, "억")).when(size >= 10**6, unit(10**6, "백만")).otherwise(F.format_number(col(c).cast("double"), 0))
+
+def korean_amount(c: Column | str, largest: str = "조") -> Column:
+    """A won amount in units of 10^12, 10^8 or 10^6 with one decimal, in none over `largest`."""
+    amount, names = col(c).cast("double"), list(UNITS)
+    out = F.format_number(amount, 0)
+    for name in reversed(names[names.index(largest) :]):
+        out = F.when(F.abs(col(c)) >= UNITS[name], F.concat(F.format_number(amount / UNITS[name], 1), F.lit(name))).otherwise(out)
+    return out
 
 
 def percent(c: Column | str) -> Column:
